@@ -11,6 +11,10 @@ _BLANK = r"[\s\x1c-\x1f]"
 _CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 _NOT_CASED = r"[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 
+# Letters that are their own title form; modern Georgian has capitals but does not
+# use them at the start of words.
+_TITLE_FORM = r"^[\p{Lt}\u10d0-\u10ff]"
+
 # The Latin digraphs whose title form differs from the upper form.
 _DIGRAPH_UPPER = "ǄǇǊǱ"
 _DIGRAPH_TITLE = "ǅǈǋǲ"
@@ -24,15 +28,25 @@ def strip_blanks(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capitalise after every character that is not a letter.
 
-    `initcap` only looks at blanks and would leave "o'neil" as "O'neil".
+    `initcap` only looks at blanks and would leave "o'neil" as "O'neil".  Differs
+    from `str.title` for Greek letters with iota subscript, for the ligature of
+    apostrophe and n, and for letters that one side's Unicode tables lack.
     """
-    runs = F.regexp_extract_all(F.lower(text), F.lit(f"({_CASED}+|{_NOT_CASED}+)"), 1)
+    runs = F.regexp_extract_all(text, F.lit(f"({_CASED}+|{_NOT_CASED}+)"), 1)
     return F.array_join(F.transform(runs, _capitalise), "")
 
 
 def _capitalise(run: Column) -> Column:
+    first = F.substring(run, 1, 1)
+    large = F.upper(first)
     # One letter may become two in upper case (sharp s); only the first stays large.
-    first = F.upper(F.substring(run, 1, 1))
-    head = F.translate(F.substring(first, 1, 1), _DIGRAPH_UPPER, _DIGRAPH_TITLE)
-    tail = F.lower(F.substring(first, 2, 3))
-    return F.concat(head, tail, F.substring(run, 2, 2**31 - 1))
+    head = F.concat(
+        F.translate(F.substring(large, 1, 1), _DIGRAPH_UPPER, _DIGRAPH_TITLE),
+        F.lower(F.substring(large, 2, 3)),
+    )
+    # The rest is lowered behind a stand-in letter: a closing sigma depends on it.
+    rest = F.lower(F.concat(F.lit("a"), F.substring(run, 2, 2**31 - 1)))
+    return F.concat(
+        F.when(first.rlike(_TITLE_FORM), first).otherwise(head),
+        F.substring(rest, 2, 2**31 - 1),
+    )

@@ -13,8 +13,14 @@ def flag_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFr
     pass.  The join has no hint: Spark broadcasts a key set it has measured to be
     small, and otherwise sort-merges, where adaptive execution splits a key that
     holds a large share of `df` (the key side has one row per key).
+
+    It only does so if both inputs come straight from a shuffle made for the join.
+    The second, derived grouping column sees to that: without it Spark would reuse
+    the partitioning of the distinct and give up the split.  The price is one more
+    shuffle of bare keys.
     """
-    marked = keys.select(F.col(column)).distinct().withColumn(flag, F.lit(True))
+    part = F.xxhash64(column).alias("_part")
+    marked = keys.select(column).groupBy(column, part).agg(F.lit(True).alias(flag)).drop("_part")
     return df.join(marked, column, "left").withColumn(
         flag, F.coalesce(F.col(flag), F.lit(False))
     )

@@ -42,8 +42,9 @@ def rank_all(
     cuts = (listed if sketch.cuts else F.array()).cast(kind)
     slotted = _with_slot(rows, value, cuts, buckets)
     offsets = _offsets(slotted, [], value)
-    # At most 2 * buckets - 1 rows whatever the size of the table.
-    placed = slotted.join(F.broadcast(offsets), "_slot")
+    # At most 2 * buckets - 1 rows whatever the size of the table. The left join
+    # keeps Spark from testing every slot for null with a second binary search.
+    placed = slotted.join(F.broadcast(offsets), "_slot", "left")
     return _finish(placed, [], value, tie, rank, dense_rank, buckets)
 
 
@@ -68,30 +69,32 @@ def rank_within(
 
     `group_sizes` (group, rows) may overstate sizes and lets the caller derive
     them from something cheaper than `df`.  Runs one job to look for groups above
-    `hot_rows`; without any, the result is the plain partitioned window.
+    `hot_rows`.  All other groups get the plain partitioned window.
     """
     if group_sizes is None:
         group_sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-    hot = group_sizes.filter(F.col("rows") > hot_rows).select(group)
+    # At most (all rows / hot_rows) keys.
+    hot = durable(group_sizes.filter(F.col("rows") > hot_rows).select(group))
     if hot.isEmpty():
-        window = Window.partitionBy(group).orderBy(F.desc(value))
-        return df.withColumn(rank, F.rank().over(window).cast("bigint"))
+        return _plain_rank(df, group, value, rank)
 
     rows = durable(df)
-    cuts = durable(
-        rows.join(hot, group, "left_semi")
-        .groupBy(group)
-        .agg(_boundaries(value, buckets).alias("_cuts"))
+    ordinary = _plain_rank(rows.join(hot, group, "left_anti"), group, value, rank)
+    crowded = rows.join(hot, group, "left_semi")
+    cuts = durable(crowded.groupBy(group).agg(_boundaries(value, buckets).alias("_cuts")))
+    # Written out, so that the passes below start from plain files and not from a
+    # join that has already gathered each group in one place.
+    slotted = durable(
+        _with_slot(crowded.join(cuts, group), value, F.col("_cuts"), buckets).drop("_cuts")
     )
-    # Groups without boundaries land in slot 0 and keep their ordinary window.
-    slotted = (
-        _with_slot(rows.join(cuts, group, "left"), value, F.col("_cuts"), buckets)
-        .withColumn("_hot", F.col("_cuts").isNotNull())
-        .drop("_cuts")
-    )
-    offsets = _offsets(slotted.filter("_hot"), [group], value)
-    placed = slotted.join(offsets, [group, "_slot"], "left")
-    return _finish(placed, [group], value, tie, rank, None, buckets).drop("_hot")
+    placed = slotted.join(_offsets(slotted, [group], value), [group, "_slot"], "left")
+    split = _finish(placed, [group], value, tie, rank, None, buckets)
+    return ordinary.unionByName(split)
+
+
+def _plain_rank(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
+    window = Window.partitionBy(group).orderBy(F.desc(value))
+    return df.withColumn(rank, F.rank().over(window).cast("bigint"))
 
 
 def first_by_group(
@@ -169,9 +172,10 @@ def _finish(
     salt = F.when(single_value, F.pmod(F.xxhash64(tie), F.lit(buckets))).otherwise(0)
     inner = Window.partitionBy(*groups, "_slot", "_salt").orderBy(F.desc(value))
     rows_above = F.coalesce("_rows_above", F.lit(0))
-    result = placed.withColumn("_salt", salt).withColumn(
-        rank, (rows_above + F.rank().over(inner)).cast("bigint")
-    )
+    # The explicit shuffle matters where `placed` is already partitioned by a part
+    # of the key: Spark would accept that and leave the salt without effect.
+    spread = placed.withColumn("_salt", salt).repartition(*groups, "_slot", "_salt")
+    result = spread.withColumn(rank, (rows_above + F.rank().over(inner)).cast("bigint"))
     if dense_rank is not None:
         values_above = F.coalesce("_values_above", F.lit(0))
         result = result.withColumn(

@@ -1,0 +1,132 @@
+"""The shape of physical plans: what is scanned, shuffled, and split."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from orderlens.model import Tables
+from orderlens.operators.keysets import flag_known
+from orderlens.operators.lookup import lookup
+from orderlens.plans import facts, reports
+from orderlens.sources import catalog
+from orderlens.sources.star import star_tables
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they look when no side is small."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def scans(text, column):
+    return [line for line in text.split("\n") if "FileScan" in line and column in line]
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_no_python_and_no_cross_join(spark, small, name):
+    text = plan(entry.queries()[name](spark, small))
+    for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in text
+
+
+def test_filter_and_columns_reach_the_scan(spark, small):
+    text = plan(reports.revenue_by_month(star_tables(spark, small), "F"))
+    (orders,) = scans(text, "o_orderkey")
+    assert "EqualTo(o_orderstatus,F)" in orders
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in orders
+    (items,) = scans(text, "l_orderkey")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_extendedprice:double>" in items
+
+
+def test_retention_scans_once(spark, small):
+    assert plan(reports.retention(star_tables(spark, small), "F")).count("FileScan") == 1
+
+
+def test_lines_are_shuffled_once_and_after_folding(spark, small, no_broadcast):
+    text = plan(reports.revenue_by_customer(star_tables(spark, small), "F"))
+    # order key: orders and folded lines; customer key: folded orders and customers.
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id", text)) == 2
+    folded = text.index("partial_sum(cast((cast(quantity")
+    assert text.index("Exchange hashpartitioning(order_id", text.index("HashAggregate")) < folded
+
+
+@pytest.mark.parametrize("name", ["top_customers_ltv", "rank_within_customer",
+                                  "rank_within_customer_split", "clean_order_items"])
+def test_no_single_task_over_rows(spark, small, name):
+    """SinglePartition may follow only per-slot sums, never customers or orders."""
+    text = plan(entry.queries()[name](spark, small))
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:
+            assert "_slot" in lines[i + 1] and "HashAggregate" in lines[i + 1]
+
+
+def test_limited_ranks_are_trimmed_before_the_shuffle(spark, small):
+    t = star_tables(spark, small)
+    text = plan(reports.rank_within_customer(t, "F", limit=30))
+    assert "row_number(), 30, Partial" in text and "TakeOrderedAndProject" in text
+    assert "TakeOrderedAndProject(limit=20" in plan(reports.top_customers_ltv(t, "F", limit=20))
+
+
+def test_bucketed_tables_join_without_shuffling_lines(spark, small, no_broadcast):
+    t = star_tables(spark, small)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    items = t.order_items.withColumn("order_item_id", F.monotonically_increasing_id())
+    customers = entry.contact_customers(spark, small)
+    full = Tables(customers, t.products, t.orders, items)
+    catalog.replace_tables(full, "bucketed", buckets=4, verify=False)
+    text = plan(facts.order_totals(catalog.load_tables(spark, "bucketed"), "F"))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+@pytest.fixture
+def tiny_skew_limits(spark, no_broadcast):
+    names = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def _hot(column):
+    """A third of the lines on one key."""
+    hit = F.pmod(F.xxhash64("product_id", "line_number", "supplier_id"), F.lit(3)) == 0
+    return F.when(hit, F.lit(1)).otherwise(F.col(column))
+
+
+@pytest.mark.parametrize("case", ["sales of a hot order", "hot order known", "hot product price"])
+def test_hot_keys_are_split(spark, tiny_skew_limits, tmp_path, case):
+    t = star_tables(spark, "/root/testdata/sf0.1")
+    column = "product_id" if "product" in case else "order_id"
+    # Many input files, as a skewed partition is split along its map tasks.
+    path = f"{tmp_path}/lines"
+    t.order_items.withColumn(column, _hot(column)).repartition(16).write.parquet(path)
+    items = spark.read.parquet(path)
+    weight = F.sum(F.col("quantity") * F.col("product_id") * F.col("unit_price"))
+    if case == "sales of a hot order":
+        df = facts.product_sales(Tables(t.customers, t.products, t.orders, items), "F")
+    elif case == "hot order known":
+        df = flag_known(items, "order_id", t.orders, "known").groupBy("known").agg(weight)
+    else:
+        found = lookup(items, "product_id", t.products, "price", "list_price", F.lit(0.0))
+        df = found.groupBy("quantity").agg(F.sum("list_price"), weight)
+    df.collect()
+    assert "skew=true" in plan(df)

@@ -1,0 +1,131 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from builders import moment, rows, tables
+from orderlens.model import LOAD_ORDER, RAW_SCHEMAS, SCHEMAS
+from orderlens.plans import cleaning, reports
+from orderlens.sources import catalog, files
+
+RAW = {
+    "customers": '''customer_id,name,email,phone,city,signup_date,segment
+1,"Smith, ""Bob""",N/A,,Rome,2024-01-31,VIP
+2,nan,a@b.c,None,"",not a date,Regular
+''',
+    "products": '''product_id,product_name,category,price
+1,ball,,5.25
+2,bat,Toys,NaN
+x,bad id,Toys,1e2
+''',
+    "orders": '''order_id,customer_id,order_date,status
+1,1.0,2024-01-02 03:04:05,Completed
+2,1.5,not_a_date,Completed
+''',
+    "order_items": '''order_item_id,order_id,product_id,quantity,unit_price
+1,1,1,2.0,5.25
+2,1,1,,
+''',
+}
+
+
+@pytest.fixture
+def raw_folder(tmp_path):
+    for name, text in RAW.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_raw_text(spark, raw_folder):
+    t = files.read_raw_tables(spark, raw_folder)
+    assert rows(t.customers) == [
+        (1, 'Smith, "Bob"', None, None, "Rome", datetime(2024, 1, 31).date(), "VIP"),
+        (2, None, "a@b.c", None, None, None, "Regular"),
+    ]
+    assert rows(t.products) == [(1, "ball", None, 5.25), (2, "bat", "Toys", None),
+                                (None, "bad id", "Toys", 100.0)]
+    assert rows(t.orders) == [(1, 1, "2024-01-02 03:04:05", "Completed"),
+                              (2, None, "not_a_date", "Completed")]
+    assert rows(t.order_items) == [(1, 1, 1, 2, 5.25), (2, 1, 1, None, None)]
+    for name in LOAD_ORDER:
+        assert t[name].schema == RAW_SCHEMAS[name]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_clean_tables_round_trip(spark, raw_folder, tmp_path, fmt):
+    run = cleaning.clean_all(files.read_raw_tables(spark, raw_folder), "2025-01-01")
+    out = f"{tmp_path}/clean"
+    files.write_tables(run.tables, out, fmt)
+    files.write_tables(run.tables, out, fmt)  # overwrites
+    back = files.read_tables(spark, out, fmt)
+    for name, df in run.tables.items():
+        assert rows(back[name]) == rows(df)
+        assert back[name].schema == SCHEMAS[name]
+    assert rows(reports.revenue_by_month(back)) == [("2024-01", 10.5, 1)]
+    if fmt == "csv":
+        assert "2024-01-02 03:04:05" in spark.read.text(f"{out}/orders").collect()[1].value
+
+
+def test_counts_as_json(spark, raw_folder, tmp_path):
+    raw = files.read_raw_tables(spark, raw_folder)
+    files.write_counts(cleaning.cleaning_report(raw, "2025-01-01"), f"{tmp_path}/log")
+    back = spark.read.json(f"{tmp_path}/log")
+    assert sorted(back.columns) == ["metric", "table_name", "value"] and back.count() == 24
+
+
+def test_raw_round_trip(spark, raw_folder, tmp_path):
+    raw = files.read_raw_tables(spark, raw_folder)
+    files.write_tables(raw, f"{tmp_path}/again", "csv")
+    again = files.read_raw_tables(spark, f"{tmp_path}/again", suffix="")
+    for name, df in raw.items():
+        assert rows(again[name]) == rows(df)
+
+
+def test_missing_folder(spark):
+    with pytest.raises(FileNotFoundError, match="/nowhere/customers"):
+        files.read_tables(spark, "/nowhere")
+    with pytest.raises(FileNotFoundError, match="customers.csv"):
+        files.read_raw_tables(spark, "/nowhere")
+
+
+def test_orders_by_month_prune(spark, tmp_path):
+    t = tables(spark, orders=[(1, 1, "2024-01-05", "C"), (2, 1, "2024-02-05", "C")])
+    files.write_orders_by_month(t.orders, f"{tmp_path}/by_month")
+    back = spark.read.parquet(f"{tmp_path}/by_month").filter("order_month = '2024-02'")
+    assert rows(back.select("order_id")) == [(2,)]
+    assert "PartitionFilters: [isnotnull(order_month" in (
+        back._jdf.queryExecution().executedPlan().toString()
+    )
+
+
+def small_tables(spark, price=5):
+    return tables(
+        spark, customers=[(1, "A", "VIP")], products=[(1, "p", "Toys", 5)],
+        orders=[(1, 1, "2024-01-05", "Completed")], items=[(1, 1, 2, price)],
+    )
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_catalog_tables(spark, buckets):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shop{buckets}")
+    db = f"shop{buckets}"
+    with pytest.raises(LookupError, match=f"{db}.customers"):
+        catalog.load_tables(spark, db)
+    catalog.create_tables(spark, db, buckets)
+    assert catalog.load_tables(spark, db).orders.count() == 0
+    assert catalog.load_tables(spark, db).order_items.schema == SCHEMAS["order_items"]
+    catalog.append_tables(small_tables(spark), db, buckets)
+    catalog.append_tables(small_tables(spark), db, buckets)
+    assert catalog.load_tables(spark, db).orders.count() == 2
+    catalog.replace_tables(small_tables(spark), db, buckets)
+    stored = catalog.load_tables(spark, db)
+    assert rows(stored.order_items) == [(0, 1, 1, 2, Decimal("5.00"))]
+    assert rows(reports.revenue_by_month(stored)) == [("2024-01", 10.0, 1)]
+    assert stored.orders.first().order_date == moment("2024-01-05")
+
+
+def test_replace_refuses_broken_tables(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS strict")
+    with pytest.raises(ValueError, match="unit_price not above zero"):
+        catalog.replace_tables(small_tables(spark, price=-1), "strict")
+    assert not spark.catalog.tableExists("strict.orders")
