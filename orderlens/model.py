@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -98,19 +96,38 @@ LOAD_ORDER = ("customers", "products", "orders", "order_items")
 COMPLETED = "Completed"
 
 
-@dataclass(frozen=True)
 class _FourTables:
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
+    """Each table is a DataFrame, or a function that returns one on first use, so
+    that a report opens only the tables it reads."""
+
+    def __init__(self, customers, products, orders, order_items):
+        self._tables = dict(zip(LOAD_ORDER, (customers, products, orders, order_items)))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
 
     def items(self):
         """(name, DataFrame) pairs, parents first."""
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, self[name]) for name in LOAD_ORDER]
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, name)
+    @property
+    def customers(self) -> DataFrame:
+        return self["customers"]
+
+    @property
+    def products(self) -> DataFrame:
+        return self["products"]
+
+    @property
+    def orders(self) -> DataFrame:
+        return self["orders"]
+
+    @property
+    def order_items(self) -> DataFrame:
+        return self["order_items"]
 
 
 class Tables(_FourTables):

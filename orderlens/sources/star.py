@@ -32,24 +32,38 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def star_tables(spark: SparkSession, folder: str) -> Tables:
     """Clean tables. Contact columns exist only in `raw_star_tables`."""
-    customers = _read(spark, folder, "customer").select(
+    return Tables(
+        lambda: _customers(spark, folder),
+        lambda: _products(spark, folder),
+        lambda: _orders(spark, folder),
+        lambda: _lines(spark, folder),
+    )
+
+
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"),
     )
-    products = _read(spark, folder, "part").select(
+
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("price"),
     )
-    orders = _read(spark, folder, "orders").select(
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
     )
-    return Tables(customers, products, orders, _lines(spark, folder))
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,12 +101,11 @@ def contact_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_star_tables(spark: SparkSession, folder: str) -> RawTables:
     """The same tables with faults at fixed key moduli, for cleaning and checks."""
-    clean = star_tables(spark, folder)
     return RawTables(
-        _raw_customers(contact_customers(spark, folder)),
-        _raw_products(clean.products),
-        _raw_orders(clean.orders),
-        _raw_lines(clean.order_items),
+        lambda: _raw_customers(contact_customers(spark, folder)),
+        lambda: _raw_products(_products(spark, folder)),
+        lambda: _raw_orders(_orders(spark, folder)),
+        lambda: _raw_lines(_lines(spark, folder)),
     )
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import raw, raw_tables, rows
+from orderlens.model import RawTables
 from orderlens.plans import cleaning, faults, integrity
 from orderlens.sources.star import AS_OF, KEYS, contact_customers, raw_star_tables, star_tables
 
@@ -126,7 +127,7 @@ def test_injected_faults_are_found(spark, small):
     """Corrupt clean tables at the usual rates, clean them, and compare counts."""
     clean = star_tables(spark, small)
     key = F.concat_ws("/", "order_id", "line_number", "product_id", "supplier_id")
-    dirty = raw_star_tables(spark, small).__class__(
+    dirty = RawTables(
         faults.dirty_customers(contact_customers(spark, small)),
         faults.dirty_products(clean.products),
         faults.dirty_orders(clean.orders, "2031-01-01 00:00:00"),
