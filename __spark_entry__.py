@@ -85,15 +85,6 @@ def _duplicate_counts(raw: RawTables) -> DataFrame:
     return customers.unionByName(orders).unionByName(items)
 
 
-def _cleaned_tables(raw: RawTables) -> Tables:
-    return Tables(
-        cleaning.clean_customers(raw),
-        cleaning.clean_products(raw),
-        cleaning.clean_orders(raw, AS_OF),
-        cleaning.clean_order_items(raw, AS_OF),
-    )
-
-
 def _line_key():
     return F.concat_ws("/", "order_id", "line_number", "product_id", "supplier_id")
 
@@ -164,7 +155,7 @@ def queries() -> dict[str, Query]:
         "orphan_items_product": _raw(integrity.orphan_items_product),
         "integrity_verdict": _raw(integrity.integrity_verdict),
         "integrity_verdict_cleaned": _raw(
-            lambda t: integrity.integrity_verdict(_cleaned_tables(t))
+            lambda t: integrity.integrity_verdict(cleaning.clean_all(t, AS_OF).tables)
         ),
         # fault injection, sampling, lookup
         "inject_nulls": _contacts(

@@ -71,29 +71,28 @@ def judge_orders(
     formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Fold copies (raw text compared), then check date and customer."""
-    return _judge_order_rows(collapse_copies(raw), customers, as_of, formats)
-
-
-def _judge_order_rows(
-    rows: DataFrame, customers: DataFrame, as_of: datetime | str, formats: Sequence[str]
-) -> DataFrame:
+    rows = collapse_copies(raw)
     parsed = rows.withColumn("order_date", parse_timestamp(F.col("order_date"), formats))
     flagged = flag_known(parsed, "customer_id", customers, "known_customer")
     return (
         flagged.withColumn(
             "violation",
             first_violation(
-                ("unparseable_date", F.col("order_date").isNull()),
-                ("future_date", F.col("order_date") > moment_literal(as_of)),
-                ("unknown_customer", ~F.col("known_customer")),
+                *_date_rules(as_of), ("unknown_customer", ~F.col("known_customer"))
             ),
         )
         .withColumn("order_date", cut_to_second(F.col("order_date")))
-        .drop("known_customer")
         .select(*rows.columns, "violation")
     )
 
 
+def _date_rules(as_of: datetime | str) -> tuple[tuple[str, Column], ...]:
+    return (
+        ("unparseable_date", F.col("order_date").isNull()),
+        ("future_date", F.col("order_date") > moment_literal(as_of)),
+    )
+
+
 def judge_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Fold copies, then check order, product, quantity and price.
 
@@ -128,18 +127,20 @@ def accepted(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("violation").isNull()).drop(*extra)
 
 
-def accepted_orders_for_lookup(
-    raw_orders: DataFrame, raw_customers: DataFrame, as_of: datetime | str,
+def accepted_order_keys(
+    raw_orders: DataFrame, customers: DataFrame, as_of: datetime | str,
     formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Keys of the orders that cleaning keeps.
+    """Keys of the orders that cleaning keeps, for checking order lines.
 
-    Membership does not care about copies, so the all-column deduplication of
-    orders (and of customers, whose cleaning refuses nobody) is left out.
+    The same rules as `judge_orders`, but membership does not care about copies
+    and nothing is counted: no deduplication, and a semi join instead of a flag.
     """
-    rows = raw_orders.withColumn("copies", F.lit(1))
-    judged = _judge_order_rows(rows, raw_customers, as_of, formats)
-    return judged.filter(F.col("violation").isNull()).select("order_id")
+    parsed = raw_orders.select(
+        "order_id", "customer_id", parse_timestamp(F.col("order_date"), formats).alias("order_date")
+    )
+    dated = parsed.filter(first_violation(*_date_rules(as_of)).isNull())
+    return dated.join(customers.select("customer_id"), "customer_id", "left_semi").select("order_id")
 
 
 # --- one call per table ------------------------------------------------------
@@ -166,7 +167,7 @@ def clean_order_items(
 
 
 def _judged_items(raw: RawTables, as_of, formats) -> DataFrame:
-    orders = accepted_orders_for_lookup(raw.orders, raw.customers, as_of, formats)
+    orders = accepted_order_keys(raw.orders, raw.customers, as_of, formats)
     return judge_order_items(raw.order_items, orders, clean_products(raw))
 
 

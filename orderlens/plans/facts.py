@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import line_cents
+from orderlens.functions.money import line_cents, sum_cents
 from orderlens.functions.times import month_number
 from orderlens.model import COMPLETED, Tables
 
@@ -32,7 +32,7 @@ def order_totals(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     which is one to one, reuses that shuffle.
     """
     per_order = tables.order_items.groupBy("order_id").agg(
-        F.sum(line_cents(F.col("quantity"), F.col("unit_price"))).alias("order_cents")
+        sum_cents(line_cents(F.col("quantity"), F.col("unit_price"))).alias("order_cents")
     )
     return completed_orders(tables, completed).join(per_order, "order_id")
 
@@ -60,7 +60,7 @@ def product_sales(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     wanted = completed_orders(tables, completed).select("order_id")
     lines = tables.order_items.join(wanted, "order_id", "left_semi")
     return lines.groupBy("product_id").agg(
-        F.sum(line_cents(F.col("quantity"), F.col("unit_price"))).alias("sold_cents"),
+        sum_cents(line_cents(F.col("quantity"), F.col("unit_price"))).alias("sold_cents"),
         F.sum(F.col("quantity").cast("bigint")).alias("units"),
     )
 

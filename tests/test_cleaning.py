@@ -123,6 +123,13 @@ def test_whole_run_agrees_with_the_single_steps(spark, small):
     assert integrity.integrity_verdict(run.tables).first().integrity_ok
 
 
+def test_order_keys_are_those_of_clean_orders(spark, medium):
+    t = raw_star_tables(spark, medium)
+    keys = cleaning.accepted_order_keys(t.orders, t.customers, AS_OF).distinct()
+    clean = cleaning.clean_orders(t, AS_OF).select("order_id").distinct()
+    assert keys.count() == clean.count() == keys.intersect(clean).count()
+
+
 def test_injected_faults_are_found(spark, small):
     """Corrupt clean tables at the usual rates, clean them, and compare counts."""
     clean = star_tables(spark, small)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions.missing import na_to_null, nan_to_null
-from orderlens.functions.money import currency, line_cents
+from orderlens.functions.money import currency, line_cents, sum_cents
 from orderlens.functions.text import strip_blanks, title_case
 from orderlens.functions.times import (
     cut_to_second,
@@ -126,13 +126,15 @@ def test_money_is_exact(spark, kind):
     df = spark.createDataFrame([(p,) for p in prices], "p string").select(
         F.col("p").cast(kind).alias("p")
     )
-    cents = [int(r.c) for r in df.select(line_cents(F.lit(3), F.col("p")).alias("c")).collect()]
+    cents = [r.c for r in df.select(line_cents(F.lit(3), F.col("p")).alias("c")).collect()]
     assert cents == [30, 60, 87, 339, 2999999999997, -1305]
-    total = df.agg(currency(F.sum(line_cents(F.lit(1), F.col("p")))).alias("t")).first().t
+    total = df.agg(currency(sum_cents(line_cents(F.lit(1), F.col("p")))).alias("t")).first().t
     assert total == 9999999997.36
 
 
 def test_money_sum_exceeds_long(spark):
-    df = spark.range(4).select(F.sum(F.lit(9 * 10**17).cast("decimal(18,0)")).alias("c"))
-    big = df.select((F.col("c") * 5).alias("c")).agg(currency(F.sum("c")).alias("t")).first().t
-    assert big == 1.8e17
+    amounts = [9 * 10**18, 9 * 10**18, -1, 2**20, -(2**20) - 1, 7, None]
+    df = spark.createDataFrame([(a,) for a in amounts], "c long")
+    assert int(df.agg(sum_cents(F.col("c")).alias("t")).first().t) == sum(a or 0 for a in amounts)
+    none = df.filter("c is null").agg(sum_cents(F.col("c")).alias("t")).first().t
+    assert none is None
