@@ -18,8 +18,8 @@ def durable_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder that every executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="orderlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

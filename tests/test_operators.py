@@ -70,6 +70,30 @@ def test_durable_keeps_rows_and_schema(spark):
     assert durable_root(spark) in kept.inputFiles()[0]
 
 
+class _Unset:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.sparkContext, self.conf, self.master = self, self, master
+        self.folder = None
+
+    def get(self, name, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_durable_folder_when_unset():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        durable_root(_Unset("spark://host:7077"))
+    local = _Unset("local[2]")
+    assert durable_root(local) == durable_root(local) == local.folder
+
+
 def decimals(spark, data, schema, precision=38):
     """The column v as a whole-number decimal, like sums of cents."""
     df = spark.createDataFrame(data, schema)
