@@ -32,7 +32,9 @@ def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Colu
 
 
 def cut_to_second(moment: Column) -> Column:
-    return F.date_trunc("second", moment).cast("timestamp_ntz")
+    """Without the fraction; `date_trunc` would take a detour over the session zone."""
+    fraction = F.date_part(F.lit("second"), moment) % 1
+    return moment - F.make_dt_interval(secs=fraction)
 
 
 def moment_literal(moment: datetime | str) -> Column:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from orderlens.model import MONEY, RawTables, Tables
+from orderlens.model import RawTables, Tables
 from orderlens.operators.sampling import every, repeat_rows
 from orderlens.plans import faults
 
@@ -26,8 +27,15 @@ KEYS = {
 }
 
 
+# Schema per path, so that Spark reads a table's footer once and not per query.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def star_tables(spark: SparkSession, folder: str) -> Tables:

@@ -32,7 +32,7 @@ def test_customers_are_repaired_before_copies_are_found(spark):
 
 
 def test_product_rules(spark):
-    # The rows that change or disappear when the published sample is cleaned.
+    # Missing categories are filled, prices that are not positive refused.
     changed = [(9, None, 359.85), (17, None, 478.91), (71, None, 482.46)]
     refused = [(50, "Toys", -14.74), (63, "Electronics", -17.93), (98, "Apparel", 0.0),
                (127, "Beauty", 0.0), (128, "Home & Kitchen", -4.82), (146, "Books", 0.0)]

@@ -80,6 +80,11 @@ def test_parse_does_not_depend_on_the_session_zone(spark):
             spark, ["2024-07-01 00:00:00"], "string",
             lambda c: days_between(moment_literal("2024-01-01"), c.cast("timestamp_ntz")),
         ) == [-182.0]
+        # A time that New York skipped.
+        skipped = [datetime(2024, 3, 10, 2, 30, 5, 250000)]
+        assert evaluate(spark, skipped, "timestamp_ntz", cut_to_second) == [
+            datetime(2024, 3, 10, 2, 30, 5)
+        ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
