@@ -25,6 +25,11 @@ from orderlens.operators.durable import durable
 BUCKETS = 1024
 HOT_ROWS = 5_000_000
 
+# Largest limits for which the short cuts below hold few rows: the size of a top-n
+# that one task may keep, and of a row-number bound Spark applies before a shuffle.
+TOP_ROWS = 100_000
+LEADING_ROWS = 1_000
+
 
 def rank_all(
     df: DataFrame, value: str, tie: str, rank: str, dense_rank: str,
@@ -100,25 +105,22 @@ def _plain_rank(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
 def first_by_group(
     df: DataFrame, group: str, value: str, tie: str, rank: str, n: int
 ) -> DataFrame:
-    """The first `n` rows of `rank_within` ordered by group, rank and tie.
+    """A part of `rank_within` that holds its first `n` rows by group, rank and tie.
 
-    No group can contribute more than its own first n rows.  Spark applies that
-    row-number bound before the shuffle too, so a hot group arrives trimmed.
+    No group can contribute more than its own first n rows.  For n up to
+    LEADING_ROWS Spark applies that row-number bound before the shuffle too, so a
+    hot group arrives trimmed.
     """
     ordered = Window.partitionBy(group).orderBy(F.desc(value), F.asc(tie))
     leading = df.withColumn("_row", F.row_number().over(ordered)).filter(F.col("_row") <= n)
     by_value = Window.partitionBy(group).orderBy(F.desc(value))
-    return (
-        leading.withColumn(rank, F.rank().over(by_value).cast("bigint"))
-        .drop("_row")
-        .orderBy(group, rank, tie)
-        .limit(n)
-    )
+    return leading.withColumn(rank, F.rank().over(by_value).cast("bigint")).drop("_row")
 
 
 def _boundaries(value: str, buckets: int) -> Column:
     shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(`{value}`, array({shares}), {16 * buckets})")
+    # Off by at most a quarter of a bucket; a finer sketch would be larger to merge.
+    sketch = F.expr(f"percentile_approx(`{value}`, array({shares}), {4 * buckets})")
     return F.array_sort(F.array_distinct(sketch))
 
 

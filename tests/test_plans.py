@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from conftest import TESTDATA
 from orderlens.model import Tables
 from orderlens.operators.keysets import flag_known
 from orderlens.operators.lookup import lookup
@@ -114,7 +115,7 @@ def _hot(column):
 
 @pytest.mark.parametrize("case", ["sales of a hot order", "hot order known", "hot product price"])
 def test_hot_keys_are_split(spark, tiny_skew_limits, tmp_path, case):
-    t = star_tables(spark, "/root/testdata/sf0.1")
+    t = star_tables(spark, f"{TESTDATA}/sf0.1")
     column = "product_id" if "product" in case else "order_id"
     # Many input files, as a skewed partition is split along its map tasks.
     path = f"{tmp_path}/lines"
