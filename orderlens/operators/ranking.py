@@ -41,10 +41,7 @@ def rank_all(
     """
     rows = durable(df)
     sketch = rows.agg(_boundaries(value, buckets).alias("cuts")).first()
-    kind = f"array<{df.schema[value].dataType.simpleString()}>"
-    # One text literal, folded into an array constant by the optimizer.
-    listed = F.split(F.lit(",".join(map(str, sketch.cuts or []))), ",")
-    cuts = (listed if sketch.cuts else F.array()).cast(kind)
+    cuts = _literals(sketch.cuts or [], df.schema[value].dataType.simpleString())
     slotted = _with_slot(rows, value, cuts, buckets)
     offsets = _offsets(slotted, [], value)
     # At most 2 * buckets - 1 rows whatever the size of the table. The left join
@@ -118,12 +115,18 @@ def first_by_group(
 
 
 def _boundaries(value: str, buckets: int) -> Column:
-    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    shares = _literals([i / buckets for i in range(1, buckets)], "double")
     # Off by at most a quarter of a bucket; a finer sketch would be larger to merge.
-    sketch = F.expr(f"percentile_approx(`{value}`, array({shares}), {4 * buckets})")
+    sketch = F.call_function("percentile_approx", F.col(value), shares, F.lit(4 * buckets))
     return F.array_sort(F.array_distinct(sketch))
 
 
+def _literals(values: list, kind: str) -> Column:
+    """A constant array. As one text literal it costs the optimizer a single node."""
+    text = F.split(F.lit(",".join(map(str, values))), ",") if values else F.array()
+    return text.cast(f"array<{kind}>")
+
+
 def _with_slot(df: DataFrame, value: str, cuts: Column, buckets: int) -> DataFrame:
     """Slot = 2 * (boundaries below the value), plus 1 if it is a boundary itself.
 
