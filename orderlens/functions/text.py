@@ -7,17 +7,11 @@ from pyspark.sql import functions as F
 
 # Unicode white space plus the four ASCII separators that Python also strips.
 _BLANK = r"[\s\x1c-\x1f]"
-# A cased letter in the Unicode sense; scripts without case do not count.
-_CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
-_NOT_CASED = r"[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
-
-# Letters that are their own title form; modern Georgian has capitals but does not
-# use them at the start of words.
-_TITLE_FORM = r"^[\p{Lt}\u10d0-\u10ff]"
-
-# The Latin digraphs whose title form differs from the upper form.
-_DIGRAPH_UPPER = "ǄǇǊǱ"
-_DIGRAPH_TITLE = "ǅǈǋǲ"
+# Anything but a cased letter in the Unicode sense; scripts without case count, too.
+_NOT_CASED = r"([^\p{IsLowercase}\p{IsUppercase}\p{Lt}])"
+# Put behind such characters for a moment. It reads unambiguously even if the text
+# has the same pair, since each of its characters gets a mark of its own.
+_MARK = "\x01 "
 
 
 def strip_blanks(text: Column) -> Column:
@@ -28,25 +22,9 @@ def strip_blanks(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capitalise after every character that is not a letter.
 
-    `initcap` only looks at blanks and would leave "o'neil" as "O'neil".  Differs
-    from `str.title` for Greek letters with iota subscript, for the ligature of
-    apostrophe and n, and for letters that one side's Unicode tables lack.
+    `initcap` starts a word after blanks only and would leave "o'neil" as
+    "O'neil"; so every other separator gets a blank first, which is then removed.
+    Differs from `str.title` only for letters missing from one side's Unicode tables.
     """
-    runs = F.regexp_extract_all(text, F.lit(f"({_CASED}+|{_NOT_CASED}+)"), 1)
-    return F.array_join(F.transform(runs, _capitalise), "")
-
-
-def _capitalise(run: Column) -> Column:
-    first = F.substring(run, 1, 1)
-    large = F.upper(first)
-    # One letter may become two in upper case (sharp s); only the first stays large.
-    head = F.concat(
-        F.translate(F.substring(large, 1, 1), _DIGRAPH_UPPER, _DIGRAPH_TITLE),
-        F.lower(F.substring(large, 2, 3)),
-    )
-    # The rest is lowered behind a stand-in letter: a closing sigma depends on it.
-    rest = F.lower(F.concat(F.lit("a"), F.substring(run, 2, 2**31 - 1)))
-    return F.concat(
-        F.when(first.rlike(_TITLE_FORM), first).otherwise(head),
-        F.substring(rest, 2, 2**31 - 1),
-    )
+    spaced = F.regexp_replace(text, _NOT_CASED, f"$1{_MARK}")
+    return F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))

@@ -78,7 +78,9 @@ def judge_orders(
         flagged.withColumn(
             "violation",
             first_violation(
-                *_date_rules(as_of), ("unknown_customer", ~F.col("known_customer"))
+                ("unparseable_date", F.col("order_date").isNull()),
+                ("future_date", F.col("order_date") > moment_literal(as_of)),
+                ("unknown_customer", ~F.col("known_customer")),
             ),
         )
         .withColumn("order_date", cut_to_second(F.col("order_date")))
@@ -86,13 +88,6 @@ def judge_orders(
     )
 
 
-def _date_rules(as_of: datetime | str) -> tuple[tuple[str, Column], ...]:
-    return (
-        ("unparseable_date", F.col("order_date").isNull()),
-        ("future_date", F.col("order_date") > moment_literal(as_of)),
-    )
-
-
 def judge_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Fold copies, then check order, product, quantity and price.
 
@@ -136,10 +131,9 @@ def accepted_order_keys(
     The same rules as `judge_orders`, but membership does not care about copies
     and nothing is counted: no deduplication, and a semi join instead of a flag.
     """
-    parsed = raw_orders.select(
-        "order_id", "customer_id", parse_timestamp(F.col("order_date"), formats).alias("order_date")
-    )
-    dated = parsed.filter(first_violation(*_date_rules(as_of)).isNull())
+    # An unreadable date is null, and a null is not up to `as_of` either.
+    in_time = parse_timestamp(F.col("order_date"), formats) <= moment_literal(as_of)
+    dated = raw_orders.filter(in_time).select("order_id", "customer_id")
     return dated.join(customers.select("customer_id"), "customer_id", "left_semi").select("order_id")
 
 

@@ -24,7 +24,7 @@ def evaluate(spark, values, kind, expression):
 TEXTS = [
     "  o'neil MCDONALD-SMITH  ", "ph.d. bob2b x", "\tanna ", " li wei　", "", "   ",
     "\x1cx\x1f", "éric ÉMILE", "straße", "ßeta", "中a 日B", "ǆabc", "a1b2", "o’neil", "ΣΊΣΥΦΟΣ", "x\ny",
-    "mc_donald", "ﬁrst", "ΑΣ ΑΣ", "ᲐᲑ აბგ", "İSTANBUL", "ẞa", "ǅxǄ",
+    "mc_donald", "ﬁrst", "ΑΣ ΑΣ", "ᲐᲑ აბგ", "İSTANBUL", "ẞa", "ǅxǄ", "\x01 a\x01b \x01\x01 c \x01", " \x01",
 ]
 
 
@@ -38,10 +38,9 @@ def test_title_agrees_with_python(spark):
 
 
 def test_title_on_every_cased_letter_of_latin_greek_cyrillic(spark):
-    letters = [chr(c) for c in range(0x41, 0x530) if chr(c).isalpha()]
-    # The ligature of apostrophe and n, and two letters that gained a capital lately.
-    odd = {"ŉ", "ƛ", "ɤ"}
-    words = [f"{a}B {a}" for a in letters if a not in odd]
+    letters = [chr(c) for c in range(0x21, 0x530)] + [chr(c) for c in range(0x1E00, 0x2000)]
+    odd = {"ƛ", "ɤ"}  # gained a capital lately
+    words = [f"{a}B {a} b{a}C" for a in letters if a not in odd]
     assert evaluate(spark, words, "string", title_case) == [w.title() for w in words]
 
 
@@ -70,6 +69,14 @@ def test_parse(spark, text, expected):
     assert evaluate(spark, [text], "string", parse_timestamp) == [expected]
 
 
+def test_parse_with_other_formats(spark):
+    values = ["5.1.2024", "2024-01-05 7 PM", "Jan 05, 2024", "01/02/24"]
+    formats = ("d.M.yyyy", "yyyy-MM-dd h a")
+    assert evaluate(spark, values, "string", lambda c: parse_timestamp(c, formats)) == [
+        datetime(2024, 1, 5), datetime(2024, 1, 5, 19), None, None,
+    ]
+
+
 def test_parse_does_not_depend_on_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
