@@ -97,6 +97,32 @@ def _price_lookup(raw: RawTables) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """All queries; those on text corpora only if their subpackage is installed."""
+    corpus, _ = _corpus()
+    return core_queries() | corpus
+
+
+def oracle_sql() -> dict[str, str]:
+    _, sql = _corpus()
+    return core_oracle_sql() | sql
+
+
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    try:
+        import corpus_pipeline
+        from orderlens.llm import queries as corpus
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "orderlens.llm"):
+            raise
+        return {}, {}
+    found, sql = dict(corpus.QUERIES), dict(corpus.ORACLE_SQL)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
+def core_queries() -> dict[str, Query]:
     return {
         # revenue
         "revenue_by_customer": _report(reports.revenue_by_customer),
@@ -477,7 +503,7 @@ contacts AS (
 )"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     sql = {
         "revenue_by_customer": _REVENUE_BY_CUSTOMER,
         "revenue_by_category": f"""

@@ -2,35 +2,54 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def durable_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, from `spark.checkpoint.dir`."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder that every executor can reach"
-            )
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-"))
-        root = spark.sparkContext.getCheckpointDir()
+    """A folder that the driver and all executors share.
+
+    `spark.checkpoint.dir` if it is set, on the session or by
+    `SparkContext.setCheckpointDir`; otherwise a folder in the warehouse, which
+    every session has and which executors must reach anyway.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     return root.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write `df` once and return a scan of the written table.
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    Runs a job.  Used where several later passes need the same expensive rows:
-    parquet keeps column pruning for those passes, cuts the lineage, and a lost
-    executor costs a re-read instead of a recomputation.
+
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write `df` once; the scan of the written table, and its path for `drop`.
+
+    Runs a job.  The table goes when the application ends, if `drop` was not
+    called before.
     """
     spark = df.sparkSession
     path = f"{durable_root(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    at, files = _file_system(spark, path)
+    files.deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing will read again."""
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write `df` once and return a scan of the written table.
+
+    Used where several later passes need the same expensive rows: parquet keeps
+    column pruning for those passes, cuts the lineage, and a lost executor costs
+    a re-read instead of a recomputation.
+    """
+    return store(df)[0]

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from builders import rows
 from orderlens.operators import ranking
 from orderlens.operators.dedup import collapse_copies, surplus_copies
-from orderlens.operators.durable import durable, durable_root
+from orderlens.operators.durable import drop, durable, durable_root, store
 from orderlens.operators.keysets import flag_known, orphan_count
 from orderlens.operators.lookup import lookup
 from orderlens.operators.sampling import append_rows, every, repeat_rows, sample_rows, share
@@ -71,27 +71,33 @@ def test_durable_keeps_rows_and_schema(spark):
 
 
 class _Unset:
-    """A session without spark.checkpoint.dir."""
+    """A session of which only some settings exist."""
 
-    def __init__(self, master):
-        self.sparkContext, self.conf, self.master = self, self, master
-        self.folder = None
+    def __init__(self, checkpoints=None, **settings):
+        self.settings, self.folder = settings, checkpoints
+        self.conf = self.sparkContext = self
 
-    def get(self, name, default):
-        return default
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
 
+def test_durable_folder_is_shared():
+    warehouse = {"spark.sql.warehouse.dir": "s3a://shop/warehouse/"}
+    named = {"spark.checkpoint.dir": "s3a://shop/scratch/"} | warehouse
+    assert durable_root(_Unset(**named)) == "s3a://shop/scratch"
+    assert durable_root(_Unset("hdfs://set/later", **warehouse)) == "hdfs://set/later"
+    assert durable_root(_Unset(**warehouse)) == "s3a://shop/warehouse/_intermediate"
 
-def test_durable_folder_when_unset():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        durable_root(_Unset("spark://host:7077"))
-    local = _Unset("local[2]")
-    assert durable_root(local) == durable_root(local) == local.folder
+
+def test_dropped_tables_are_gone(spark):
+    kept, path = store(spark.range(5).toDF("id"))
+    assert kept.count() == 5
+    drop(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def decimals(spark, data, schema, precision=38):

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import assert_same, duck
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.core_queries(), entry.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")

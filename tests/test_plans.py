@@ -34,9 +34,9 @@ def scans(text, column):
     return [line for line in text.split("\n") if "FileScan" in line and column in line]
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.core_queries())
 def test_no_python_and_no_cross_join(spark, small, name):
-    text = plan(entry.queries()[name](spark, small))
+    text = plan(entry.core_queries()[name](spark, small))
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
 
@@ -67,7 +67,7 @@ def test_lines_are_shuffled_once_and_after_folding(spark, small, no_broadcast):
                                   "rank_within_customer_split", "clean_order_items"])
 def test_no_single_task_over_rows(spark, small, name):
     """SinglePartition may follow only per-slot sums, never customers or orders."""
-    text = plan(entry.queries()[name](spark, small))
+    text = plan(entry.core_queries()[name](spark, small))
     lines = text.split("\n")
     for i, line in enumerate(lines):
         if "SinglePartition" in line:
