@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontamination, simhash
+from orderlens.llm import decontamination, quality, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
+    counted = quality.count_texts(_table(spark, folder, "documents"))
+    judge = quality.fit(counted, _table(spark, folder, "labels"))
+    return quality.judged(counted, judge).select(
+        "doc_id", *[f"counts.{name}" for name in quality.COUNTS[:5]], "base_failed", "kept", "score"
+    )
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(
         _table(spark, folder, "documents").select("doc_id", "text"),
@@ -42,6 +50,7 @@ def contamination_digest(column: str) -> list:
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
 }
 
