@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontamination, quality, simhash
+from orderlens.llm import bpe, decontamination, quality, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    code = bpe.encoded(F.col("text"), public_tokenizers.path("word_bpe_49k.json"))
+    return _table(spark, folder, "documents").select("doc_id", code.alias("code")).select(
+        "doc_id", "code.*"
+    )
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -49,6 +57,7 @@ def contamination_digest(column: str) -> list:
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op4_simhash": op4_simhash,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
