@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontamination, quality, simhash
+from orderlens.llm import bpe, decontamination, quality, simhash, warc
+from orderlens.operators.durable import store
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,11 +57,44 @@ def contamination_digest(column: str) -> list:
     ]
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    digest, first = warc.first_copy_names(pages)
+    marked = warc.with_first_copies(pages, "html", "page_id", digest, first)
+    written, _ = store(warc.archives(marked, "html", "page_id", "url", digest, first))
+    key = pages.schema["page_id"].dataType.simpleString()
+    return warc.records(written, payloads=False).select(
+        warc.key_of("record_id", key).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.key_of("refers_to", key).alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_simhash": op4_simhash,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
+    "op8_warc": op8_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest
+            FROM p
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN
+                       min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id IS NOT NULL AND first_id IS DISTINCT FROM page_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+        FROM f""",
+}
