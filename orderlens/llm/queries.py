@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontamination, quality, simhash, warc
+from orderlens.llm import bpe, decontamination, quality, simhash, token_files, warc
 from orderlens.operators.durable import store
 
 
@@ -57,6 +57,13 @@ def contamination_digest(column: str) -> list:
     ]
 
 
+def op7_repair(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_files.write_shards(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return token_files.read_documents(shards)
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
     digest, first = warc.first_copy_names(pages)
@@ -77,6 +84,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
+    "op7_repair": op7_repair,
     "op8_warc": op8_warc,
 }
 
