@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontamination, quality, simhash, token_files, warc
+from orderlens.llm import bpe, decontamination, quality, simhash, spans, token_files, warc
 from orderlens.operators.durable import store
 
 
@@ -21,6 +21,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_spans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return spans.without_repeats(documents).select("doc_id", "spans.*")
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -81,6 +86,7 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_spans": op2_spans,
     "op4_simhash": op4_simhash,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
