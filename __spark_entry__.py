@@ -11,7 +11,8 @@ import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -117,11 +118,29 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
         return {}, {}
     found, sql = dict(corpus.QUERIES), dict(corpus.ORACLE_SQL)
     found["pipeline"] = corpus_pipeline.run
+    found = {name: _importable(query) for name, query in found.items()}
     if corpus_pipeline.ORACLE_SQL is not None:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
 
 
+def _importable(query: Query) -> Query:
+    """Let Python workers import this repository from where the driver has it.
+
+    On a cluster the package is shipped with `--py-files`; this is for runs whose
+    working directory is another one.
+    """
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "")
+        if ROOT not in known.split(os.pathsep):
+            environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known]))
+        return query(spark, folder)
+
+    return run
+
+
 def core_queries() -> dict[str, Query]:
     return {
         # revenue
