@@ -1,7 +1,7 @@
 """Substring dedup with sliding spans of sentences.
 
 A text is cut into sentences, at sentence marks and at line breaks.  Every run of
-`run` consecutive sentences is hashed; runs are matched over all documents; and the
+`run` consecutive sentences (more, if they are very short) is hashed; runs are matched over all documents; and the
 sentences that lie in a run which is not the first of its kind are removed.
 
 Sentences of more than LONG words (lists, tables, text without marks) are cut further,
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.columns import Texts, free_name, per_text
 
 RUN = 3
-#: A run of fewer words says too little to be a copy.
+#: A run goes on until it has so many words: fewer say too little to be a copy.
 LEAST_WORDS = 10
 LONG = 12
 #: One word in so many ends a part of a long sentence.
@@ -62,33 +62,38 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return spans
 
 
-def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[bytes | None]]:
-    """Spans of sentences with words, and the digest of the run that starts at each.
+def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[tuple[bytes, int]]]:
+    """Spans of sentences with words; the digest and end of the run from each sentence.
 
-    A digest is None where too few sentences follow or the run has too few words.
+    A run goes on until it has `run` sentences and LEAST_WORDS words.  The last
+    sentences of a text, which no run starts from, have no entry.
     """
     spans: list[tuple[int, int]] = []
     plain: list[str] = []
-    sizes: list[int] = []
+    upto = [0]
     for a, b in sentences(text or ""):
         words = text[a:b].split()
         if words:
             spans.append((a, b))
             plain.append(" ".join(words))
-            sizes.append(len(words))
-    digests: list[bytes | None] = [None] * len(spans)
-    for i in range(len(spans) - run + 1):
-        if sum(sizes[i : i + run]) >= LEAST_WORDS:
-            digests[i] = xxhash.xxh3_128_digest("\n".join(plain[i : i + run]).encode())
-    return spans, digests
+            upto.append(upto[-1] + len(words))
+    found: list[tuple[bytes, int]] = []
+    end = 0
+    for i in range(len(spans)):
+        end = max(end, i + run)
+        while end <= len(spans) and upto[end] - upto[i] < LEAST_WORDS:
+            end += 1
+        if end > len(spans):
+            break
+        found.append((xxhash.xxh3_128_digest("\n".join(plain[i:end]).encode()), end))
+    return spans, found
 
 
 def _distinct_runs(text: str | None, run: int) -> tuple[list[int], list[int], list[int]]:
     """High and low half of the digest of each different run, and where it first starts."""
     first: dict[bytes, int] = {}
-    for i, digest in enumerate(runs(text, run)[1]):
-        if digest is not None:
-            first.setdefault(digest, i)
+    for i, (digest, _) in enumerate(runs(text, run)[1]):
+        first.setdefault(digest, i)
     halves = np.frombuffer(b"".join(first), "<i8").reshape(-1, 2)
     return halves[:, 0].tolist(), halves[:, 1].tolist(), list(first.values())
 
@@ -98,16 +103,14 @@ def keep(text: str | None, starts: list[int], run: int = RUN) -> tuple[str | Non
 
     Also its number of sentences, and the removed spans, joined where they touch.
     """
-    spans, digests = runs(text, run)
+    spans, found = runs(text, run)
     gone = np.zeros(len(spans), bool)
+    repeats = set(starts)
     seen: set[bytes] = set()
-    for i, digest in enumerate(digests):
-        if digest in seen:
-            gone[i : i + run] = True
-        elif digest is not None:
-            seen.add(digest)
-    for i in starts:
-        gone[i : i + run] = True
+    for i, (digest, end) in enumerate(found):
+        if digest in seen or i in repeats:
+            gone[i:end] = True
+        seen.add(digest)
     if not gone.any():
         return text, len(spans), []
     removed: list[tuple[int, int]] = []
