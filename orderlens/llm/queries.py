@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontamination, quality, simhash, spans, token_files, warc
+from orderlens.llm import bpe, decontamination, quality, simhash, spans, token_files, toxicity, warc
 from orderlens.operators.durable import store
 
 
@@ -84,6 +84,17 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = toxicity.fit(documents, _table(spark, folder, "labels"))
+    scores = documents.select(
+        "doc_id",
+        (toxicity.fold("doc_id") == 0).alias("held_out"),
+        toxicity.score(model, F.col("text")).alias("score"),
+    )
+    return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_spans": op2_spans,
@@ -92,6 +103,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_repair": op7_repair,
     "op8_warc": op8_warc,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
