@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontamination, quality, simhash, spans, token_files, toxicity, warc
+from orderlens.llm import (
+    bpe,
+    decontamination,
+    pseudo_likelihood,
+    quality,
+    simhash,
+    spans,
+    token_files,
+    toxicity,
+    warc,
+)
 from orderlens.operators.durable import store
 
 
@@ -95,6 +105,13 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = spark.sparkContext.broadcast(pseudo_likelihood.fit(documents))
+    score = pseudo_likelihood.scored(F.col("text"), model)
+    return documents.select("doc_id", score.alias("score")).select("doc_id", "score.*")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_spans": op2_spans,
@@ -104,6 +121,7 @@ QUERIES = {
     "op7_repair": op7_repair,
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
+    "op10_pseudo_likelihood": op10_pseudo_likelihood,
 }
 
 ORACLE_SQL: dict[str, str] = {
