@@ -14,6 +14,7 @@ from orderlens.llm import (
     simhash,
     spans,
     token_files,
+    tool_calls,
     toxicity,
     warc,
 )
@@ -36,6 +37,24 @@ def op2_spans(spark: SparkSession, folder: str) -> DataFrame:
     return spans.without_repeats(documents).select("doc_id", "spans.*")
 
 
+#: Parameters of the two calls that plain conversations are read as.
+CHAT_TOOLS = [
+    ("reply", "text", "string", True),
+    ("reply", "turn", "integer", True),
+    ("reply", "words", "integer", True),
+    ("configure", "text", "string", True),
+]
+
+
+def op3_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = tool_calls.turns_as_calls(_table(spark, folder, "conversations"))
+    schemas = spark.range(1).select(
+        F.inline(F.array(*[F.struct(*map(F.lit, tool)) for tool in CHAT_TOOLS]))
+    ).toDF("name", "parameter", "kind", "required")
+    found = tool_calls.formatted(calls, results, schemas)
+    return found.withColumn("errors", F.array_join("errors", "; "))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -115,6 +134,7 @@ def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_spans": op2_spans,
+    "op3_tool_calls": op3_tool_calls,
     "op4_simhash": op4_simhash,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_decontamination": op6_decontamination,
@@ -124,7 +144,60 @@ QUERIES = {
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
 }
 
+_DOC_WORDS = """
+    SELECT {key}, list_filter(
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'),
+                           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words
+    FROM {table}"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_tool_calls": r"""
+        WITH t AS (
+            SELECT conv_id, turn, lower(role) AS role, text,
+                   len(list_filter(regexp_split_to_array(trim(text), '\s+'), lambda w: w <> '')) AS words
+            FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+        ), calls AS (
+            SELECT conv_id, conv_id || '-' || turn AS call_id, turn AS position,
+                   CASE role WHEN 'user' THEN 'reply' ELSE 'configure' END AS name,
+                   CASE role WHEN 'user'
+                        THEN to_json(struct_pack(text := text, turn := turn, words := words))
+                        ELSE to_json(struct_pack(text := text)) END AS arguments
+            FROM t WHERE role IN ('user', 'system')
+        ), answers AS (
+            SELECT conv_id, turn - 1 AS position, min(text) AS result, count(*) AS answers
+            FROM t WHERE role IS NULL OR role NOT IN ('user', 'system') GROUP BY ALL
+        )
+        SELECT conv_id, call_id, position, CAST(0 AS INTEGER) AS level, name,
+               CAST(arguments AS VARCHAR) AS arguments, '' AS errors, true AS valid,
+               coalesce(answers, 0) AS answers, result,
+               CAST(to_json(struct_pack(
+                   arguments := arguments, call_id := call_id, conv_id := conv_id,
+                   errors := CAST([] AS VARCHAR[]), name := name, result := result)) AS VARCHAR)
+                   AS record
+        FROM calls LEFT JOIN answers USING (conv_id, position)""",
+    "op6_decontamination": f"""
+        WITH d AS ({_DOC_WORDS.format(key="doc_id", table="documents")}),
+        i AS ({_DOC_WORDS.format(key="item_id", table="benchmark")}),
+        windows AS (
+            SELECT DISTINCT item_id, list_slice(words, first, first + n - 1) AS w, n
+            FROM (SELECT *, least(10, len(words)) AS n FROM i WHERE len(words) > 0),
+                 unnest(range(1, len(words) - n + 2)) AS s(first)
+        ), places AS (
+            SELECT doc_id, first, n, list_slice(words, first, first + n - 1) AS w
+            FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(words) - n + 2)) AS s(first)
+        ), met AS (SELECT doc_id, item_id, first, n FROM places JOIN windows USING (w, n)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM met, unnest(range(first, first + n)) AS u(p) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op8_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
