@@ -137,13 +137,22 @@ def near_duplicates(
     stays null and never names a group, unless the group has no other.  An empty
     table gives no rows.  Other columns are not read.
     """
+    return _grouped(documents, text, key, shingle_words, crowded_slot).drop("tie")
+
+
+def _grouped(
+    documents: DataFrame, text: str, key: str, shingle_words: int, crowded_slot: int
+) -> DataFrame:
+    """`near_duplicates` with a hash of the text, `tie`."""
+    value = F.col(f"`{text}`")
     prints, _ = store(
         documents.select(
-            F.col(f"`{key}`").alias("key"), fingerprint(F.col(f"`{text}`"), shingle_words).alias("bits")
+            F.col(f"`{key}`").alias("key"), fingerprint(value, shingle_words).alias("bits"),
+            F.xxhash64(value.cast("string")).alias("tie"),
         )
     )
     part = F.xxhash64("bits").alias("_part")
-    distinct, path = store(
+    distinct, _ = store(
         prints.groupBy("bits").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
     )
     found, _ = store(components(links(distinct.select("bits"), crowded_slot)))
@@ -158,23 +167,29 @@ def near_duplicates(
     # that adaptive execution can split a fingerprint with very many copies.
     groups = groups.groupBy("bits", part).agg(F.first("component").alias("component")).drop("_part")
     joined = prints.join(groups, "bits", "left").select(
-        "key", "bits", F.coalesce("component", "key").alias("component")
+        "key", "bits", F.coalesce("component", "key").alias("component"), "tie"
     )
     return joined.withColumnRenamed("key", key)
 
 
-def representatives(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def representatives(
+    documents: DataFrame, text: str = "text", key: str = "doc_id",
+    shingle_words: int = SHINGLE_WORDS, crowded_slot: int = CROWDED_SLOT,
+) -> DataFrame:
     """The documents without near-duplicates: of each group the one with the least key.
 
-    Of rows that share that key and the fingerprint, one stays.  All columns are kept.
+    Of rows that share that key and the fingerprint, one stays: that with the least
+    hash of its text, and any one of equal texts.  All columns are kept.
     """
-    groups = near_duplicates(documents, text, key)
-    chosen = groups.filter(F.col(key).eqNullSafe(F.col("component"))).select(
-        F.col(key).alias("_key"), F.col("bits").alias("_bits")
-    ).distinct()
-    bits = free_name(documents, "bits")
-    marked = documents.withColumn(bits, fingerprint(F.col(f"`{text}`")))
-    kept = marked.join(
-        chosen, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col(bits) == F.col("_bits")), "left_semi"
+    groups = _grouped(documents, text, key, shingle_words, crowded_slot)
+    chosen = (
+        groups.filter(F.col(key).eqNullSafe(F.col("component")))
+        .groupBy(key, "bits").agg(F.min("tie").alias("tie"))
     )
-    return kept.dropDuplicates([key, bits]).drop(bits)
+    # Fields of a struct compare with nulls equal, and the join's shuffle serves the
+    # removal of equal rows as well.
+    identity = free_name(documents, "identity")
+    wanted = chosen.select(F.struct(F.col(key).alias("key"), "tie").alias(identity)).distinct()
+    own = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("tie"))
+    kept = documents.withColumn(identity, own).join(wanted, identity, "left_semi")
+    return kept.dropDuplicates([identity]).drop(identity)
