@@ -28,6 +28,8 @@ _SEED = 7
 
 #: Scores lie between 0 and 1; thresholds are multiples of 1 / SCORE_STEPS.
 SCORE_STEPS = 4096
+#: A threshold that no score reaches.
+NEVER = 2.0
 #: A good text refused counts as much as so many bad ones kept (as shares of each).
 GOOD_WEIGHT = 20.0
 
@@ -217,7 +219,7 @@ def fit(counted: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     order = F.xxhash64("counts")
     sample = labelled.orderBy(order, "counts").limit(SAMPLE_ROWS).select("counts.*").collect()
     forest = fit_forest(features(np.array(sample, dtype=np.int64).reshape(-1, len(COUNTS))))
-    judge = Judge(forest, 1.0)
+    judge = Judge(forest, NEVER)
     scored = labelled.filter(~base_failed("counts")).select(
         F.floor(judge.score(F.col("counts")) * SCORE_STEPS).alias("step"), "_good"
     )
@@ -230,7 +232,7 @@ def fit(counted: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
 def _threshold(steps: list) -> float:
     """The step whose upper part refuses best; SCORE_STEPS steps at most."""
     good, bad = sum(r.good for r in steps), sum(r.bad for r in steps)
-    best, at, refused_good, refused_bad = 0.0, 1.0, 0, 0
+    best, at, refused_good, refused_bad = 0.0, NEVER, 0, 0
     if good and bad:
         for r in sorted(steps, key=lambda r: -r.step):
             refused_good += r.good

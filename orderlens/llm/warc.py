@@ -192,7 +192,10 @@ def _frame_end(view: memoryview, at: int) -> int:
         at += 3 + (1 if kind == 1 else size)
         if at > len(view) or kind == 3:
             raise BadArchive("a frame is cut short")
-    return at + 4 * shape.has_checksum
+    at += 4 * shape.has_checksum
+    if at > len(view):
+        raise BadArchive("a frame's checksum is cut short")
+    return at
 
 
 def parse_record(raw: bytes) -> dict:

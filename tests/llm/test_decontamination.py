@@ -1,0 +1,58 @@
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from conftest import ODD, PASSAGE
+from orderlens.llm import decontamination
+from orderlens.llm.queries import contamination_digest
+
+ITEMS = [
+    (1, PASSAGE[:200]), (2, "word"), (3, None), (4, ""), (5, "again and AGAIN, one long text of many words again"),
+    (5, "again and AGAIN, one long text of many words again"), (20, "word!"), (None, "a text without a key"),
+    (6, "a b c d a b c d a b c d a b"), (7, "no such thing"),
+]
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    return spark.createDataFrame(ITEMS, "item_id bigint, text string")
+
+
+def digests(found):
+    return found.select("doc_id", "text", *contamination_digest("_contamination")).collect()
+
+
+@pytest.mark.parametrize("block", [1, 60, decontamination.AUTOMATON_WORDS])
+def test_odd_rows(odd, benchmark, block):
+    found = decontamination.contamination(odd, benchmark, automaton_words=block)
+    rows = digests(found)
+    assert len(rows) == len(ODD) and set(odd.columns) < set(found.columns)
+    for r in rows:
+        assert tuple(r)[2:] == plain.contamination(r.text, ITEMS)
+
+
+def test_offsets_lead_to_the_original(odd, benchmark):
+    rows = decontamination.contamination(odd, benchmark).filter(F.size("_contamination.hits") > 0).collect()
+    assert len(rows) > 5
+    for r in rows:
+        own = plain.benchmark_words(r.text)
+        for hit in r["_contamination"].hits:
+            part = plain.benchmark_words(r.text[hit.start : hit.end])
+            assert part == own[hit.first : hit.last + 1]
+            assert plain.benchmark_words(r.text[: hit.start]) == own[: hit.first]
+
+
+def test_empty_tables(odd, empty, benchmark):
+    nothing = benchmark.limit(0)
+    assert decontamination.contamination(empty, benchmark).count() == 0
+    rows = decontamination.contamination(odd, nothing).select("_contamination.*").collect()
+    assert all(not r.hits and not r["items"] for r in rows) and len(rows) == len(ODD)
+
+
+def test_query_equals_plain(spark, small):
+    items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = entry.queries()["op6_decontamination"](spark, small).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == {k: plain.contamination(t, items) for k, t in texts.items()}
+    assert any(r.contaminated for r in got)

@@ -1,0 +1,82 @@
+import random
+
+import plain
+import pytest
+
+import __spark_entry__ as entry
+from conftest import ODD, PASSAGE
+from orderlens.llm import spans
+
+
+def test_query_equals_plain(spark, small):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect())
+    got = {r.doc_id: r for r in entry.queries()["op2_spans"](spark, small).collect()}
+    want = dict(zip((k for k, _ in rows), plain.without_repeats(rows)))
+    assert {k: r.text for k, r in got.items()} == want
+    for k, text in rows:
+        gone = sum(s.end - s.start for s in got[k].removed)
+        assert len(want[k]) == len(text) - gone and got[k].n_removed == len(got[k].removed)
+    assert any(r.n_removed for r in got.values())
+
+
+def test_no_long_passage_stands_twice_and_no_sentence_is_lost(spark, medium):
+    got = entry.queries()["op2_spans"](spark, medium).collect()
+    owner = {}
+    for r in got:
+        own = r.text.split()
+        for i in range(len(own) - 49):
+            assert owner.setdefault(tuple(own[i : i + 50]), r.doc_id) == r.doc_id
+    left = {s for r in got for a, b in spans.sentences(r.text) for s in [" ".join(r.text[a:b].split())]}
+    texts = [r.text for r in spark.read.parquet(f"{medium}/documents.parquet").collect()]
+    joined = "\n".join(" ".join(r.text.split()) for r in got)
+    for text in texts[:300]:
+        for a, b in spans.sentences(text):
+            sentence = " ".join(text[a:b].split())
+            assert sentence in left or sentence in joined
+
+
+def test_sentences_cover_the_text():
+    rng = random.Random(5)
+    for _ in range(200):
+        text = "".join(rng.choice("ab .!?\n\té…") for _ in range(rng.randrange(300)))
+        found = spans.sentences(text)
+        assert "".join(text[a:b] for a, b in found) == text
+        assert all(a < b for a, b in found)
+
+
+def test_long_sentences_are_cut_alike_wherever_they_stand():
+    long = " ".join(f"w{i * 7 % 50}" for i in range(60))
+    here = [long[a:b].strip() for a, b in spans.sentences(long)]
+    other = f"Some words before, {long} and after"
+    there = [other[a:b].strip() for a, b in spans.sentences(other)]
+    assert len(here) > 4 and set(here[1:-1]) <= set(there)
+    assert len(spans.sentences("the " * 500)) > 10
+
+
+def test_odd_rows(odd, empty):
+    got = spans.without_repeats(odd)
+    assert set(odd.columns) < set(got.columns)
+    rows = {}
+    for r in got.collect():
+        rows.setdefault(r.doc_id, []).append((r.text, r["_spans"]))
+    assert [s.text for _, s in rows[1]] == [None] and [s.text for _, s in rows[2]] == [""]
+    assert PASSAGE in rows[9][0][1].text
+    shared = [s for t, s in rows[10] if "other words" in t][0]
+    assert "worth finding" not in shared.text and "other words" in shared.text
+    # Rows with equal keys are one document; repeats inside a text go.
+    assert rows[5][0][1].text == rows[5][1][1].text and len(rows[5][0][1].text) < 100
+    assert sum(map(len, rows.values())) == len(ODD)
+    assert spans.without_repeats(empty).count() == 0
+
+
+def test_rows_without_keys_come_last(spark):
+    rows = [(None, f"{PASSAGE} one"), (None, f"{PASSAGE} two"), (3, PASSAGE)]
+    got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.spans.n_removed for r in got if r.doc_id} == {3: 0}
+    assert all(r.spans.n_removed == 1 for r in got if not r.doc_id)
+
+
+@pytest.mark.parametrize("text", ["A b. C d. E f. " * 4, "Yes. " * 40, "no marks at all here " * 100])
+def test_repeats_inside_a_text(spark, text):
+    (r,) = spans.without_repeats(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert r.spans.text == plain.without_repeats([(1, text)])[0] != text
