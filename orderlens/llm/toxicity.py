@@ -212,7 +212,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray) -> Boosted:
 def fit_isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of a rising step curve from margins to probabilities (pool adjacent violators).
 
-    One row of either label is added at the ends, so probabilities stay inside (0, 1).
+    One row of either label is added at the ends, so that any sample gives a rising curve.
     """
     order = np.argsort(margin, kind="stable")
     m, v = margin[order], y[order].astype(float)
