@@ -55,6 +55,20 @@ def _report(report, **options) -> Query:
     )
 
 
+def _sub_cent(report) -> Query:
+    """A report on prices below a cent; lines of every seventh part have no price."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t = star_tables(spark, folder)
+        priced = F.when(F.col("product_id") % 7 != 0, F.col("unit_price") / 8)
+        lines = t.order_items.withColumn("unit_price", priced)
+        return report(
+            Tables(t.customers, t.products, t.orders, lines), completed=COMPLETED_STATUS
+        )
+
+    return run
+
+
 def _named(name: str, **options) -> Query:
     return lambda spark, folder: run_report(
         star_tables(spark, folder), name, completed=COMPLETED_STATUS, as_of=AS_OF, **options
@@ -152,6 +166,10 @@ def core_queries() -> dict[str, Query]:
         "top_products_revenue": _report(reports.top_products_revenue),
         "top_products_revenue_10": _report(reports.top_products_revenue, limit=10),
         "aov_by_segment": _report(reports.aov_by_segment),
+        "revenue_by_customer_sub_cent": _sub_cent(reports.revenue_by_customer),
+        "aov_by_segment_sub_cent": _sub_cent(reports.aov_by_segment),
+        "top_customers_ltv_sub_cent": _sub_cent(reports.top_customers_ltv),
+        "rank_within_customer_sub_cent": _sub_cent(reports.rank_within_customer),
         # ranks and series
         "top_customers_ltv": _report(reports.top_customers_ltv),
         "top_customers_ltv_20": _report(reports.top_customers_ltv, limit=20),
@@ -253,6 +271,12 @@ sales AS (
     WHERE l_orderkey = o_orderkey AND o_orderstatus = 'F'
 )"""
 
+# The same with an eighth of each price, and none for every seventh part.
+_SUB_CENT = _SALES.replace(
+    "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount",
+    "CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_extendedprice / 8 AS DECIMAL(20,6)) END AS amount",
+)
+
 _MONTHS = _SALES + """,
 months AS (SELECT order_month, SUM(amount) AS m FROM sales GROUP BY order_month)"""
 
@@ -457,6 +481,7 @@ _CLEANING_REPORT = f"""
         UNION ALL SELECT 'products', 'categories_filled', COUNT(*) FROM raw_products WHERE category IS NULL
         UNION ALL SELECT 'products', 'bad_prices_removed', COUNT(*) FROM raw_products WHERE price <= 0
         UNION ALL SELECT 'products', 'missing_prices_removed', COUNT(*) FROM raw_products WHERE price IS NULL
+        UNION ALL SELECT 'products', 'prices_out_of_range_removed', COUNT(*) FROM raw_products WHERE abs(price) >= 1e14
         UNION ALL SELECT 'products', 'cleaned_rows', COUNT(*) FROM clean_products
         UNION ALL SELECT 'orders', 'raw_rows', a FROM o
         UNION ALL SELECT 'orders', 'duplicates_removed', a - b FROM o
@@ -471,6 +496,7 @@ _CLEANING_REPORT = f"""
         UNION ALL SELECT 'order_items', 'bad_quantities_removed', COUNT(*) FROM judged_items WHERE verdict = 'quantity'
         UNION ALL SELECT 'order_items', 'missing_quantities_removed', COUNT(*) FROM raw_items WHERE quantity IS NULL
         UNION ALL SELECT 'order_items', 'missing_prices_removed', COUNT(*) FROM judged_items WHERE verdict = 'price'
+        UNION ALL SELECT 'order_items', 'prices_out_of_range_removed', COUNT(*) FROM raw_items WHERE abs(unit_price) >= 1e14
         UNION ALL SELECT 'order_items', 'cleaned_rows', COUNT(*) FROM clean_items
     )"""
 
@@ -549,9 +575,44 @@ def core_oracle_sql() -> dict[str, str]:
                 SELECT order_id, c_mktsegment AS segment, SUM(amount) AS t
                 FROM sales JOIN customer ON c_custkey = customer_id GROUP BY ALL
             )
-            SELECT segment, ROUND(CAST(SUM(t) AS DOUBLE) / COUNT(*), 2) AS avg_order_value,
+            SELECT segment, ROUND(CAST(SUM(t) AS DOUBLE) / COUNT(t), 2) AS avg_order_value,
                    COUNT(*) AS num_orders
             FROM per_order GROUP BY segment""",
+        "revenue_by_customer_sub_cent": f"""
+            WITH {_SUB_CENT}
+            SELECT customer_id, c_name AS name, c_mktsegment AS segment,
+                   CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS total_revenue,
+                   COUNT(DISTINCT order_id) AS total_orders
+            FROM sales JOIN customer ON c_custkey = customer_id
+            GROUP BY customer_id, c_name, c_mktsegment""",
+        "aov_by_segment_sub_cent": f"""
+            WITH {_SUB_CENT},
+            per_order AS (
+                SELECT order_id, c_mktsegment AS segment, SUM(amount) AS t
+                FROM sales JOIN customer ON c_custkey = customer_id GROUP BY ALL
+            )
+            SELECT segment, ROUND(CAST(SUM(t) AS DOUBLE) / COUNT(t), 2) AS avg_order_value,
+                   COUNT(*) AS num_orders
+            FROM per_order GROUP BY segment""",
+        "top_customers_ltv_sub_cent": f"""
+            WITH {_SUB_CENT},
+            ltv AS (
+                SELECT customer_id, c_name AS name, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS lifetime_value
+                FROM sales JOIN customer ON c_custkey = customer_id GROUP BY customer_id, c_name
+            )
+            SELECT *, RANK() OVER (ORDER BY lifetime_value DESC NULLS LAST) AS ltv_rank,
+                   DENSE_RANK() OVER (ORDER BY lifetime_value DESC NULLS LAST) AS ltv_dense_rank
+            FROM ltv""",
+        "rank_within_customer_sub_cent": f"""
+            WITH {_SUB_CENT},
+            totals AS (
+                SELECT customer_id, order_id, placed AS order_date, SUM(amount) AS t
+                FROM sales GROUP BY ALL
+            )
+            SELECT customer_id, order_id, order_date, CAST(ROUND(t, 2) AS DOUBLE) AS order_total,
+                   RANK() OVER (PARTITION BY customer_id ORDER BY t DESC NULLS LAST)
+                       AS rank_within_customer
+            FROM totals""",
         "top_customers_ltv": f"WITH {_LTV} SELECT * FROM ranked",
         "top_customers_ltv_20": f"""
             WITH {_LTV} SELECT * FROM ranked ORDER BY ltv_rank, customer_id LIMIT 20""",

@@ -1,47 +1,31 @@
-"""Exact money: amounts travel as whole cents and become currency on output.
+"""Exact money: amounts are decimals and are rounded on output only.
 
 Sums of binary floating-point prices depend on the order in which partitions
-arrive; whole cents do not.  Multiplying and summing cents as integers also
-costs a fraction of DECIMAL arithmetic, which builds an object per value.
+arrive; decimals do not.  A price keeps six decimals, so that prices below a cent
+count in full: 1,000 times 0.125 is 125.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CENT = Decimal("0.01")
-_LOW_BITS = 20
-_LOW_RANGE = 1 << _LOW_BITS
-
-
-def cents(price: Column) -> Column:
-    """A price, DOUBLE or DECIMAL(12,2), as whole cents."""
-    return F.rint(price.cast("double") * 100).cast("bigint")
-
+from orderlens.model import MONEY
 
-def line_cents(quantity: Column, unit_price: Column) -> Column:
-    """The amount of one order line, BIGINT."""
-    return quantity * cents(unit_price)
 
+def stored_price(price: Column) -> Column:
+    """A price as it is stored; null if it is infinite, not a number or too large."""
+    return price.try_cast(MONEY)
 
-def sum_cents(amount: Column) -> Column:
-    """Sum of BIGINT cents as DECIMAL(28,0).
 
-    The total of a table, or of one key with a third of its rows, may exceed a
-    BIGINT.  High and low bits are therefore summed apart, both as BIGINT, and
-    put together once per group; a direct DECIMAL sum would do the same per row.
-    """
-    high = F.sum(F.shiftright(amount, _LOW_BITS)).cast("decimal(19,0)")
-    low = F.sum(amount.bitwiseAND(_LOW_RANGE - 1)).cast("decimal(19,0)")
-    return high * F.lit(_LOW_RANGE).cast("decimal(7,0)") + low
+def line_amount(quantity: Column, unit_price: Column) -> Column:
+    """The amount of one order line, DECIMAL(31,6): no quantity and price overflow it."""
+    return stored_price(unit_price) * quantity.cast("decimal(10,0)")
 
 
-def currency(cent_sum: Column) -> Column:
-    """Cents as currency; two decimals by construction, so no rounding is lost."""
-    return (cent_sum * F.lit(_CENT)).cast("double")
+def currency(amount: Column) -> Column:
+    """An amount as shown: two decimals."""
+    return F.round(amount, 2).cast("double")
 
 
 def rounded(number: Column, digits: int) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
+# Six decimals: a price below a cent is stored and summed as it is.
+MONEY = T.DecimalType(20, 6)
 
 CUSTOMERS = T.StructType([
     T.StructField("customer_id", T.LongType()),

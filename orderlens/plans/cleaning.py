@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.missing import fill, nan_to_null
+from orderlens.functions.money import stored_price
 from orderlens.functions.text import strip_blanks, title_case
 from orderlens.functions.times import DATE_FORMATS, cut_to_second, moment_literal, parse_timestamp
-from orderlens.model import MONEY, RawTables, Tables
+from orderlens.model import RawTables, Tables
 from orderlens.operators.dedup import collapse_copies
 from orderlens.operators.durable import durable
 from orderlens.operators.keysets import flag_known
@@ -55,17 +56,30 @@ def judge_customers(raw: DataFrame) -> DataFrame:
 
 
 def judge_products(raw: DataFrame) -> DataFrame:
-    """Fill categories and refuse prices that are not positive. Copies stay."""
-    price = nan_to_null(F.col("price").cast("double"))
+    """Fill categories and refuse prices that are not positive. Copies stay.
+
+    Rules look at the price as it will be stored, so no accepted row breaks them later.
+    """
+    price, unstorable = _price(F.col("price"))
     return raw.withColumns({
         "category_filled": F.col("category").isNull(),
         "category": fill(F.col("category"), NO_CATEGORY),
-        "price": price.cast(MONEY),
+        "price": price,
         "copies": F.lit(1).cast("bigint"),
-        "violation": first_violation(("missing_price", price.isNull()), ("bad_price", price <= 0)),
+        "violation": first_violation(
+            ("price_out_of_range", unstorable), ("missing_price", price.isNull()), ("bad_price", price <= 0)
+        ),
     })
 
 
+def _price(raw: Column) -> tuple[Column, Column]:
+    """The price as it is stored, and whether there is one that can't be stored:
+    infinite or too large. NaN is a missing price."""
+    number = nan_to_null(raw.cast("double"))
+    stored = stored_price(number)
+    return stored, number.isNotNull() & stored.isNull()
+
+
 def judge_orders(
     raw: DataFrame, customers: DataFrame, as_of: datetime | str,
     formats: Sequence[str] = DATE_FORMATS,
@@ -99,7 +113,7 @@ def judge_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) ->
         flag_known(rows, "order_id", orders, "known_order"),
         "product_id", products, "known_product",
     )
-    price = nan_to_null(F.col("unit_price").cast("double"))
+    price, unstorable = _price(F.col("unit_price"))
     return (
         flagged.withColumn(
             "violation",
@@ -108,10 +122,11 @@ def judge_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) ->
                 ("unknown_product", ~F.col("known_product")),
                 ("bad_quantity", F.col("quantity") <= 0),
                 ("missing_quantity", F.col("quantity").isNull()),
+                ("price_out_of_range", unstorable),
                 ("missing_price", price.isNull()),
             ),
         )
-        .withColumn("unit_price", price.cast(MONEY))
+        .withColumn("unit_price", price)
         .select(*raw.columns, *_BOOKKEEPING)
     )
 
@@ -201,6 +216,7 @@ def product_counts(judged: DataFrame) -> DataFrame:
         "categories_filled": F.count_if("category_filled"),
         "bad_prices_removed": _count_violation("bad_price"),
         "missing_prices_removed": _count_violation("missing_price"),
+        "prices_out_of_range_removed": _count_violation("price_out_of_range"),
         "cleaned_rows": F.count_if(_kept()),
     })
 
@@ -225,6 +241,7 @@ def order_item_counts(judged: DataFrame) -> DataFrame:
         "bad_quantities_removed": _count_violation("bad_quantity"),
         "missing_quantities_removed": _count_violation("missing_quantity"),
         "missing_prices_removed": _count_violation("missing_price"),
+        "prices_out_of_range_removed": _count_violation("price_out_of_range"),
         "cleaned_rows": F.count_if(_kept()),
     })
 

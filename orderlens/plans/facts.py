@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import line_cents, sum_cents
+from orderlens.functions.money import line_amount
 from orderlens.functions.times import month_number
 from orderlens.model import COMPLETED, Tables
 
@@ -25,33 +25,37 @@ def completed_orders(tables: Tables, completed: str = COMPLETED) -> DataFrame:
 
 
 def order_totals(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """order_id, customer_id, order_date, order_cents for completed orders with lines.
+    """order_id, customer_id, order_date, order_amount for completed orders with lines.
 
     Lines are summed per order before the join: the shuffle carries one partial
     sum per order and map task however many lines an order has, and the join,
     which is one to one, reuses that shuffle.
     """
     per_order = tables.order_items.groupBy("order_id").agg(
-        sum_cents(line_cents(F.col("quantity"), F.col("unit_price"))).alias("order_cents")
+        F.sum(line_amount(F.col("quantity"), F.col("unit_price"))).alias("order_amount")
     )
     return completed_orders(tables, completed).join(per_order, "order_id")
 
 
 def customer_spend(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """customer_id, spent_cents, orders, last_order_date."""
+    """customer_id, spent, orders, priced_orders, last_order_date.
+
+    An order none of whose lines has a price counts as an order, but has no total.
+    """
     return (
         order_totals(tables, completed)
         .groupBy("customer_id")
         .agg(
-            F.sum("order_cents").alias("spent_cents"),
+            F.sum("order_amount").alias("spent"),
             F.count(F.lit(1)).alias("orders"),
+            F.count("order_amount").alias("priced_orders"),
             F.max("order_date").alias("last_order_date"),
         )
     )
 
 
 def product_sales(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """product_id, sold_cents, units for lines of completed orders.
+    """product_id, sold, units for lines of completed orders.
 
     The semi join needs only order keys.  A hot order is split by adaptive
     execution (its lines are the large side, the key side has one row); a hot
@@ -60,18 +64,18 @@ def product_sales(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     wanted = completed_orders(tables, completed).select("order_id")
     lines = tables.order_items.join(wanted, "order_id", "left_semi")
     return lines.groupBy("product_id").agg(
-        sum_cents(line_cents(F.col("quantity"), F.col("unit_price"))).alias("sold_cents"),
+        F.sum(line_amount(F.col("quantity"), F.col("unit_price"))).alias("sold"),
         F.sum(F.col("quantity").cast("bigint")).alias("units"),
     )
 
 
 def monthly_revenue(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """month (number), month_cents, orders: one row per month that has revenue."""
+    """month (number), month_amount, orders: one row per month that has revenue."""
     return (
         order_totals(tables, completed)
         .groupBy(month_number(F.col("order_date")).alias("month"))
         .agg(
-            F.sum("order_cents").alias("month_cents"),
+            F.sum("order_amount").alias("month_amount"),
             F.count(F.lit(1)).alias("orders"),
         )
     )

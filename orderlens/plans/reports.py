@@ -40,7 +40,7 @@ def revenue_by_customer(tables: Tables, completed: str = COMPLETED, limit: int =
         "customer_id",
         "name",
         "segment",
-        currency(F.col("spent_cents")).alias("total_revenue"),
+        currency(F.col("spent")).alias("total_revenue"),
         F.col("orders").alias("total_orders"),
     )
     return _ordered(result, limit, F.desc("total_revenue"), "customer_id")
@@ -54,7 +54,7 @@ def revenue_by_category(tables: Tables, completed: str = COMPLETED, limit: int =
         .join(what, "product_id")
         .groupBy("category")
         .agg(
-            currency(F.sum("sold_cents")).alias("total_revenue"),
+            currency(F.sum("sold")).alias("total_revenue"),
             F.sum("units").alias("total_units_sold"),
         )
     )
@@ -65,7 +65,7 @@ def revenue_by_month(tables: Tables, completed: str = COMPLETED, limit: int = 0)
     """Revenue and number of orders per calendar month."""
     result = facts.monthly_revenue(tables, completed).select(
         month_label(F.col("month")).alias("order_month"),
-        currency(F.col("month_cents")).alias("total_revenue"),
+        currency(F.col("month_amount")).alias("total_revenue"),
         F.col("orders").alias("total_orders"),
     )
     return _ordered(result, limit, "order_month")
@@ -83,7 +83,7 @@ def top_products_revenue(tables: Tables, completed: str = COMPLETED, limit: int
     """Products by revenue."""
     result = _with_product(tables, facts.product_sales(tables, completed)).select(
         "product_id", "product_name", "category",
-        currency(F.col("sold_cents")).alias("total_revenue"),
+        currency(F.col("sold")).alias("total_revenue"),
     )
     return _ordered(result, limit, F.desc("total_revenue"), "product_id")
 
@@ -97,6 +97,8 @@ def _with_product(tables: Tables, sales: DataFrame) -> DataFrame:
 def aov_by_segment(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> DataFrame:
     """Mean order value per customer segment (mean of unrounded order totals).
 
+    Orders without any price have no total and stay out of the mean; they count in
+    `num_orders`.
     Sums and counts per customer are folded first, so the join to customers is
     one to one and a customer with very many orders is a single row.
     """
@@ -106,7 +108,9 @@ def aov_by_segment(tables: Tables, completed: str = COMPLETED, limit: int = 0) -
         .join(who, "customer_id")
         .groupBy("segment")
         .agg(
-            rounded(currency(F.sum("spent_cents")) / F.sum("orders"), 2).alias("avg_order_value"),
+            rounded(F.sum("spent").cast("double") / F.sum("priced_orders"), 2).alias(
+                "avg_order_value"
+            ),
             F.sum("orders").alias("num_orders"),
         )
     )
@@ -128,9 +132,10 @@ def top_customers_ltv(
     spend = (
         facts.customer_spend(tables, completed)
         .join(who, "customer_id")
-        .select("customer_id", "name", "spent_cents")
+        # Ranked by the value shown: customers whose values round alike tie.
+        .select("customer_id", "name", F.round("spent", 2).alias("spent"))
     )
-    names = ("spent_cents", "customer_id", "ltv_rank", "ltv_dense_rank")
+    names = ("spent", "customer_id", "ltv_rank", "ltv_dense_rank")
     few = 0 < limit <= ranking.TOP_ROWS
     ranked = (
         ranking.rank_top(spend, *names, n=limit)
@@ -140,7 +145,7 @@ def top_customers_ltv(
     result = ranked.select(
         "customer_id",
         "name",
-        currency(F.col("spent_cents")).alias("lifetime_value"),
+        currency(F.col("spent")).alias("lifetime_value"),
         "ltv_rank",
         "ltv_dense_rank",
     )
@@ -156,8 +161,8 @@ def running_revenue(tables: Tables, completed: str = COMPLETED, limit: int = 0)
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     result = facts.monthly_revenue(tables, completed).select(
         month_label(F.col("month")).alias("order_month"),
-        currency(F.col("month_cents")).alias("monthly_total"),
-        currency(F.sum("month_cents").over(so_far)).alias("running_total"),
+        currency(F.col("month_amount")).alias("monthly_total"),
+        currency(F.sum("month_amount").over(so_far)).alias("running_total"),
     )
     return _ordered(result, limit, "order_month")
 
@@ -165,10 +170,11 @@ def running_revenue(tables: Tables, completed: str = COMPLETED, limit: int = 0)
 def moving_avg_revenue(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> DataFrame:
     """Monthly revenue and its mean over this and the two preceding present months."""
     last_three = Window.orderBy("month").rowsBetween(-2, 0)
-    mean = currency(F.sum("month_cents").over(last_three)) / F.count("month_cents").over(last_three)
+    total, months = F.sum("month_amount").over(last_three), F.count("month_amount").over(last_three)
+    mean = total.cast("double") / months
     result = facts.monthly_revenue(tables, completed).select(
         month_label(F.col("month")).alias("order_month"),
-        currency(F.col("month_cents")).alias("monthly_total"),
+        currency(F.col("month_amount")).alias("monthly_total"),
         rounded(mean, 2).alias("moving_avg_3month"),
     )
     return _ordered(result, limit, "order_month")
@@ -177,15 +183,15 @@ def moving_avg_revenue(tables: Tables, completed: str = COMPLETED, limit: int =
 def growth_rate(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> DataFrame:
     """Change against the previous present month, in percent; null where there is
     no previous month or it had no revenue."""
-    previous = F.lag("month_cents").over(Window.orderBy("month"))
-    step = facts.monthly_revenue(tables, completed).withColumn("previous_cents", previous)
-    change = currency(F.col("month_cents") - F.col("previous_cents"))
-    base = currency(F.col("previous_cents"))
+    previous = F.lag("month_amount").over(Window.orderBy("month"))
+    step = facts.monthly_revenue(tables, completed).withColumn("previous", previous)
+    change = (F.col("month_amount") - F.col("previous")).cast("double")
+    base = F.col("previous").cast("double")
     result = step.select(
         month_label(F.col("month")).alias("order_month"),
-        currency(F.col("month_cents")).alias("monthly_total"),
-        base.alias("prev_month_total"),
-        F.when(F.col("previous_cents") != 0, rounded(F.lit(100.0) * change / base, 2)).alias(
+        currency(F.col("month_amount")).alias("monthly_total"),
+        currency(F.col("previous")).alias("prev_month_total"),
+        F.when(F.col("previous") != 0, rounded(F.lit(100.0) * change / base, 2)).alias(
             "growth_rate_pct"
         ),
     )
@@ -202,7 +208,7 @@ def rank_within_customer(
     more than `hot_rows` orders; those are ranked in slots instead of in one task.
     """
     totals = facts.order_totals(tables, completed)
-    names = ("customer_id", "order_cents", "order_id", "rank_within_customer")
+    names = ("customer_id", "order_amount", "order_id", "rank_within_customer")
     if 0 < limit <= ranking.LEADING_ROWS:
         ranked = ranking.first_by_group(totals, *names, n=limit)
     else:
@@ -218,7 +224,7 @@ def rank_within_customer(
         "customer_id",
         "order_id",
         "order_date",
-        currency(F.col("order_cents")).alias("order_total"),
+        currency(F.col("order_amount")).alias("order_total"),
         "rank_within_customer",
     )
     return _ordered(result, limit, "customer_id", "rank_within_customer", "order_id")
@@ -306,7 +312,7 @@ def segmentation(
     """
     age = days_between(moment_literal(as_of or _now()), F.col("last_order_date"))
     who = tables.customers.select("customer_id", "name")
-    frequency, monetary = F.col("orders"), currency(F.col("spent_cents"))
+    frequency, monetary = F.col("orders"), currency(F.col("spent"))
     frequency_tier = (
         F.when(frequency < occasional[0], ONE_TIME)
         .when(frequency.between(*occasional), OCCASIONAL)

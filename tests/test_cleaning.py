@@ -32,22 +32,26 @@ def test_customers_are_repaired_before_copies_are_found(spark):
 
 
 def test_product_rules(spark):
-    # Missing categories are filled, prices that are not positive refused.
-    changed = [(9, None, 359.85), (17, None, 478.91), (71, None, 482.46)]
-    refused = [(50, "Toys", -14.74), (63, "Electronics", -17.93), (98, "Apparel", 0.0),
-               (127, "Beauty", 0.0), (128, "Home & Kitchen", -4.82), (146, "Books", 0.0)]
-    odd = [(200, "Toys", None), (201, "Toys", float("nan"))]
-    good = [(1, "Toys", 5.25), (1, "Toys", 5.25)]
+    # Missing categories are filled, prices that are not positive refused; what counts is
+    # the price as it is stored.
+    inf = float("inf")
+    unnamed = [(3, None, 12.5), (4, None, 0.125)]
+    refused = [(5, "Toys", -3.0), (6, "Books", 0.0), (7, "Books", 0.0000004)]
+    odd = [(8, "Toys", None), (9, "Toys", float("nan"))]
+    unstorable = [(10, "Toys", inf), (11, "Toys", -inf), (12, "Toys", 1e15)]
+    good = [(1, "Toys", 5.25), (1, "Toys", 5.25), (2, "Toys", 0.004), (13, "Toys", 1e11)]
     judged = cleaning.judge_products(raw(spark, "products", [
-        (i, f"p{i}", c, p) for i, c, p in changed + refused + odd + good
+        (i, f"p{i}", c, p) for i, c, p in unnamed + refused + odd + unstorable + good
     ]))
-    kept = sorted((r.product_id, r.category, float(r.price))
-                  for r in cleaning.accepted(judged).collect())
-    assert kept == [(1, "Toys", 5.25), (1, "Toys", 5.25), (9, "Uncategorized", 359.85),
-                    (17, "Uncategorized", 478.91), (71, "Uncategorized", 482.46)]
+    kept = cleaning.accepted(judged)
+    assert sorted((r.product_id, r.category, float(r.price)) for r in kept.collect()) == [
+        (1, "Toys", 5.25), (1, "Toys", 5.25), (2, "Toys", 0.004), (3, "Uncategorized", 12.5),
+        (4, "Uncategorized", 0.125), (13, "Toys", 1e11),
+    ]
+    assert kept.filter("price IS NULL OR price <= 0").count() == 0
     assert {r.metric: r.value for r in cleaning.product_counts(judged).collect()} == {
-        "raw_rows": 13, "categories_filled": 3, "bad_prices_removed": 6,
-        "missing_prices_removed": 2, "cleaned_rows": 5,
+        "raw_rows": 14, "categories_filled": 2, "bad_prices_removed": 3,
+        "missing_prices_removed": 2, "prices_out_of_range_removed": 3, "cleaned_rows": 6,
     }
 
 
@@ -87,14 +91,16 @@ def test_items_follow_the_rule_order(spark):
             (5, 1, 1, 0, None), (6, 1, 1, -3, 5.0), (7, 1, 1, None, 5.0),
             (8, 1, 1, 1, None), (9, 1, 1, 1, nan),
             (10, 1, 1, 1, -4.0),                      # kept here, refused by the price check
+            (11, 1, 1, 1, float("inf")), (12, 1, 1, 1, 1e14), (13, 1, 1, 1, 0.004),
         ],
     )
-    assert sorted(r.order_item_id for r in cleaning.clean_order_items(t, NOW).collect()) == [1, 10]
+    assert sorted(r.order_item_id for r in cleaning.clean_order_items(t, NOW).collect()) == [1, 10, 13]
     report = {(r.table_name, r.metric): r.value for r in cleaning.cleaning_report(t, NOW).collect()}
     assert {m: v for (name, m), v in report.items() if name == "order_items"} == {
-        "raw_rows": 11, "duplicates_removed": 1, "unknown_orders_removed": 2,
+        "raw_rows": 14, "duplicates_removed": 1, "unknown_orders_removed": 2,
         "unknown_products_removed": 1, "bad_quantities_removed": 2,
-        "missing_quantities_removed": 1, "missing_prices_removed": 2, "cleaned_rows": 2,
+        "missing_quantities_removed": 1, "missing_prices_removed": 2,
+        "prices_out_of_range_removed": 2, "cleaned_rows": 3,
     }
 
 

@@ -1,10 +1,11 @@
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions.missing import na_to_null, nan_to_null
-from orderlens.functions.money import currency, line_cents, sum_cents
+from orderlens.functions.money import currency, line_amount
 from orderlens.functions.text import strip_blanks, title_case
 from orderlens.functions.times import (
     cut_to_second,
@@ -132,21 +133,23 @@ def test_no_value_tokens(spark):
     ]
 
 
-@pytest.mark.parametrize("kind", ["double", "decimal(12,2)"])
+@pytest.mark.parametrize("kind", ["double", "decimal(16,6)"])
 def test_money_is_exact(spark, kind):
-    prices = ["0.1", "0.2", "0.29", "1.13", "9999999999.99", "-4.35"]
+    prices = ["0.1", "0.2", "0.29", "1.13", "9999999999.99", "-4.35", "0.125", "0.000001"]
     df = spark.createDataFrame([(p,) for p in prices], "p string").select(
         F.col("p").cast(kind).alias("p")
     )
-    cents = [r.c for r in df.select(line_cents(F.lit(3), F.col("p")).alias("c")).collect()]
-    assert cents == [30, 60, 87, 339, 2999999999997, -1305]
-    total = df.agg(currency(sum_cents(line_cents(F.lit(1), F.col("p")))).alias("t")).first().t
-    assert total == 9999999997.36
-
-
-def test_money_sum_exceeds_long(spark):
-    amounts = [9 * 10**18, 9 * 10**18, -1, 2**20, -(2**20) - 1, 7, None]
-    df = spark.createDataFrame([(a,) for a in amounts], "c long")
-    assert int(df.agg(sum_cents(F.col("c")).alias("t")).first().t) == sum(a or 0 for a in amounts)
-    none = df.filter("c is null").agg(sum_cents(F.col("c")).alias("t")).first().t
-    assert none is None
+    amounts = [r.a for r in df.select(line_amount(F.lit(1000), F.col("p")).alias("a")).collect()]
+    assert amounts == [Decimal(p) * 1000 for p in prices]
+    total = df.agg(currency(F.sum(line_amount(F.lit(1), F.col("p")))).alias("t")).first().t
+    assert total == 9999999997.49
+
+
+def test_no_price_or_quantity_ends_a_job(spark):
+    prices = [float("inf"), float("-inf"), float("nan"), 1e300, 1e14, 99999999999999.0, None, 0.0000004]
+    df = spark.createDataFrame([(p,) for p in prices], "p double")
+    rows = df.select(line_amount(F.lit(2_000_000_000), F.col("p")).alias("a")).collect()
+    assert [r.a for r in rows] == [None] * 5 + [Decimal("99999999999999") * 2_000_000_000, None, 0]
+    huge = spark.range(1000).select(F.lit(99999999999999.0).alias("p"))
+    total = huge.agg(F.sum(line_amount(F.lit(2_147_483_647), F.col("p"))).alias("t")).first().t
+    assert total == Decimal("99999999999999") * 2_147_483_647 * 1000

@@ -59,7 +59,7 @@ def test_lines_are_shuffled_once_and_after_folding(spark, small, no_broadcast):
     # order key: orders and folded lines; customer key: folded orders and customers.
     assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 2
     assert len(re.findall(r"Exchange hashpartitioning\(customer_id", text)) == 2
-    folded = text.index("partial_sum(shiftright((cast(quantity")
+    folded = re.search(r"partial_sum\([^\n]*quantity", text).start()
     assert text.index("Exchange hashpartitioning(order_id", text.index("HashAggregate")) < folded
 
 

@@ -70,7 +70,7 @@ def test_counts_as_json(spark, raw_folder, tmp_path):
     raw = files.read_raw_tables(spark, raw_folder)
     files.write_counts(cleaning.cleaning_report(raw, "2025-01-01"), f"{tmp_path}/log")
     back = spark.read.json(f"{tmp_path}/log")
-    assert sorted(back.columns) == ["metric", "table_name", "value"] and back.count() == 24
+    assert sorted(back.columns) == ["metric", "table_name", "value"] and back.count() == 26
 
 
 def test_raw_round_trip(spark, raw_folder, tmp_path):
