@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.columns import Texts, per_text
+from orderlens.llm.sampling import least_hashes
 from orderlens.operators.durable import store
 
 #: Bounds of what the driver holds to fit the forest.
@@ -216,8 +217,7 @@ def fit(counted: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     labelled, _ = store(
         counted.select(F.col(key).alias("_key"), "counts").join(marks, "_key").select("_good", "counts")
     )
-    order = F.xxhash64("counts")
-    sample = labelled.orderBy(order, "counts").limit(SAMPLE_ROWS).select("counts.*").collect()
+    sample = least_hashes(labelled, SAMPLE_ROWS, "counts").select("counts.*").collect()
     forest = fit_forest(features(np.array(sample, dtype=np.int64).reshape(-1, len(COUNTS))))
     judge = Judge(forest, NEVER)
     scored = labelled.filter(~base_failed("counts")).select(

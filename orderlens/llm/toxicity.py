@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.columns import Texts, per_text
+from orderlens.llm.sampling import least_hashes
 from orderlens.operators.durable import store
 
 FOLDS = 5
@@ -292,7 +293,8 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", key: str =
     """
     marks = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").alias("_label"), fold(key).alias("_fold"))
     marks = marks.dropna().filter("_fold != 0").groupBy("_key", "_fold").agg(F.max("_label").alias("_label"))
-    chosen, _ = store(marks.orderBy(F.xxhash64("_key"), "_key").limit(labelled_rows))
+    marks, _ = store(marks)
+    chosen, _ = store(least_hashes(marks, labelled_rows, "_key"))
     rows = documents.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
 
     # At most `labelled_rows` rows of three numbers are broadcast.

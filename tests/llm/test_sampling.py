@@ -1,0 +1,22 @@
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens.llm import sampling
+
+
+@pytest.mark.parametrize("n", [1, 10, 600, 5000])
+def test_least_hashes(spark, n):
+    df = spark.range(2000).select(F.col("id"), (F.col("id") % 3).alias("g")).repartition(5)
+    got = [r.id for r in sampling.least_hashes(df, n, "id").collect()]
+    want = [r.id for r in df.orderBy(sampling.hash_place("id"), F.xxhash64("id"), "id").limit(n).collect()]
+    assert got == want and len(got) == min(n, 2000)
+    assert sampling.least_hashes(df.limit(0), n, "id").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 1000])
+def test_most_frequent(spark, n):
+    rows = [(f"w{i}", 1 + 1000 // (1 + i // 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "w string, n bigint").repartition(4)
+    got = [tuple(r) for r in sampling.most_frequent(df, n, "n", "w").collect()]
+    assert got == sorted(rows, key=lambda r: (-r[1], r[0]))[:n]
+    assert sampling.most_frequent(df.limit(0), n, "n", "w").count() == 0
