@@ -9,15 +9,25 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tried in order after ISO 8601. Slashed dates are read month first.
+# Tried in order after ISO 8601, on trimmed text. Slashed dates are read month first;
+# one-letter parts take one digit or two.
 DATE_FORMATS = (
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy",
+    "M-d-yyyy",
+    "yyyy/M/d H:mm:ss.SSSSSS",
+    "yyyy/M/d H:mm:ss",
+    "yyyy/M/d H:mm",
+    "yyyy/M/d",
+    "yyyy-M-d h:mm:ss a",
+    "yyyy-M-d h:mm a",
     "yyyyMMdd",
+    "MMMM d, yyyy",
     "MMM d, yyyy",
+    "d MMMM yyyy",
     "d MMM yyyy",
 )
 
@@ -26,15 +36,15 @@ _MICROS_PER_DAY = 86_400_000_000.0
 
 # What each pattern letter group matches; formats with other letters go unguarded.
 _SHAPES = {
-    "yyyy": r"\d{4}", "MMM": r"\p{L}{3}", "MM": r"\d{2}", "M": r"\d{1,2}",
-    "dd": r"\d{2}", "d": r"\d{1,2}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}",
+    "yyyy": r"\d{4}", "MMMM": r"\p{L}{3,}", "MMM": r"\p{L}{3}", "MM": r"\d{2}", "M": r"\d{1,2}",
+    "dd": r"\d{2}", "d": r"\d{1,2}", "HH": r"\d{2}", "H": r"\d{1,2}", "h": r"\d{1,2}",
+    "mm": r"\d{2}", "ss": r"\d{2}", "SSSSSS": r"\d{1,6}", "a": r"[AP]M",
 }
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Lenient parse: each value by the first format it fits, otherwise null."""
 
-
     def parse(value: Column) -> Column:
         # Eight bare digits are a calendar day, which ISO rules would read as a year.
         iso = F.when(~value.rlike(r"^\s*\d{5,}\s*$"), value).try_cast("timestamp_ntz")
@@ -42,7 +52,7 @@ def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Colu
 
     # A lambda over one element names the text: should it be computed, a filter
     # pushed towards the scan would otherwise compute it anew for every format.
-    return F.get(F.transform(F.array(text), parse), F.lit(0))
+    return F.get(F.transform(F.array(F.trim(text)), parse), F.lit(0))
 
 
 def _parse_as(text: Column, fmt: str) -> Column:

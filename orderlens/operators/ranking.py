@@ -22,31 +22,36 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.durable import durable
 
-BUCKETS = 1024
+#: Rows that one slot is meant to hold; a table gets as many slots as that takes.
+SLOT_ROWS = 2_000_000
 HOT_ROWS = 5_000_000
+#: Slot offsets (a few numbers each) that are broadcast; more are joined by a shuffle.
+BROADCAST_OFFSETS = 100_000
 
-# Largest limits for which the short cuts below hold few rows: the size of a top-n
-# that one task may keep, and of a row-number bound Spark applies before a shuffle.
-TOP_ROWS = 100_000
-LEADING_ROWS = 1_000
+
+def slots_for(rows: int) -> int:
+    return max(2, -(-rows // SLOT_ROWS))
 
 
 def rank_all(
     df: DataFrame, value: str, tie: str, rank: str, dense_rank: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Rank the whole table by `value`, highest first. `tie` spreads equal values.
 
-    Runs two jobs: one writes `df` (three passes follow), one finds boundaries.
+    Runs three jobs: one writes `df` (three passes follow), one counts it unless
+    `buckets` says how many slots there are, one finds boundaries.
     """
     rows = durable(df)
+    buckets = buckets or slots_for(rows.count())
     sketch = rows.agg(_boundaries(value, buckets).alias("cuts")).first()
     cuts = _literals(sketch.cuts or [], df.schema[value].dataType.simpleString())
     slotted = _with_slot(rows, value, cuts, buckets)
     offsets = _offsets(slotted, [], value)
-    # At most 2 * buckets - 1 rows whatever the size of the table. The left join
-    # keeps Spark from testing every slot for null with a second binary search.
-    placed = slotted.join(F.broadcast(offsets), "_slot", "left")
+    # At most 2 * buckets - 1 rows. The left join keeps Spark from testing every slot
+    # for null with a second binary search.
+    few = 2 * buckets <= BROADCAST_OFFSETS
+    placed = slotted.join(F.broadcast(offsets) if few else offsets, "_slot", "left")
     return _finish(placed, [], value, tie, rank, dense_rank, buckets)
 
 
@@ -65,33 +70,42 @@ def rank_top(
 def rank_within(
     df: DataFrame, group: str, value: str, tie: str, rank: str,
     group_sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Rank inside each group, highest first.
 
     `group_sizes` (group, rows) may overstate sizes and lets the caller derive
     them from something cheaper than `df`.  Runs one job to look for groups above
-    `hot_rows`.  All other groups get the plain partitioned window.
+    `hot_rows`.  All other groups get the plain partitioned window.  The null group is
+    a group like any other.
     """
     if group_sizes is None:
         group_sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+    # A struct is never null and compares null fields as equal, so joins on it take the
+    # null group along.
+    keyed = F.struct(F.col(group).alias("key"))
     # At most (all rows / hot_rows) keys.
-    hot = durable(group_sizes.filter(F.col("rows") > hot_rows).select(group))
-    if hot.isEmpty():
+    hot = durable(
+        group_sizes.filter(F.col("rows") > hot_rows).select(keyed.alias("_group"), "rows")
+    )
+    largest = hot.agg(F.max("rows")).first()[0]
+    if largest is None:
         return _plain_rank(df, group, value, rank)
+    buckets = buckets or slots_for(largest)
+    hot = hot.select("_group")
 
-    rows = durable(df)
-    ordinary = _plain_rank(rows.join(hot, group, "left_anti"), group, value, rank)
-    crowded = rows.join(hot, group, "left_semi")
-    cuts = durable(crowded.groupBy(group).agg(_boundaries(value, buckets).alias("_cuts")))
+    rows = durable(df.withColumn("_group", keyed))
+    ordinary = _plain_rank(rows.join(hot, "_group", "left_anti"), "_group", value, rank)
+    crowded = rows.join(hot, "_group", "left_semi")
+    cuts = durable(crowded.groupBy("_group").agg(_boundaries(value, buckets).alias("_cuts")))
     # Written out, so that the passes below start from plain files and not from a
     # join that has already gathered each group in one place.
     slotted = durable(
-        _with_slot(crowded.join(cuts, group), value, F.col("_cuts"), buckets).drop("_cuts")
+        _with_slot(crowded.join(cuts, "_group"), value, F.col("_cuts"), buckets).drop("_cuts")
     )
-    placed = slotted.join(_offsets(slotted, [group], value), [group, "_slot"], "left")
-    split = _finish(placed, [group], value, tie, rank, None, buckets)
-    return ordinary.unionByName(split)
+    placed = slotted.join(_offsets(slotted, ["_group"], value), ["_group", "_slot"], "left")
+    split = _finish(placed, ["_group"], value, tie, rank, None, buckets)
+    return ordinary.unionByName(split).drop("_group")
 
 
 def _plain_rank(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
@@ -104,9 +118,9 @@ def first_by_group(
 ) -> DataFrame:
     """A part of `rank_within` that holds its first `n` rows by group, rank and tie.
 
-    No group can contribute more than its own first n rows.  For n up to
-    LEADING_ROWS Spark applies that row-number bound before the shuffle too, so a
-    hot group arrives trimmed.
+    No group can contribute more than its own first n rows.  For a small n Spark
+    applies that row-number bound before the shuffle too, so a hot group arrives
+    trimmed.
     """
     ordered = Window.partitionBy(group).orderBy(F.desc(value), F.asc(tie))
     leading = df.withColumn("_row", F.row_number().over(ordered)).filter(F.col("_row") <= n)

@@ -123,9 +123,44 @@ def integrity_verdict(tables) -> DataFrame:
     )
 
 
-def require_integrity(tables, keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS) -> None:
-    """Raise ValueError naming every broken promise. Runs jobs; fetches only counts."""
-    problems = [
+def clashing_keys(tables, stored, keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS) -> DataFrame:
+    """Rows whose key is stored already: table_name, clashes."""
+    return _stack([
+        tables[table].select(*columns).join(stored[table].select(*columns), list(columns), "left_semi")
+        .agg(F.count(F.lit(1)).alias("clashes"))
+        .select(F.lit(table).alias("table_name"), "clashes")
+        for table, columns in keys.items()
+    ])
+
+
+def missing_parents(tables, stored, foreign_keys=FOREIGN_KEYS) -> DataFrame:
+    """References that neither new nor stored rows resolve; as `fk_violations`."""
+    parents = {
+        (parent, column): tables[parent].select(column).unionByName(stored[parent].select(column))
+        for _, column, parent in foreign_keys
+    }
+    return _stack([
+        orphan_count(tables[child], column, parents[parent, column], null_is_orphan=False).select(
+            F.lit(child).alias("table_name"), F.lit(column).alias("column_name"),
+            F.lit(parent).alias("parent_table"), F.col("orphans").alias("violations"),
+        )
+        for child, column, parent in foreign_keys
+    ])
+
+
+def require_integrity(
+    tables, keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS, stored=None
+) -> None:
+    """Raise ValueError naming every broken promise. Runs jobs; fetches only counts.
+
+    With `stored` tables, `tables` are rows to be added to them.
+    """
+    references = fk_violations(tables) if stored is None else missing_parents(tables, stored)
+    problems = [] if stored is None else [
+        f"{r.table_name}: {r.clashes} keys that are stored already"
+        for r in clashing_keys(tables, stored, keys).filter("clashes > 0").collect()
+    ]
+    problems += [
         f"{r.table_name}: {r.n} key values repeated or null"
         for r in pk_violations(tables, keys)
         .groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -133,7 +168,7 @@ def require_integrity(tables, keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS)
     for frame, what in (
         (not_null_violations(tables), "nulls in {0.column_name}"),
         (check_violations(tables), "values of {0.column_name} not above zero"),
-        (fk_violations(tables), "values of {0.column_name} missing in {0.parent_table}"),
+        (references, "values of {0.column_name} missing in {0.parent_table}"),
     ):
         problems += [
             f"{r.table_name}: {r.violations} {what.format(r)}"

@@ -121,12 +121,14 @@ def aov_by_segment(tables: Tables, completed: str = COMPLETED, limit: int = 0) -
 
 
 def top_customers_ltv(
-    tables: Tables, completed: str = COMPLETED, limit: int = 0, buckets: int = ranking.BUCKETS
+    tables: Tables, completed: str = COMPLETED, limit: int = 0, buckets: int | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """Customers ranked by lifetime value, with and without gaps after ties.
 
-    With a small limit the plan is a lazy top-n; otherwise the ranking is split
-    into value slots, which runs two jobs while the plan is built.
+    With a limit the plan is a lazy top-n, which one task ranks; `split` is for limits
+    too large for that.  Without a limit, and with `split`, the ranking is cut into
+    value slots (`buckets`, by default by size), which runs jobs while the plan is built.
     """
     who = tables.customers.select("customer_id", "name")
     spend = (
@@ -136,10 +138,9 @@ def top_customers_ltv(
         .select("customer_id", "name", F.round("spent", 2).alias("spent"))
     )
     names = ("spent", "customer_id", "ltv_rank", "ltv_dense_rank")
-    few = 0 < limit <= ranking.TOP_ROWS
     ranked = (
         ranking.rank_top(spend, *names, n=limit)
-        if few
+        if limit and not split
         else ranking.rank_all(spend, *names, buckets=buckets)
     )
     result = ranked.select(
@@ -200,16 +201,18 @@ def growth_rate(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> D
 
 def rank_within_customer(
     tables: Tables, completed: str = COMPLETED, limit: int = 0,
-    hot_rows: int = ranking.HOT_ROWS, buckets: int = ranking.BUCKETS,
+    hot_rows: int = ranking.HOT_ROWS, buckets: int | None = None, split: bool = False,
 ) -> DataFrame:
     """Every order ranked by its total among the orders of the same customer.
 
-    Unless the limit is small, one job over orders alone looks for customers with
-    more than `hot_rows` orders; those are ranked in slots instead of in one task.
+    With a limit the plan is lazy and no customer brings more than `limit` orders to a
+    task; `split` is for limits too large for that.  Without a limit, and with `split`,
+    a job over orders alone looks for customers with more than `hot_rows` orders; those
+    are ranked in slots instead of in one task.
     """
     totals = facts.order_totals(tables, completed)
     names = ("customer_id", "order_amount", "order_id", "rank_within_customer")
-    if 0 < limit <= ranking.LEADING_ROWS:
+    if limit and not split:
         ranked = ranking.first_by_group(totals, *names, n=limit)
     else:
         sizes = (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 _MIB = 1 << 20
 _SHUFFLE_BYTES = 256 * _MIB
-_MOST_PARTITIONS = 100_000
 
 
 def settings(largest_table_bytes: int, cores: int) -> dict[str, str]:
@@ -15,7 +14,7 @@ def settings(largest_table_bytes: int, cores: int) -> dict[str, str]:
     turn out small and splits those of a join that turn out large.  The caller
     sets `spark.checkpoint.dir` to a folder all executors share.
     """
-    partitions = min(max(largest_table_bytes // _SHUFFLE_BYTES, cores), _MOST_PARTITIONS)
+    partitions = max(largest_table_bytes // _SHUFFLE_BYTES, cores)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -25,8 +25,18 @@ def create_tables(spark: SparkSession, database: str | None = None, buckets: int
         _save(spark.createDataFrame([], SCHEMAS[table]), table, database, buckets, "overwrite")
 
 
-def append_tables(tables: Tables, database: str | None = None, buckets: int = 0) -> None:
-    """Add rows, parents first."""
+def append_tables(
+    tables: Tables, database: str | None = None, buckets: int = 0, verify: bool = True
+) -> None:
+    """Add rows, parents first.
+
+    With `verify`, a repeated key (among the new rows or with a stored one), a null, a
+    value that is not positive or a reference that neither stored nor new rows resolve
+    stops the load before anything is written.  Of the stored rows only keys are read.
+    """
+    if verify:
+        stored = load_tables(tables.customers.sparkSession, database)
+        require_integrity(tables, stored=stored)
     for table in LOAD_ORDER:
         _save(_conform(tables[table], table), table, database, buckets, "append")
 
@@ -55,7 +65,7 @@ def load_tables(spark: SparkSession, database: str | None = None) -> Tables:
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
+    return df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
 
 
 def _save(df: DataFrame, table: str, database: str | None, buckets: int, mode: str) -> None:

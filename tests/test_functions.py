@@ -153,3 +153,15 @@ def test_no_price_or_quantity_ends_a_job(spark):
     huge = spark.range(1000).select(F.lit(99999999999999.0).alias("p"))
     total = huge.agg(F.sum(line_amount(F.lit(2_147_483_647), F.col("p"))).alias("t")).first().t
     assert total == Decimal("99999999999999") * 2_147_483_647 * 1000
+
+
+def test_common_shapes_of_dates(spark):
+    texts = {
+        "1/2/2024": (2024, 1, 2), " 01/02/2024 ": (2024, 1, 2), "01/02/2024 3:04:05": (2024, 1, 2, 3, 4, 5),
+        "01-02-2024": (2024, 1, 2), "January 5, 2024": (2024, 1, 5), "May 5, 2024": (2024, 5, 5),
+        "2024-01-02 03:04 PM": (2024, 1, 2, 15, 4), "2024/01/02 03:04:05.5": (2024, 1, 2, 3, 4, 5, 500_000),
+        "12/31/2024 11:59 PM": (2024, 12, 31, 23, 59), "5 January 2024": (2024, 1, 5),
+        "13/13/2024": None, "32/01/2024": None, "Juneteenth 5, 2024": None, "5": None,
+    }
+    want = [datetime(*parts) if parts else None for parts in texts.values()]
+    assert evaluate(spark, list(texts), "string", parse_timestamp) == want

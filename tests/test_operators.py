@@ -157,6 +157,25 @@ def test_rank_within_hot_groups(spark, kind, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_null_group_is_split_like_any_other(spark):
+    rng = random.Random(9)
+    data = [(i, None if i % 3 else i % 50, rng.randrange(10**6)) for i in range(3000)]
+    df = decimals(spark, data, "id long, g int, v long", 28)
+    split = ranking.rank_within(df, "g", "v", "id", "r", hot_rows=100, buckets=16)
+    plain = ranking.rank_within(df, "g", "v", "id", "r")
+    assert sorted(rows(split.select("id", "r"))) == sorted(rows(plain.select("id", "r")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = split.filter("g IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(held) > 2 and max(r["count"] for r in held) < 1000
+
+
+def test_slots_follow_the_rows():
+    assert [ranking.slots_for(n) for n in (0, 1, 10**7, 10**12)] == [2, 2, 5, 500_000]
+
+
 @pytest.mark.parametrize("n", [1, 5, 30, 10_000])
 def test_leading_rows_by_group(spark, n):
     rng = random.Random(n)

@@ -136,14 +136,13 @@ def test_limit_is_a_prefix(spark, small, name):
     assert rows(run_report(t, name, 7, **options)) == whole[:7]
 
 
-def test_large_limits(spark, small, monkeypatch):
-    monkeypatch.setattr(reports.ranking, "TOP_ROWS", 5)
-    monkeypatch.setattr(reports.ranking, "LEADING_ROWS", 5)
+@pytest.mark.parametrize("split", [False, True])
+def test_limits_with_and_without_slots(spark, small, split):
     t = star_tables(spark, small)
     for report in (reports.top_customers_ltv, reports.rank_within_customer):
         whole = rows(report(t, COMPLETED_STATUS))
-        for limit in (5, 6, 100):
-            assert rows(report(t, COMPLETED_STATUS, limit=limit)) == whole[:limit]
+        for limit in (5, 100):
+            assert rows(report(t, COMPLETED_STATUS, limit=limit, split=split)) == whole[:limit]
 
 
 # --- invariants --------------------------------------------------------------

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from builders import moment, rows, tables
-from orderlens.model import LOAD_ORDER, RAW_SCHEMAS, SCHEMAS
+from orderlens.model import LOAD_ORDER, RAW_SCHEMAS, SCHEMAS, Tables
 from orderlens.plans import cleaning, reports
 from orderlens.sources import catalog, files
 
@@ -51,6 +51,46 @@ def test_raw_text(spark, raw_folder):
         assert t[name].schema == RAW_SCHEMAS[name]
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text("status,order_date,order_id,customer_id\nCompleted,2024-01-02,7,3\n")
+    got = files.read_raw_csv(spark, f"{tmp_path}/orders.csv", RAW_SCHEMAS["orders"])
+    assert rows(got) == [(7, 3, "2024-01-02", "Completed")] and got.schema == RAW_SCHEMAS["orders"]
+
+
+@pytest.mark.parametrize("header, message", [
+    ("order_id,customer_id,status", r"missing \['order_date'\]"),
+    ("order_id,customer_id,order_date,status,more", r"not expected \['more'\]"),
+    ("order_id,customer_id,order_date,state", r"missing \['status'\].*not expected \['state'\]"),
+])
+def test_missing_and_extra_columns_are_errors(spark, tmp_path, header, message):
+    (tmp_path / "orders.csv").write_text(f"{header}\n1,2,3,4,5\n")
+    with pytest.raises(ValueError, match=message):
+        files.read_raw_csv(spark, f"{tmp_path}/orders.csv", RAW_SCHEMAS["orders"])
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "products.csv").write_text('product_id,product_name,category,price\n1,"two\nlines",Toys,5\n')
+    path = f"{tmp_path}/products.csv"
+    (row,) = rows(files.read_raw_csv(spark, path, RAW_SCHEMAS["products"], multiline=True))
+    assert row == (1, "two\nlines", "Toys", 5.0)
+    assert files.read_raw_csv(spark, path, RAW_SCHEMAS["products"]).count() == 2
+
+
+def test_texts_that_fit_no_type_are_counted(spark, raw_folder):
+    found = {(r.table_name, r.column_name): r.misfits for r in files.raw_misfits(spark, raw_folder).collect()}
+    assert {k: n for k, n in found.items() if n} == {
+        ("customers", "signup_date"): 1, ("products", "product_id"): 1, ("orders", "customer_id"): 1,
+    }
+    assert len(found) == sum(len(s) for s in RAW_SCHEMAS.values())
+
+
+def test_signup_dates_of_any_known_shape(spark, tmp_path):
+    lines = "\n".join(f"{i},n,e,p,c,{d},VIP" for i, d in enumerate(["2024-01-31", "1/31/2024", '"January 31, 2024"']))
+    (tmp_path / "customers.csv").write_text(f"customer_id,name,email,phone,city,signup_date,segment\n{lines}\n")
+    got = files.read_raw_csv(spark, f"{tmp_path}/customers.csv", RAW_SCHEMAS["customers"])
+    assert {r.signup_date for r in got.collect()} == {datetime(2024, 1, 31).date()}
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_clean_tables_round_trip(spark, raw_folder, tmp_path, fmt):
     run = cleaning.clean_all(files.read_raw_tables(spark, raw_folder), "2025-01-01")
@@ -115,8 +155,9 @@ def test_catalog_tables(spark, buckets):
     assert catalog.load_tables(spark, db).orders.count() == 0
     assert catalog.load_tables(spark, db).order_items.schema == SCHEMAS["order_items"]
     catalog.append_tables(small_tables(spark), db, buckets)
-    catalog.append_tables(small_tables(spark), db, buckets)
-    assert catalog.load_tables(spark, db).orders.count() == 2
+    with pytest.raises(ValueError, match="customers: 1 keys that are stored already"):
+        catalog.append_tables(small_tables(spark), db, buckets)
+    assert catalog.load_tables(spark, db).orders.count() == 1
     catalog.replace_tables(small_tables(spark), db, buckets)
     stored = catalog.load_tables(spark, db)
     assert rows(stored.order_items) == [(0, 1, 1, 2, Decimal("5.00"))]
@@ -124,6 +165,47 @@ def test_catalog_tables(spark, buckets):
     assert stored.orders.first().order_date == moment("2024-01-05")
 
 
+def _appended(spark, customers=(), products=(), orders=(), items=()):
+    day = datetime(2024, 1, 1).date()
+    t = {
+        "customers": [(i, "n", "e", "p", "c", day, "VIP") for i in customers],
+        "products": [(i, "p", "Toys", Decimal(p)) for i, p in products],
+        "orders": [(i, c, moment("2024-02-01"), "Completed") for i, c in orders],
+        "order_items": [(i, o, p, q, None if u is None else Decimal(u)) for i, o, p, q, u in items],
+    }
+    return Tables(**{name: spark.createDataFrame(t[name], SCHEMAS[name]) for name in LOAD_ORDER})
+
+
+def test_append_checks_against_what_is_stored(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS grown")
+    catalog.create_tables(spark, "grown")
+    catalog.append_tables(small_tables(spark), "grown")
+    (item,) = rows(catalog.load_tables(spark, "grown").order_items)
+    _, order, product, _, _ = item
+
+    def counts():
+        return [df.count() for _, df in catalog.load_tables(spark, "grown").items()]
+
+    before = counts()
+    for broken, message in [
+        (_appended(spark, customers=[80, 80]), "customers: 1 key values repeated"),
+        (_appended(spark, orders=[(order, 1)]), "orders: 1 keys that are stored already"),
+        (_appended(spark, orders=[(81, 999)]), "missing in customers"),
+        (_appended(spark, items=[(82, 999, product, 1, "1")]), "missing in orders"),
+        (_appended(spark, items=[(82, order, 999, 1, "1")]), "missing in products"),
+        (_appended(spark, items=[(82, order, product, 1, None)]), "nulls in unit_price"),
+        (_appended(spark, items=[(82, order, product, 0, "1")]), "quantity not above zero"),
+        (_appended(spark, products=[(83, "-1")]), "price not above zero"),
+    ]:
+        with pytest.raises(ValueError, match=message):
+            catalog.append_tables(broken, "grown")
+        assert counts() == before
+    # A line may refer to a stored order and to a product that comes along.
+    catalog.append_tables(_appended(spark, [80], [(83, "0.125")], [(81, 80)], [(82, order, 83, 1, "0.125")]), "grown")
+    assert counts() == [n + 1 for n in before]
+    assert catalog.load_tables(spark, "grown").products.filter("product_id = 83").first().price == Decimal("0.125")
+
+
 def test_replace_refuses_broken_tables(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS strict")
     with pytest.raises(ValueError, match="unit_price not above zero"):
