@@ -325,7 +325,8 @@ _REVENUE_BY_CUSTOMER = f"""
     ORDER BY total_revenue DESC, customer_id"""
 
 
-def _segmentation(low: float, high: float) -> str:
+def _segmentation(low: float, high: float, few: int = 2, many: int = 4) -> str:
+    """The middle tiers run from `low` to `high` and from `few` to `many`, both included."""
     return f"""
     WITH {_SALES},
     stats AS (
@@ -336,10 +337,10 @@ def _segmentation(low: float, high: float) -> str:
     SELECT customer_id, name, frequency, monetary,
            ROUND((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(latest)) / 86400000000.0::DOUBLE, 0)
                AS recency_days,
-           CASE frequency WHEN 1 THEN 'One-time' WHEN 2 THEN 'Occasional' WHEN 3 THEN 'Occasional'
-                WHEN 4 THEN 'Occasional' ELSE 'Loyal' END AS frequency_segment,
-           CASE WHEN monetary < {low} THEN 'Low' WHEN monetary > {high} THEN 'High'
-                ELSE 'Medium' END AS spend_segment
+           CASE WHEN frequency BETWEEN {few} AND {many} THEN 'Occasional'
+                WHEN frequency < {few} THEN 'One-time' ELSE 'Loyal' END AS frequency_segment,
+           CASE WHEN monetary BETWEEN {low} AND {high} THEN 'Medium'
+                WHEN monetary < {low} THEN 'Low' ELSE 'High' END AS spend_segment
     FROM stats"""
 
 

@@ -1,4 +1,4 @@
-"""Repeatable row selection, exact-size sampling and row concatenation.
+"""Repeatable row selection and exact-size sampling.
 
 Selection always depends on a key, never on row order or `rand()`, so a retried
 task or another engine picks the same rows.
@@ -33,11 +33,6 @@ def sample_rows(df: DataFrame, n: int, key: Column, seed: str) -> DataFrame:
     return df.orderBy(digest, key).limit(n)
 
 
-def append_rows(df: DataFrame, extra: DataFrame) -> DataFrame:
-    """Both row sets one after the other; duplicates stay."""
-    return df.unionByName(extra)
-
-
 def repeat_rows(df: DataFrame, hit: Column) -> DataFrame:
     """Rows where `hit` holds appear twice, in a single scan."""
     times = F.when(hit, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))

@@ -133,8 +133,10 @@ def judge_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) ->
 
 def accepted(judged: DataFrame) -> DataFrame:
     """The clean table of a judged frame."""
-    extra = [c for c in (*_BOOKKEEPING, "category_filled") if c in judged.columns]
-    return judged.filter(F.col("violation").isNull()).drop(*extra)
+    extra = [c for c in (*_BOOKKEEPING, "category_filled", "refused") if c in judged.columns]
+    # Where the rows are stored apart, only the accepted ones are read.
+    clean = judged.filter(~F.col("refused")) if "refused" in judged.columns else judged
+    return clean.filter(F.col("violation").isNull()).drop(*extra)
 
 
 def accepted_order_keys(
@@ -276,17 +278,33 @@ class Cleaned:
 
 
 def clean_all(
-    raw: RawTables, as_of: datetime | str, formats: Sequence[str] = DATE_FORMATS
+    raw: RawTables, as_of: datetime | str, formats: Sequence[str] = DATE_FORMATS,
+    folder: str | None = None,
 ) -> Cleaned:
     """Clean all four tables, parents first.
 
     Runs one job per table: each judged frame is written once, and the clean
     table, its counts and the key checks of its children all read that copy.
+
+    With `folder` that copy is the result: `<folder>/<table>/refused=false` holds the
+    clean rows, `refused=true` the others with the rule they break, and nothing needs
+    to be written a second time.  Otherwise the copies go when the application ends.
     """
-    customers = durable(judge_customers(raw.customers))
-    products = durable(judge_products(raw.products))
-    orders = durable(judge_orders(raw.orders, accepted(customers), as_of, formats))
-    items = durable(judge_order_items(raw.order_items, accepted(orders), accepted(products)))
+
+    def kept(name: str, judged: DataFrame) -> DataFrame:
+        if folder is None:
+            return durable(judged)
+        path = f"{folder}/{name}"
+        split = judged.withColumn("refused", F.col("violation").isNotNull())
+        split.write.mode("overwrite").partitionBy("refused").parquet(path)
+        return judged.sparkSession.read.schema(split.schema).parquet(path)
+
+    customers = kept("customers", judge_customers(raw.customers))
+    products = kept("products", judge_products(raw.products))
+    orders = kept("orders", judge_orders(raw.orders, accepted(customers), as_of, formats))
+    items = kept(
+        "order_items", judge_order_items(raw.order_items, accepted(orders), accepted(products))
+    )
     report = (
         customer_counts(customers)
         .unionByName(product_counts(products))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.operators.sampling import append_rows, sample_rows, share
+from orderlens.operators.sampling import sample_rows, share
 
 # Fixed value: the text that stands for an unreadable date.
 NOT_A_DATE = "not_a_date"
@@ -22,6 +22,7 @@ NOT_A_DATE = "not_a_date"
 class Rates:
     """Share of rows hit by each fault, and numbers of duplicated rows."""
 
+    # The usual rates and counts.
     missing_email: float = 0.05
     missing_phone: float = 0.04
     noisy_name: float = 0.03
@@ -87,7 +88,7 @@ def break_dates(
 
 def duplicate_sample(df: DataFrame, n: int, key: Column, seed: str) -> DataFrame:
     """Append exact copies of `n` sampled rows."""
-    return append_rows(df, sample_rows(df, n, key, seed))
+    return df.unionByName(sample_rows(df, n, key, seed))
 
 
 def dirty_customers(df: DataFrame, rates: Rates = RATES) -> DataFrame:

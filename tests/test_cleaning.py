@@ -129,6 +129,18 @@ def test_whole_run_agrees_with_the_single_steps(spark, small):
     assert integrity.integrity_verdict(run.tables).first().integrity_ok
 
 
+def test_run_into_a_folder_is_the_same_and_splits_the_rows(spark, small, tmp_path):
+    t = raw_star_tables(spark, small)
+    run, other = cleaning.clean_all(t, AS_OF, folder=f"{tmp_path}/run"), cleaning.clean_all(t, AS_OF)
+    assert _balance(run.report) == _balance(other.report)
+    for name, df in run.tables.items():
+        assert df.columns == other.tables[name].columns
+        assert sorted(rows(df), key=str) == sorted(rows(other.tables[name]), key=str)
+        held = spark.read.parquet(f"{tmp_path}/run/{name}/refused=false")
+        assert held.filter("violation IS NOT NULL").count() == 0 and held.count() == df.count()
+    assert spark.read.parquet(f"{tmp_path}/run/orders/refused=true").filter("violation IS NULL").count() == 0
+
+
 def test_order_keys_are_those_of_clean_orders(spark, medium):
     t = raw_star_tables(spark, medium)
     keys = cleaning.accepted_order_keys(t.orders, t.customers, AS_OF).distinct()

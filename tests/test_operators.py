@@ -10,7 +10,7 @@ from orderlens.operators.dedup import collapse_copies, surplus_copies
 from orderlens.operators.durable import drop, durable, durable_root, store
 from orderlens.operators.keysets import flag_known, orphan_count
 from orderlens.operators.lookup import lookup
-from orderlens.operators.sampling import append_rows, every, repeat_rows, sample_rows, share
+from orderlens.operators.sampling import every, repeat_rows, sample_rows, share
 
 
 def test_copies_include_nulls(spark):
@@ -57,7 +57,6 @@ def test_selection_is_repeatable(spark):
 
 def test_appending_and_repeating(spark):
     df = spark.range(6)
-    assert append_rows(df, df).count() == 12
     assert repeat_rows(df, every(F.col("id"), 3)).count() == 8
     assert repeat_rows(df, every(F.col("id"), 3)).columns == ["id"]
 
