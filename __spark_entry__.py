@@ -100,6 +100,23 @@ def _duplicate_counts(raw: RawTables) -> DataFrame:
     return customers.unionByName(orders).unionByName(items)
 
 
+# A shape per remainder of the key, and what is left of the moment in it.
+_SHAPES = (
+    ("M/d/yyyy", "day"), ("  MM/dd/yyyy ", "day"), ("MM/dd/yyyy H:mm:ss", "second"),
+    ("MM-dd-yyyy", "day"), ("MMMM d, yyyy", "day"), ("yyyy-MM-dd hh:mm a", "minute"),
+    ("yyyy/MM/dd HH:mm:ss.SSS", "millisecond"),
+)
+
+
+def _mixed_dates(t: Tables) -> DataFrame:
+    """Order dates written in seven shapes and parsed again."""
+    shape = F.col("order_id") % len(_SHAPES)
+    text = F.coalesce(*[
+        F.when(shape == i, F.date_format("order_date", fmt)) for i, (fmt, _) in enumerate(_SHAPES)
+    ])
+    return t.orders.select("order_id", parse_timestamp(text).alias("parsed_date"))
+
+
 def _line_key():
     return F.concat_ws("/", "order_id", "line_number", "product_id", "supplier_id")
 
@@ -207,6 +224,7 @@ def core_queries() -> dict[str, Query]:
                 "order_id", parse_timestamp(F.col("order_date")).alias("parsed_date")
             )
         ),
+        "parse_mixed_dates": _clean(_mixed_dates),
         # keys, constraints, references
         "pk_violations": _raw(lambda t: integrity.pk_violations(t, KEYS)),
         "not_null_violations": _raw(integrity.not_null_violations),
@@ -243,6 +261,11 @@ def core_queries() -> dict[str, Query]:
                 t.orders, faults.RATES.duplicate_orders, F.col("order_id"), "copy"
             )
         ),
+        "inject_duplicate_items": _clean(
+            lambda t: faults.duplicate_sample(
+                t.order_items, faults.RATES.duplicate_items, _line_key(), "copy"
+            )
+        ),
         "inject_orphans": _clean(lambda t: faults.unknown_customers(t.orders)),
         "inject_orphan_items": _clean(
             lambda t: faults.unknown_parents(t.order_items, _line_key())
@@ -671,6 +694,11 @@ def core_oracle_sql() -> dict[str, str]:
             SELECT customer_id, {_TITLE.format("name")} AS title_name FROM raw_customers""",
         "parse_order_dates": f"""
             WITH {_RAW_ORDERS} SELECT order_id, {_PARSED} AS parsed_date FROM raw_orders""",
+        "parse_mixed_dates": f"""
+            SELECT o_orderkey AS order_id, CAST(CASE o_orderkey % {len(_SHAPES)} {" ".join(
+                f"WHEN {i} THEN date_trunc('{left}', o_orderdate)" for i, (_, left) in enumerate(_SHAPES)
+            )} END AS TIMESTAMP) AS parsed_date
+            FROM orders""",
         "pk_violations": f"WITH {_RAW_ALL} " + " UNION ALL ".join(
             f"SELECT '{label}' AS table_name, concat_ws('/', {key}) AS key_value, "
             f"COUNT(*) AS copies FROM {table} GROUP BY {key} HAVING COUNT(*) > 1"
@@ -753,6 +781,15 @@ def core_oracle_sql() -> dict[str, str]:
         "inject_duplicate_orders": f"""
             SELECT {_ORDER_COLUMNS} FROM orders UNION ALL
             (SELECT {_ORDER_COLUMNS} FROM orders ORDER BY md5(o_orderkey || ':copy') LIMIT 20)""",
+        "inject_duplicate_items": f"""
+            WITH lines AS (
+                SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
+                       l_suppkey AS supplier_id, CAST(l_quantity AS INTEGER) AS quantity,
+                       l_extendedprice AS unit_price, {_LINE_KEY} AS k
+                FROM lineitem
+            )
+            SELECT * EXCLUDE (k) FROM lines UNION ALL
+            (SELECT * EXCLUDE (k) FROM lines ORDER BY md5(k || ':copy') LIMIT 25)""",
         "inject_orphans": f"""
             SELECT o_orderkey AS order_id, o_orderdate AS order_date, o_orderstatus AS status,
                    o_custkey + CASE WHEN {_hit("o_orderkey", "customer", 0.02)}
