@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from conftest import ODD
+from oddities import ODD, empty, odd  # noqa: F401
 from orderlens.llm import bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

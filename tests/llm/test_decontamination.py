@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import ODD, PASSAGE
+from oddities import ODD, PASSAGE, empty, odd  # noqa: F401
 from orderlens.llm import decontamination
 from orderlens.llm.queries import contamination_digest
 

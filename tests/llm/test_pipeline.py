@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import assert_same, duck
-from conftest import PASSAGE
+from oddities import PASSAGE
 from orderlens.llm import quality
 from orderlens.llm.queries import ORACLE_SQL, QUERIES
 

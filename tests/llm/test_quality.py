@@ -3,7 +3,7 @@ import plain
 import pytest
 
 import __spark_entry__ as entry
-from conftest import CLASHES, ODD
+from oddities import CLASHES, ODD, empty, odd  # noqa: F401
 from orderlens.llm import quality
 
 

@@ -4,7 +4,7 @@ import plain
 import pytest
 
 import __spark_entry__ as entry
-from conftest import ODD, PASSAGE
+from oddities import ODD, PASSAGE, empty, odd  # noqa: F401
 from orderlens.llm import spans
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import ODD
+from oddities import ODD, empty, odd  # noqa: F401
 from orderlens.llm import toxicity
 
 
