@@ -18,9 +18,13 @@ Shards are rows of a table, because on a cluster only Spark writes to the shared
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +41,17 @@ MAGIC = 0x52_50_41_52
 INDEX = 256
 
 #: Ids after which a shard is closed; a document is never split.
-SHARD_IDS = 1_000_000
+SHARD_IDS = 500_000
 #: Passes over a shard, pairs replaced in each, and the least count of such a pair.
 PASSES = 4
 PASS_PAIRS = 3_800
 LEAST_COUNT = 8
 #: Chunks of text remembered by a task.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: Texts that are looked at together.
+TEXTS = 64
+#: A full stop or comma that ends a chunk but follows no letter or digit.
+_CLUSTER = re.compile(r"(?:^|[\W_])[.,](?:\s|$)")
 #: Shards whose starts (three numbers each) are broadcast; more are joined by a shuffle.
 BROADCAST_SHARDS = 100_000
 
@@ -55,36 +63,58 @@ SHARD_FIELDS = "part int, shard int, n_ids bigint, keys array<{key}>, lengths ar
 
 def compress(ids: np.ndarray, first_nonterminal: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): rule i stands for symbol first_nonterminal + i."""
-    symbols = ids.astype(np.int64)
+    # Pairs of symbols that fit in 16 bits take half the memory and time.
+    most = first_nonterminal + PASSES * PASS_PAIRS
+    single, bits = (np.uint32, 16) if most <= 1 << 16 else (np.uint64, 32)
+    symbols = ids.astype(single)
     rules: list[np.ndarray] = []
     made = first_nonterminal
     for _ in range(PASSES):
         if len(symbols) < 2:
             break
-        keys = symbols[:-1] << 32 | symbols[1:]
-        ordered = np.sort(keys)
-        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
-        counts = np.diff(edge)
-        often = np.flatnonzero(counts >= LEAST_COUNT)
-        if len(often) > PASS_PAIRS:
-            often = np.sort(often[np.argpartition(-counts[often], PASS_PAIRS)[:PASS_PAIRS]])
-        if not len(often):
+        keys = symbols[:-1] << single(bits) | symbols[1:]
+        chosen = _frequent(keys)
+        if not len(chosen):
             break
-        chosen = ordered[edge[often]]
-        at = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
+        at = _positions(chosen, keys)
         hit = chosen[at] == keys
         taken = _every_other(hit)
         used = np.bincount(at[taken], minlength=len(chosen)) > 0
         name = made + np.cumsum(used) - 1
         rules.append(chosen[used])
         made += int(used.sum())
-        symbols = symbols.copy()
         symbols[:-1][taken] = name[at[taken]]
         stays = np.ones(len(symbols), bool)
         stays[1:][taken] = False
         symbols = symbols[stays]
-    pairs = np.concatenate(rules) if rules else np.zeros(0, np.int64)
-    return symbols, np.column_stack([pairs >> 32, pairs & 0xFFFFFFFF])
+    pairs = np.concatenate(rules).astype(np.int64) if rules else np.zeros(0, np.int64)
+    return symbols.astype(np.int64), np.column_stack([pairs >> bits, pairs & ((1 << bits) - 1)])
+
+
+def _frequent(keys: np.ndarray) -> np.ndarray:
+    """The most frequent keys, PASS_PAIRS at most, in order."""
+    ordered = np.sort(keys)
+    edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
+    counts = np.diff(edge)
+    often = np.flatnonzero(counts >= LEAST_COUNT)
+    if len(often) > PASS_PAIRS:
+        often = np.sort(often[np.argpartition(-counts[often], PASS_PAIRS)[:PASS_PAIRS]])
+    return ordered[edge[often]]
+
+
+def _positions(chosen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key may stand in `chosen`: a table by hash, which has one per slot.
+
+    Of chosen keys that share a slot all but one are missed; a later pass finds them.
+    """
+    table = np.zeros(1 << 18, np.uint16)
+
+    def slot(values: np.ndarray) -> np.ndarray:
+        mixed = values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(46)).astype(np.int64)
+
+    table[slot(chosen)] = np.arange(len(chosen))
+    return table[slot(keys)]
 
 
 def _every_other(hit: np.ndarray) -> np.ndarray:
@@ -97,7 +127,7 @@ def _every_other(hit: np.ndarray) -> np.ndarray:
 def pack(ids: np.ndarray, first_nonterminal: int) -> bytes:
     """The bytes of a shard."""
     symbols, rules = compress(ids, first_nonterminal)
-    lengths = _rule_lengths(rules, first_nonterminal)
+    lengths = np.array([len(x) for x in _expansions(rules, first_nonterminal)], np.int64)
     starts = _starts(symbols, lengths, first_nonterminal)[::INDEX]
     wide = first_nonterminal + len(rules) > 1 << 16
     head = np.array([MAGIC, len(ids), first_nonterminal, len(rules), len(symbols)], "<u4")
@@ -106,18 +136,13 @@ def pack(ids: np.ndarray, first_nonterminal: int) -> bytes:
     return b"".join(p.tobytes() for p in parts)
 
 
-def _rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    """Ids each rule expands to. A rule only uses rules of earlier passes."""
-    lengths = np.zeros(len(rules), np.int64)
-    open_rules = np.arange(len(rules))
-    while len(open_rules):
-        parts = rules[open_rules]
-        inner = parts >= base
-        known = np.where(inner, lengths[np.where(inner, parts - base, 0)] if len(lengths) else 1, 1)
-        ready = (known > 0).all(axis=1)
-        lengths[open_rules[ready]] = known[ready].sum(axis=1)
-        open_rules = open_rules[~ready]
-    return lengths
+def _expansions(rules: np.ndarray, base: int) -> list[tuple[int, ...]]:
+    """The ids of each rule. A rule only uses rules before it."""
+    found: list[tuple[int, ...]] = []
+    for a, b in rules.tolist():
+        left = (a,) if a < base else found[a - base]
+        found.append(left + ((b,) if b < base else found[b - base]))
+    return found
 
 
 def _starts(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -133,6 +158,7 @@ class Shard:
     """Reads a packed shard."""
 
     def __init__(self, content: bytes):
+        self.table: tuple[np.ndarray, np.ndarray] | None = None
         head = np.frombuffer(content, "<u4", 5).astype(np.int64)
         if head[0] != MAGIC:
             raise ValueError("not a token shard")
@@ -156,65 +182,101 @@ class Shard:
         block = int(np.searchsorted(self.index, start, side="right")) - 1
         after = int(np.searchsorted(self.index, start + count, side="left"))
         part = self.symbols[block * INDEX : after * INDEX].astype(np.int64)
-        while len(part) and (inner := part >= self.base).any():
-            # Each nonterminal becomes its two parts, all of them at once.
-            place = np.cumsum(1 + inner) - (1 + inner)
-            wider = np.empty(len(part) + int(inner.sum()), np.int64)
-            pairs = self.rules[part[inner] - self.base]
-            wider[place[~inner]] = part[~inner]
-            wider[place[inner]] = pairs[:, 0]
-            wider[place[inner] + 1] = pairs[:, 1]
-            part = wider
         skip = start - int(self.index[block])
-        return part[skip : skip + count]
+        return self._expanded(part)[skip : skip + count]
+
+    def _expanded(self, part: np.ndarray) -> np.ndarray:
+        inner = part >= self.base
+        flat, begin = self._flat()
+        size = np.ones(len(part), np.int64)
+        size[inner] = self.lengths[part[inner] - self.base]
+        at = np.cumsum(size) - size
+        result = np.repeat(part, size)
+        # Ids of a rule lie in `flat` from its begin on.
+        shift = np.repeat(begin[part[inner] - self.base] - at[inner], size[inner])
+        places = np.flatnonzero(np.repeat(inner, size))
+        result[places] = flat[places + shift]
+        return result
+
+    def _flat(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.table is None:
+            found = _expansions(self.rules, self.base)
+            flat = np.fromiter(chain.from_iterable(found), np.int64)
+            self.table = flat, np.cumsum(self.lengths) - self.lengths
+        return self.table
 
 
 # --- encoding ----------------------------------------------------------------
 
 
+class _Known(dict):
+    """Ids by chunk; notes the chunks that are asked for and not there yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> bytes:
+        self.new.append(chunk)
+        self[chunk] = b""
+        return b""
+
+
 class ChunkEncoder:
     """Ids of whole texts, as bytes, by a tokenizer file with byte-level rules.
 
     A text whose white space is single blanks and line breaks between words falls into
-    chunks (a word with the blank before it, a line break) that the tokenizer treats
-    alike wherever they stand; each distinct chunk is encoded once and remembered.
-    Any other text goes to the tokenizer as it is.
+    chunks (a word with the blank before it, a line break, a full stop or comma after a
+    word) that the tokenizer treats alike wherever they stand; each distinct chunk is
+    encoded once and remembered.  Any other text goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.remembered = remembered
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
 
     def chunks(self, text: str) -> list[str] | None:
         """The chunks of a text, or None if it has to stay whole."""
         if "\x00" in text or "<|" in text or " ".join(text.split()) != text.replace("\n", " "):
             return None
-        return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+        cut = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ")
+        if not _CLUSTER.search(text):
+            cut = cut.replace(",\x00", "\x00,\x00").replace(".\x00", "\x00.\x00")
+        return cut.split("\x00")
 
-    def encode(self, text: str | None) -> bytes:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids as little-endian 32-bit numbers; a null text is an empty one."""
-        if not text:
-            return b""
-        chunks = self.chunks(text)
-        if chunks is None:
-            return self._encode([text])[0]
-        parts = [chunks[i : i + self.remembered] for i in range(0, len(chunks), self.remembered)]
-        return b"".join(self._joined(part) for part in parts)
-
-    def _joined(self, chunks: list[str]) -> bytes:
+        split = [self.chunks(t) if t else [] for t in texts]
+        if sum(len(c) for c in split if c) <= self.remembered:
+            self._learn(c for c in split if c)
+            known = self.known.__getitem__
+            joined = [b"".join(map(known, c)) if c is not None else None for c in split]
+        else:
+            joined = [self._piecewise(c) if c is not None else None for c in split]
+        return [self._encode([t])[0] if j is None else j for t, j in zip(texts, joined)]
+
+    def _piecewise(self, chunks: list[str]) -> bytes:
+        result = []
+        for i in range(0, len(chunks), self.remembered):
+            part = chunks[i : i + self.remembered]
+            self._learn([part])
+            result.append(b"".join(map(self.known.__getitem__, part)))
+        return b"".join(result)
+
+    def _learn(self, split: Iterable[list[str]]) -> None:
+        """Encode the chunks that are not known; at most `remembered` of them come."""
         known = self.known
-        missing = {c for c in chunks if c not in known}
-        if missing:
-            if len(known) + len(missing) > 2 * self.remembered:
-                known.clear()
-                missing = set(chunks)
-            wanted = list(missing)
-            known.update(zip(wanted, self._encode(wanted)))
-        return b"".join(map(known.__getitem__, chunks))
+        if len(known) > self.remembered:
+            known = self.known = _Known()
+        for chunks in split:
+            deque(map(known.__getitem__, chunks), maxlen=0)
+        if known.new:
+            known.update(zip(known.new, self._encode(known.new)))
+            known.new = []
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -254,14 +316,16 @@ def write_shards(
             return pa.record_batch([pa.array([v], t) for v, t in zip(row, types)], names)
 
         for batch in batches:
-            for one, text in zip(batch.column(0), batch.column(1)):
-                keys.append(one.as_py())
-                coded.append(encoder.encode(text.as_py()) + end)
-                size += len(coded[-1]) // 4
-                if size >= shard_ids:
-                    yield closed()
-                    made += 1
-                    keys, coded, size = [], [], 0
+            for i in range(0, batch.num_rows, TEXTS):
+                few = batch.slice(i, TEXTS)
+                for one, ids in zip(few.column(0).to_pylist(), encoder.encode(few.column(1).to_pylist())):
+                    keys.append(one)
+                    coded.append(ids + end)
+                    size += len(coded[-1]) // 4
+                    if size >= shard_ids:
+                        yield closed()
+                        made += 1
+                        keys, coded, size = [], [], 0
         if keys:
             yield closed()
 
