@@ -5,35 +5,41 @@ A text is cut into sentences, at sentence marks and at line breaks.  Every run o
 sentences that lie in a run which is not the first of its kind are removed.
 
 Sentences of more than LONG words (lists, tables, text without marks) are cut further,
-after each word whose hash says so.  Such cuts depend on the words alone, hence a
-passage is cut alike wherever it stands.
+after each word with one of certain last letters.  Such cuts depend on the words alone,
+hence a passage is cut alike wherever it stands.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.columns import Texts, free_name, per_text
+from orderlens.operators.durable import store
 
 RUN = 3
 #: A run goes on until it has so many words: fewer say too little to be a copy.
 LEAST_WORDS = 10
 LONG = 12
-#: One word in so many ends a part of a long sentence.
-CUT = 6
 #: Words without such a cut after which one is made all the same.
 LONGEST = 24
 
 _END = re.compile(r"[.!?…。！？]+[\s]+|\n+")
 _WORD = re.compile(r"\S+\s*")
+# Ends of words after which a long sentence is cut: every sixth code point of the scripts
+# that put blanks between words.
+_CUT = re.compile("[" + re.escape("".join(map(chr, range(0x24, 0x1000, 6)))) + r"]\s+")
+
+#: Bits of the filter that repeated runs are looked up in (32 MB), at most.
+MOST_BITS = 1 << 28
 
 #: Places of rows without a key: behind all keys, ordered by their texts.
 _BEHIND = 1 << 62
@@ -44,29 +50,34 @@ def sentences(text: str) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
     at = 0
     for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if end == at:
-            continue
-        part = text[at:end]
-        if part.count(" ") >= LONG and len(part.split()) > LONG:
-            begin, words = at, 0
-            for m in _WORD.finditer(part):
-                words += 1
-                if words == LONGEST or zlib.crc32(m[0].rstrip().encode()) % CUT == 0:
-                    spans.append((begin, at + m.end()))
-                    begin, words = at + m.end(), 0
-            if begin < end:
-                spans.append((begin, end))
-        else:
+        if end - at > 2 * LONG and text.count(" ", at, end) >= LONG:
+            spans += _cut(text, at, end)
+        elif end > at:
             spans.append((at, end))
         at = end
     return spans
 
 
-def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[tuple[bytes, int]]]:
-    """Spans of sentences with words; the digest and end of the run from each sentence.
+def _cut(text: str, at: int, end: int) -> list[tuple[int, int]]:
+    """Parts of a long sentence."""
+    spans: list[tuple[int, int]] = []
+    for cut in [m.end() for m in _CUT.finditer(text, at, end)] + [end]:
+        if text.count(" ", at, cut) >= LONGEST:
+            words = [m.end() for m in _WORD.finditer(text, at, cut)]
+            for last in words[LONGEST - 1 :: LONGEST]:
+                spans.append((at, last))
+                at = last
+        if cut > at:
+            spans.append((at, cut))
+        at = cut
+    return spans
+
+
+def _parts(text: str | None, run: int) -> tuple[list[tuple[int, int]], list[str], list[int]]:
+    """Spans and words of the sentences that have words; the end of the run from each.
 
     A run goes on until it has `run` sentences and LEAST_WORDS words.  The last
-    sentences of a text, which no run starts from, have no entry.
+    sentences of a text, which no run starts from, have no end.
     """
     spans: list[tuple[int, int]] = []
     plain: list[str] = []
@@ -77,42 +88,46 @@ def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[
             spans.append((a, b))
             plain.append(" ".join(words))
             upto.append(upto[-1] + len(words))
-    found: list[tuple[bytes, int]] = []
-    end = 0
-    for i in range(len(spans)):
+    ends: list[int] = []
+    end, n = 0, len(spans)
+    for i in range(n):
         end = max(end, i + run)
-        while end <= len(spans) and upto[end] - upto[i] < LEAST_WORDS:
+        while end <= n and upto[end] - upto[i] < LEAST_WORDS:
             end += 1
-        if end > len(spans):
+        if end > n:
             break
-        found.append((xxhash.xxh3_128_digest("\n".join(plain[i:end]).encode()), end))
-    return spans, found
+        ends.append(end)
+    return spans, plain, ends
 
 
-def _distinct_runs(text: str | None, run: int) -> tuple[list[int], list[int], list[int]]:
-    """High and low half of the digest of each different run, and where it first starts."""
-    first: dict[bytes, int] = {}
-    for i, (digest, _) in enumerate(runs(text, run)[1]):
-        first.setdefault(digest, i)
-    halves = np.frombuffer(b"".join(first), "<i8").reshape(-1, 2)
-    return halves[:, 0].tolist(), halves[:, 1].tolist(), list(first.values())
+def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[tuple[bytes, int]]]:
+    """Spans of the sentences with words; the digest and end of the run from each."""
+    spans, plain, ends = _parts(text, run)
+    return spans, list(zip(_digests(plain, ends), ends))
 
 
-def keep(text: str | None, starts: list[int], run: int = RUN) -> tuple[str | None, int, list[tuple[int, int]]]:
-    """The text without the runs that start at `starts` or repeat one of its own.
+def _digests(plain: list[str], ends: list[int]) -> list[bytes]:
+    one = xxhash.xxh3_128_digest
+    hashed = b"".join([one(p.encode()) for p in plain])
+    return [one(hashed[16 * i : 16 * end]) for i, end in enumerate(ends)]
 
-    Also its number of sentences, and the removed spans, joined where they touch.
-    """
-    spans, found = runs(text, run)
+
+def keep(
+    text: str, starts: list[int], own: bool, run: int = RUN
+) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the runs that start at `starts`, and with `own` without those
+    that repeat one of its own; the removed spans, joined where they touch."""
+    spans, plain, ends = _parts(text, run)
     gone = np.zeros(len(spans), bool)
-    repeats = set(starts)
-    seen: set[bytes] = set()
-    for i, (digest, end) in enumerate(found):
-        if digest in seen or i in repeats:
-            gone[i:end] = True
-        seen.add(digest)
-    if not gone.any():
-        return text, len(spans), []
+    repeated = set(starts)
+    if own:
+        seen: set[bytes] = set()
+        for i, digest in enumerate(_digests(plain, ends)):
+            if digest in seen:
+                repeated.add(i)
+            seen.add(digest)
+    for i in repeated:
+        gone[i : ends[i]] = True
     removed: list[tuple[int, int]] = []
     for (a, b), away in zip(spans, gone):
         if away:
@@ -121,41 +136,112 @@ def keep(text: str | None, starts: list[int], run: int = RUN) -> tuple[str | Non
             else:
                 removed.append((a, b))
     edges = [0, *(e for span in removed for e in span), len(text)]
-    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), len(spans), removed
+    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), removed
 
 
-def repeated_runs(documents: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
-    """(place, tie, starts): of each text the runs that stand in an earlier document.
+# --- matching over all documents -------------------------------------------------
+
+
+def _hashed(documents: DataFrame, text: str, key: str, run: int) -> DataFrame:
+    """(place, tie, own, high, low, start) of each text, as a stored table.
 
-    Only texts with such a run have a row.  Each different run of a text counts once,
-    a map-side minimum finds the first document of each, and only runs in several
-    documents are joined back.
+    The arrays hold the halves of the digest of each different run and where it first
+    starts; `own` says whether a run occurs twice in the text.
     """
 
     def make() -> Callable[[Texts], dict[str, list]]:
         def work(texts: Texts) -> dict[str, list]:
-            found = [_distinct_runs(t, run) for t in texts]
-            return {
-                name: [f[i] for f in found] for i, name in enumerate(("high", "low", "start"))
-            }
+            out: dict[str, list] = {"own": [], "high": [], "low": [], "start": []}
+            for text in texts:
+                _, plain, ends = _parts(text, run)
+                digests = _digests(plain, ends)
+                # The last place given to a digest stays: its first.
+                first = dict(zip(reversed(digests), range(len(digests) - 1, -1, -1)))
+                halves = np.frombuffer(b"".join(first), "<i8").reshape(-1, 2)
+                out["own"].append(len(first) < len(digests))
+                out["high"].append(halves[:, 0])
+                out["low"].append(halves[:, 1])
+                out["start"].append(np.fromiter(first.values(), np.int32, len(first)))
+            return out
 
         return work
 
-    fields = "high array<bigint>, low array<bigint>, start array<int>"
     place, tie = placed(key, text)
-    hashed = documents.select(
-        place.alias("place"), tie.alias("tie"), per_text(make, fields, F.col(f"`{text}`")).alias("r")
+    fields = "own boolean, high array<bigint>, low array<bigint>, start array<int>"
+    hashed = per_text(make, fields, F.col(f"`{text}`"))
+    rows = documents.select(place.alias("place"), tie.alias("tie"), hashed.alias("r"))
+    return store(rows.select("place", "tie", "r.*"))[0]
+
+
+def _likely(hashed: DataFrame, filled: Broadcast) -> DataFrame:
+    """(place, tie, high, low, start): a row per run that may be repeated."""
+    fields = "high array<bigint>, low array<bigint>, start array<int>"
+    kind = pa.struct([("high", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())), ("start", pa.list_(pa.int32()))])
+
+    def run_all(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for high, low, start in batches:
+            halves = np.column_stack([high.flatten().to_numpy(), low.flatten().to_numpy()])
+            holds = _may_hold(filled.value, halves)
+            sizes = pa.compute.list_value_length(high).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(high)), sizes)[holds]
+            edges = pa.array(np.searchsorted(row, np.arange(len(high) + 1)), pa.int32())
+            columns = [halves[holds, 0], halves[holds, 1], start.flatten().to_numpy()[holds]]
+            lists = [pa.ListArray.from_arrays(edges, pa.array(c, f.type.value_type)) for c, f in zip(columns, kind)]
+            yield pa.StructArray.from_arrays(lists, fields=list(kind))
+
+    chosen = F.arrow_udf(run_all, fields).asNondeterministic()
+    rows = hashed.select("place", "tie", chosen("high", "low", "start").alias("r"))
+    return rows.select("place", "tie", F.inline(F.arrays_zip("r.high", "r.low", "r.start")))
+
+
+def _may_hold(bits: np.ndarray, halves: np.ndarray) -> np.ndarray:
+    mask = 64 * len(bits) - 1
+    found = np.ones(len(halves), bool)
+    for column in halves.T:
+        at = column & mask
+        found &= (bits[at >> 6] >> (at & 63) & 1).astype(bool)
+    return found
+
+
+def _filled_bits(several: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter of the repeated runs, as 64-bit words: at most MOST_BITS bits."""
+    size = max(64, min(MOST_BITS, 1 << (16 * count).bit_length()))
+    places = several.select(F.explode(F.array("high", "low")).alias("half")).select(
+        F.col("half").bitwiseAND(F.lit(size - 1)).alias("bit")
+    )
+    words = places.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")
+    )
+    bits = np.zeros(size // 64, np.int64)
+    found = words.toArrow()
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits
+
+
+def repeated_runs(documents: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
+    """(place, tie, starts, own): texts with a run that stands in an earlier document
+    (`starts`) or twice in the text (`own`).
+
+    Digests are stored once.  Each different run of a text counts once, and a map-side
+    minimum and maximum find the runs that several documents hold, which are stored.
+    A Bloom filter of these, of bounded size, keeps most other runs out of the join
+    that finds their places; what it lets through by mistake the join removes.
+    """
+    spark = documents.sparkSession
+    hashed = _hashed(documents, text, key, run)
+    every = hashed.select("place", F.inline(F.arrays_zip("high", "low", "start")))
+    several, _ = store(
+        every.groupBy("high", "low").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        .filter("first < last").select("high", "low", "first")
     )
-    every = hashed.select("place", "tie", F.inline(F.arrays_zip("r.high", "r.low", "r.start")))
-    part = F.xxhash64("high", "low").alias("_part")
-    several = (
-        every.groupBy("high", "low", part)
-        .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        .filter("first < last")
-        .select("high", "low", "first")
+    filled = spark.sparkContext.broadcast(_filled_bits(several, several.count()))
+    # Both sides come straight from a shuffle, so a run of very many documents is split.
+    later = _likely(hashed, filled).join(several, ["high", "low"]).filter("place > first")
+    own = hashed.filter("own").select("place", "tie", F.lit(None).cast("int").alias("start"))
+    found = later.select("place", "tie", "start").unionByName(own)
+    return found.groupBy("place", "tie").agg(
+        F.collect_set("start").alias("starts"), F.bool_or(F.col("start").isNull()).alias("own")
     )
-    later = every.join(several, ["high", "low"]).filter("place > first")
-    return later.groupBy("place", "tie").agg(F.collect_list("start").alias("starts"))
 
 
 def placed(key: str, text: str):
@@ -168,44 +254,49 @@ def placed(key: str, text: str):
 def without_repeats(
     documents: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN, into: str = "spans"
 ) -> DataFrame:
-    """`documents` and a struct column `into`: text, n_sentences, n_removed, removed.
+    """`documents` and a struct column `into`: text, n_removed, removed.
 
-    `text` is what is left of the text, `removed` the character spans that are gone.
+    `text` is what is left of the text, `removed` the character spans that are gone and
+    `n_removed` their number.
 
     Documents are ordered by `key`, an integer column below 2**62; rows without one
     come last, in the order of a hash of their texts.  The first of equal runs stays,
     so every sentence stays somewhere.  Rows with equal keys are one document: a run
     that two of them share is no repeat.  Null and empty texts have no sentences and
     stay as they are.  If `documents` has a column named `into`, underscores are put
-    before the name.  Texts are read three times and shuffled once.
+    before the name.  Texts are read twice and shuffled once.
     """
     name = free_name(documents, into)
     place_name, tie_name = free_name(documents, "place"), free_name(documents, "tie")
-    starts = free_name(documents, "starts")
+    starts, own = free_name(documents, "starts"), free_name(documents, "own")
     place, tie = placed(key, text)
     found = repeated_runs(documents, text, key, run).select(
-        F.col("place").alias(place_name), F.col("tie").alias(tie_name), F.col("starts").alias(starts)
+        F.col("place").alias(place_name), F.col("tie").alias(tie_name), F.col("starts").alias(starts),
+        F.col("own").alias(own),
     )
     marked = documents.withColumns({place_name: place, tie_name: tie})
     joined = marked.join(found, [place_name, tie_name], "left")
     fields = pa.struct(
-        [
-            ("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()),
-            ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-        ]
+        [("text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
     )
 
-    def run_all(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, begins in batches:
+    def run_all(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, begins, owns in batches:
             rows = []
-            for one, start in zip(texts, begins):
-                left, n, removed = keep(one.as_py(), start.as_py() or [], run)
-                spans = [{"start": a, "end": b} for a, b in removed]
-                rows.append({"text": left, "n_sentences": n, "n_removed": len(spans), "removed": spans})
+            for one, start, twice in zip(texts, begins, owns):
+                left, removed = one.as_py(), []
+                if start.is_valid:
+                    left, removed = keep(left, start.as_py(), twice.as_py(), run)
+                rows.append({"text": left, "removed": [{"start": a, "end": b} for a, b in removed]})
             yield pa.array(rows, fields)
 
-    kind = "text string, n_sentences bigint, n_removed bigint, removed array<struct<start: int, end: int>>"
+    kind = "text string, removed array<struct<start: int, end: int>>"
     cleaned = F.arrow_udf(run_all, kind).asNondeterministic()
     value = F.col(f"`{text}`").cast("string")
-    result = joined.withColumn(name, cleaned(value, F.col(starts)))
-    return result.drop(place_name, tie_name, starts)
+    found = free_name(joined, "found")
+    joined = joined.withColumn(found, cleaned(value, F.col(starts), F.col(own)))
+    whole = F.struct(
+        F.col(f"{found}.text").alias("text"), F.size(f"{found}.removed").cast("bigint").alias("n_removed"),
+        F.col(f"{found}.removed").alias("removed"),
+    )
+    return joined.withColumn(name, whole).drop(place_name, tie_name, starts, own, found)
