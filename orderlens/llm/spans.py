@@ -256,6 +256,9 @@ def without_repeats(
 ) -> DataFrame:
     """`documents` and a struct column `into`: text, n_removed, removed.
 
+    Of a repeated passage the sentence it begins in and fewer than LEAST_WORDS words at
+    its end may stay, where no whole run reaches them.
+
     `text` is what is left of the text, `removed` the character spans that are gone and
     `n_removed` their number.
 

@@ -69,6 +69,16 @@ def test_odd_rows(odd, empty):
     assert spans.without_repeats(empty).count() == 0
 
 
+def test_only_the_end_of_a_repeated_passage_may_stay(spark):
+    rows = [(1, f"Before. {PASSAGE} After."), (2, PASSAGE), (3, f"Another start, {PASSAGE}"), (4, f"{PASSAGE} More to come.")]
+    got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    left = {r.doc_id: r.spans.text for r in got}
+    assert left[1] == rows[0][1]
+    for key, own in ((2, ""), (3, "Another start,"), (4, "More to come.")):
+        # Fewer than LEAST_WORDS at the end, and the rest of a sentence at the start.
+        assert len(left[key].split()) < len(own.split()) + 2 * spans.LEAST_WORDS
+
+
 def test_rows_without_keys_come_last(spark):
     rows = [(None, f"{PASSAGE} one"), (None, f"{PASSAGE} two"), (3, PASSAGE)]
     got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()

@@ -86,6 +86,18 @@ def test_chunks_are_encoded_as_in_the_text():
     assert [np.frombuffer(encoder.encode([t])[0], "<u4").tolist() for t in texts] == want
 
 
+@pytest.mark.parametrize("remembered", [16, 300, 100_000])
+def test_many_different_chunks(remembered):
+    encoder, library = token_files.ChunkEncoder(PATH, remembered=remembered), Tokenizer.from_file(PATH)
+    rng = np.random.default_rng(remembered)
+    letters = "abcdeéñ.,"
+    words = ["".join(letters[i] for i in rng.integers(0, 9, rng.integers(1, 30))) for _ in range(3000)]
+    texts = [" ".join(words[:2000]), *("\n".join(words[i : i + 40]) for i in range(0, 3000, 40)), " ".join(words[::-1])]
+    for _ in range(2):
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("shard_ids", [1, 3000, token_files.SHARD_IDS])
 def test_odd_rows(odd, shard_ids):
     shards = token_files.write_shards(odd, PATH, shard_ids=shard_ids)
