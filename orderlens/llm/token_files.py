@@ -19,11 +19,9 @@ Shards are rows of a table, because on a cluster only Spark writes to the shared
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
-from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -47,11 +45,9 @@ PASSES = 4
 PASS_PAIRS = 3_800
 LEAST_COUNT = 8
 #: Chunks of text remembered by a task.
-REMEMBERED = 500_000
+REMEMBERED = 1_500_000
 #: Texts that are looked at together.
-TEXTS = 64
-#: A full stop or comma that ends a chunk but follows no letter or digit.
-_CLUSTER = re.compile(r"(?:^|[\W_])[.,](?:\s|$)")
+TEXTS = 512
 #: Shards whose starts (three numbers each) are broadcast; more are joined by a shuffle.
 BROADCAST_SHARDS = 100_000
 
@@ -209,25 +205,91 @@ class Shard:
 # --- encoding ----------------------------------------------------------------
 
 
-class _Known(dict):
-    """Ids by chunk; notes the chunks that are asked for and not there yet."""
+class WordTable:
+    """Ids of chunks of text, found for many chunks at once.
 
-    def __init__(self):
-        self.new: list[str] = []
+    A chunk of up to 16 bytes, none of them zero, is its own key as two 64-bit numbers;
+    keys are looked up in an open hash table and compared in full.  Longer chunks are
+    found in a dict.  Chunk number i has ids flat[begin[i] : begin[i] + count[i]].
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.bits = max(4, (2 * most).bit_length())
+        self.clear()
+
+    def clear(self) -> None:
+        self.size = self.used = 0
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.low, self.high = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
+        self.begin, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat = np.zeros(4096, np.uint32)
+        self.long: dict[bytes, int] = {}
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = low * np.uint64(0x9E3779B97F4A7C15) ^ (high + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Numbers of keys, -1 for those that are not there."""
+        slot = self._slot(low, high)
+        result = np.full(len(low), -1, np.int64)
+        left = np.arange(len(low))
+        while len(left):
+            there = self.slots[slot]
+            same = (there >= 0) & (self.low[there] == low[left]) & (self.high[there] == high[left])
+            result[left[same]] = there[same]
+            on = (there >= 0) & ~same
+            left, slot = left[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return result
 
-    def __missing__(self, chunk: str) -> bytes:
-        self.new.append(chunk)
-        self[chunk] = b""
-        return b""
+    def add(self, ids: list[list[int]]) -> np.ndarray:
+        """Numbers for new chunks with these ids."""
+        n, counts = len(ids), np.array([len(x) for x in ids], np.int64)
+        total = int(counts.sum())
+        for name, need in (("low", self.size + n), ("high", self.size + n), ("begin", self.size + n),
+                           ("count", self.size + n), ("flat", self.used + total)):
+            held = getattr(self, name)
+            if need > len(held):
+                setattr(self, name, np.concatenate([held, np.zeros(need, held.dtype)]))
+        numbers = np.arange(self.size, self.size + n)
+        self.begin[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        self.size += n
+        self.used += total
+        return numbers
+
+    def place(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
+        """Enter different keys that are not there yet."""
+        self.low[numbers], self.high[numbers] = low, high
+        if 2 * self.size > len(self.slots):  # a single text with very many chunks
+            numbers = np.concatenate([self.slots[self.slots >= 0], numbers])
+            low, high = self.low[numbers], self.high[numbers]
+            self.bits = (4 * self.size).bit_length()
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+        slot = self._slot(low, high)
+        while len(numbers):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = numbers[free]
+            # Of keys that met in a free slot one stayed; the others go on.
+            on = self.slots[slot] != numbers
+            numbers, slot = numbers[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+
+
+#: Masks that keep the first n bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class ChunkEncoder:
     """Ids of whole texts, as bytes, by a tokenizer file with byte-level rules.
 
     A text whose white space is single blanks and line breaks between words falls into
-    chunks (a word with the blank before it, a line break, a full stop or comma after a
-    word) that the tokenizer treats alike wherever they stand; each distinct chunk is
-    encoded once and remembered.  Any other text goes to the tokenizer as it is.
+    chunks (a word with the blank before it, a line break, a full stop or comma after an
+    ASCII letter or digit) that the tokenizer treats alike wherever they stand; each
+    distinct chunk is encoded once and remembered.  Any other text goes to the tokenizer
+    as it is.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -236,51 +298,108 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.remembered = remembered
-        self.known = _Known()
-
-    def chunks(self, text: str) -> list[str] | None:
-        """The chunks of a text, or None if it has to stay whole."""
-        if "\x00" in text or "<|" in text or " ".join(text.split()) != text.replace("\n", " "):
-            return None
-        cut = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ")
-        if not _CLUSTER.search(text):
-            cut = cut.replace(",\x00", "\x00,\x00").replace(".\x00", "\x00.\x00")
-        return cut.split("\x00")
+        self.table = WordTable(remembered)
+
+    @staticmethod
+    def regular(text: str) -> bool:
+        """Whether a text falls into chunks."""
+        plain = text.replace("\n", " ")
+        # Printable text has no white space but blanks, and no zero bytes.
+        return plain.isprintable() and not (
+            "  " in plain or "<|" in plain or plain[0] == " " or plain[-1] == " "
+        )
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids as little-endian 32-bit numbers; a null text is an empty one."""
-        split = [self.chunks(t) if t else [] for t in texts]
-        if sum(len(c) for c in split if c) <= self.remembered:
-            self._learn(c for c in split if c)
-            known = self.known.__getitem__
-            joined = [b"".join(map(known, c)) if c is not None else None for c in split]
-        else:
-            joined = [self._piecewise(c) if c is not None else None for c in split]
-        return [self._encode([t])[0] if j is None else j for t, j in zip(texts, joined)]
-
-    def _piecewise(self, chunks: list[str]) -> bytes:
-        result = []
-        for i in range(0, len(chunks), self.remembered):
-            part = chunks[i : i + self.remembered]
-            self._learn([part])
-            result.append(b"".join(map(self.known.__getitem__, part)))
-        return b"".join(result)
-
-    def _learn(self, split: Iterable[list[str]]) -> None:
-        """Encode the chunks that are not known; at most `remembered` of them come."""
-        known = self.known
-        if len(known) > self.remembered:
-            known = self.known = _Known()
-        for chunks in split:
-            deque(map(known.__getitem__, chunks), maxlen=0)
-        if known.new:
-            known.update(zip(known.new, self._encode(known.new)))
-            known.new = []
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        result: list[bytes] = [b""] * len(texts)
+        group, size = [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not self.regular(text):
+                result[i] = array("I", self._ids([text])[0]).tobytes()
+                continue
+            group.append(i)
+            size += len(text)
+            if size > 4 * self.table.most:
+                self._encode_group(texts, group, result)
+                group, size = [], 0
+        self._encode_group(texts, group, result)
+        return result
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_group(self, texts: list[str | None], group: list[int], result: list[bytes]) -> None:
+        if not group:
+            return
+        coded = [texts[i].encode() for i in group]
+        # A line break ends each text; it is no chunk of its own.
+        buffer = b"\n".join(coded) + b"\n"
+        starts, ends, first = _chunk_edges(buffer, np.array([len(c) for c in coded]))
+        numbers = self._numbers(buffer, starts, ends)
+        counts = self.table.count[numbers]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        shift = np.repeat(self.table.begin[numbers] - upto[:-1], counts)
+        ids = self.table.flat[shift + np.arange(upto[-1])].astype("<u4")
+        edges = upto[first].tolist()
+        for i, a, b in zip(group, edges, edges[1:]):
+            result[i] = ids[a:b].tobytes()
+
+    def _numbers(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each chunk; encodes those that are new."""
+        padded = np.frombuffer(buffer + bytes(16), np.uint8)
+        eight = np.ndarray((len(buffer) + 9,), "<u8", padded, strides=(1,))
+        sizes = ends - starts
+        low = eight[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]
+        high = eight[starts + 8 * (sizes > 8)] & _FIRST_BYTES[np.clip(sizes - 8, 0, 8)]
+        short = np.flatnonzero(sizes <= 16)
+        long = np.flatnonzero(sizes > 16)
+        words = [buffer[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        table = self.table
+        for again in (False, True):
+            found = np.full(len(starts), -1, np.int64)
+            found[short] = table.find(low[short], high[short])
+            found[long] = [table.long.get(w, -1) for w in words]
+            new = short[found[short] < 0]
+            keys = np.empty(len(new), [("low", np.uint64), ("high", np.uint64)])
+            keys["low"], keys["high"] = low[new], high[new]
+            different, at, back = np.unique(keys, return_index=True, return_inverse=True)
+            unknown = sorted({w for w in words if w not in table.long})
+            if again or table.size + len(different) + len(unknown) <= table.most:
+                break
+            table.clear()  # once: what this group needs is learned anew
+        wanted = [buffer[starts[new[i]] : ends[new[i]]] for i in at.tolist()] + unknown
+        if wanted:
+            numbers = table.add(self._ids([w.decode() for w in wanted]))
+            table.place(different["low"], different["high"], numbers[: len(different)])
+            found[new] = numbers[: len(different)][back]
+            table.long.update(zip(unknown, numbers[len(different) :].tolist()))
+            found[long] = [table.long[w] for w in words]
+        return found
+
+
+def _chunk_edges(buffer: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all chunks of texts that a line break follows each, and the
+    number of the first chunk of each text (with the number of all at the end)."""
+    raw = np.frombuffer(buffer, np.uint8)
+    blank, line = raw == 32, raw == 10
+    after = np.concatenate((blank[1:] | line[1:], [True]))
+    plain = ((raw >= 48) & (raw <= 57)) | ((raw >= 65) & (raw <= 90)) | ((raw >= 97) & (raw <= 122))
+    mark = ((raw == 44) | (raw == 46)) & after
+    mark[1:] &= plain[:-1]
+    mark[0] = False
+    start = blank | line | mark
+    start[1:] |= line[:-1]
+    start[0] = True
+    starts = np.flatnonzero(start)
+    ends = np.append(starts[1:], len(raw))
+    close = np.cumsum(lengths + 1) - 1  # the line breaks that were added
+    own = np.ones(len(starts), bool)
+    own[np.searchsorted(starts, close)] = False
+    begin = np.concatenate(([0], close + 1))
+    starts, ends = starts[own], ends[own]
+    return starts, ends, np.searchsorted(starts, begin)
 
 
 def write_shards(
