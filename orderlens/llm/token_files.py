@@ -106,8 +106,9 @@ def _positions(chosen: np.ndarray, keys: np.ndarray) -> np.ndarray:
     table = np.zeros(1 << 18, np.uint16)
 
     def slot(values: np.ndarray) -> np.ndarray:
-        mixed = values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(46)).astype(np.int64)
+        if values.dtype == np.uint32:
+            return values * np.uint32(0x9E3779B1) >> np.uint32(14)
+        return values * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)
 
     table[slot(chosen)] = np.arange(len(chosen))
     return table[slot(keys)]
@@ -115,9 +116,11 @@ def _positions(chosen: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _every_other(hit: np.ndarray) -> np.ndarray:
     """Of each run of neighbouring hits the first, third, fifth and so on."""
-    places = np.arange(len(hit))
-    start = np.maximum.accumulate(np.where(hit, 0, places + 1))
-    return hit & ((places - start) % 2 == 0)
+    if not (hit[1:] & hit[:-1]).any():
+        return hit
+    places = np.arange(len(hit), dtype=np.int32)
+    start = np.maximum.accumulate(np.where(hit, np.int32(0), places + np.int32(1)))
+    return hit & ((places - start) & np.int32(1) == 0)
 
 
 def pack(ids: np.ndarray, first_nonterminal: int) -> bytes:
@@ -486,11 +489,12 @@ def read_documents(shards: DataFrame, key: str = "doc_id", with_ids: bool = Fals
                 if edges[-1] != len(ids):
                     raise ValueError("a shard does not hold the ids its documents need")
                 spans = list(zip(edges.tolist(), edges[1:].tolist()))
+                raw = memoryview(ids.tobytes())
                 columns = [
                     keys.cast(key_type),
                     pa.array(start + edges[:-1], pa.int64()),
                     pa.array(lengths, pa.int64()),
-                    pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in spans], pa.int64()),
+                    pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in spans], pa.int64()),
                 ]
                 if with_ids:
                     columns.append(pa.array([ids[a:b] for a, b in spans], pa.list_(pa.int32())))
