@@ -126,7 +126,7 @@ def _every_other(hit: np.ndarray) -> np.ndarray:
 def pack(ids: np.ndarray, first_nonterminal: int) -> bytes:
     """The bytes of a shard."""
     symbols, rules = compress(ids, first_nonterminal)
-    lengths = np.array([len(x) for x in _expansions(rules, first_nonterminal)], np.int64)
+    lengths = _rule_lengths(rules, first_nonterminal)
     starts = _starts(symbols, lengths, first_nonterminal)[::INDEX]
     wide = first_nonterminal + len(rules) > 1 << 16
     head = np.array([MAGIC, len(ids), first_nonterminal, len(rules), len(symbols)], "<u4")
@@ -135,6 +135,14 @@ def pack(ids: np.ndarray, first_nonterminal: int) -> bytes:
     return b"".join(p.tobytes() for p in parts)
 
 
+def _rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
+    """The number of ids of each rule. A rule only uses rules before it."""
+    found: list[int] = []
+    for a, b in rules.tolist():
+        found.append((1 if a < base else found[a - base]) + (1 if b < base else found[b - base]))
+    return np.array(found, np.int64)
+
+
 def _expansions(rules: np.ndarray, base: int) -> list[tuple[int, ...]]:
     """The ids of each rule. A rule only uses rules before it."""
     found: list[tuple[int, ...]] = []
