@@ -4,14 +4,15 @@ A text is cut into sentences, at sentence marks and at line breaks.  Every run o
 `run` consecutive sentences (more, if they are very short) is hashed; runs are matched over all documents; and the
 sentences that lie in a run which is not the first of its kind are removed.
 
-Sentences of more than LONG words (lists, tables, text without marks) are cut further,
-after each word with one of certain last letters.  Such cuts depend on the words alone,
-hence a passage is cut alike wherever it stands.
+Sentences of more than a few words (lists, tables, text without marks) are cut further,
+at the words that, hashed with the next word, have the least hash among their
+neighbours.  Such cuts depend on at most RADIUS + 2 words on either side, hence a
+passage is cut alike wherever it stands.
 """
 
 from __future__ import annotations
 
-import re
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,15 +29,14 @@ from orderlens.operators.durable import store
 RUN = 3
 #: A run goes on until it has so many words: fewer say too little to be a copy.
 LEAST_WORDS = 10
-LONG = 12
-#: Words without such a cut after which one is made all the same.
-LONGEST = 24
+#: A cut inside a sentence has the least hash among so many words on either side.
+RADIUS = 3
 
-_END = re.compile(r"[.!?…。！？]+[\s]+|\n+")
-_WORD = re.compile(r"\S+\s*")
-# Ends of words after which a long sentence is cut: every sixth code point of the scripts
-# that put blanks between words.
-_CUT = re.compile("[" + re.escape("".join(map(chr, range(0x24, 0x1000, 6)))) + r"]\s+")
+# Kinds of characters: 1 blank, 2 sentence mark.
+_KIND = np.zeros(1 << 16, np.uint8)
+_KIND[[c for c in range(0x3001) if chr(c).isspace()]] = 1
+_KIND[[ord(c) for c in ".!?…。！？"]] = 2
+_BASE = 0x9E3779B97F4A7C15
 
 #: Bits of the filter that repeated runs are looked up in (32 MB), at most.
 MOST_BITS = 1 << 28
@@ -47,30 +47,82 @@ _BEHIND = 1 << 62
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Spans [start, end) that cover the text; blanks belong to the sentence before."""
-    spans: list[tuple[int, int]] = []
-    at = 0
-    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if end - at > 2 * LONG and text.count(" ", at, end) >= LONG:
-            spans += _cut(text, at, end)
-        elif end > at:
-            spans.append((at, end))
-        at = end
-    return spans
-
-
-def _cut(text: str, at: int, end: int) -> list[tuple[int, int]]:
-    """Parts of a long sentence."""
-    spans: list[tuple[int, int]] = []
-    for cut in [m.end() for m in _CUT.finditer(text, at, end)] + [end]:
-        if text.count(" ", at, cut) >= LONGEST:
-            words = [m.end() for m in _WORD.finditer(text, at, cut)]
-            for last in words[LONGEST - 1 :: LONGEST]:
-                spans.append((at, last))
-                at = last
-        if cut > at:
-            spans.append((at, cut))
-        at = cut
-    return spans
+    return _sentences(text)[0]
+
+
+def _sentences(text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """The spans, and the number of words up to the end of each."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    kind = _KIND[np.minimum(codes, len(_KIND) - 1)]
+    edges = np.flatnonzero(np.diff(kind == 1, prepend=True, append=True))
+    first, behind = edges[::2], edges[1::2]
+    n = len(first)
+    if not n:
+        return [(0, len(text))] if text else [], np.zeros(1 if text else 0, np.int64)
+    ends = kind[behind - 1] == 2
+    before = np.searchsorted(first, np.flatnonzero(codes == 10)) - 1
+    ends[before[before >= 0]] = True
+    ends[-1] = True
+    upto = np.flatnonzero(_cuts(_hashes(codes, kind, first), ends)) + 1
+    edges = [0, *first[upto[:-1]].tolist(), len(text)]
+    return list(zip(edges, edges[1:])), upto
+
+
+@functools.lru_cache(None)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _BASE modulo 2**64, and their inverses."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(1 << bits, base, np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps, dtype=np.uint64))
+    return found[0], found[1]
+
+
+def _hashes(codes: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each word with the word behind it."""
+    powers, inverses = _powers(len(codes).bit_length())
+    letters = powers[: len(codes)] * codes
+    letters[kind == 1] = 0
+    words = _mixed(np.add.reduceat(letters, first) * inverses[first])
+    words[:-1] = _mixed(words[:-1] * np.uint64(_BASE) + words[1:])
+    return words
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _cuts(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether a part ends with each word: sentence ends, and inside of sentences the
+    words with the least hash of those around; of equal ones close together the first."""
+    cuts, n = ends.copy(), len(ends)
+    if n < 2 * RADIUS + 2:
+        return cuts
+    # All that a cut depends on, the word after the last neighbour too, is one sentence.
+    sentence = np.cumsum(ends) - ends
+    inside = slice(RADIUS, n - RADIUS - 1)
+    least = sentence[: n - 2 * RADIUS - 1] == sentence[2 * RADIUS + 1 :]
+    own, clear = hashes[inside], np.ones(len(least), bool)
+    for d in range(1, RADIUS + 1):
+        left = hashes[RADIUS - d : n - RADIUS - 1 - d]
+        least = least & (own <= left) & (own <= hashes[RADIUS + d : n - RADIUS - 1 + d])
+        clear &= own < left
+    cuts[inside] |= least & clear
+    # The same few words over and over: cut as soon as the part is long enough.
+    equal = np.flatnonzero(least & ~clear) + RADIUS
+    places = np.flatnonzero(cuts)
+    behind = np.searchsorted(places, equal)
+    before = np.where(behind > 0, places[behind - 1], -1)
+    at = -1
+    for j, low, high in zip(equal.tolist(), before.tolist(), places[behind].tolist()):
+        at = max(at, low)
+        if j - at > RADIUS and high - j > RADIUS:
+            cuts[j] = True
+            at = j
+    return cuts
 
 
 def _parts(text: str | None, run: int) -> tuple[list[tuple[int, int]], list[str], list[int]]:
@@ -79,15 +131,11 @@ def _parts(text: str | None, run: int) -> tuple[list[tuple[int, int]], list[str]
     A run goes on until it has `run` sentences and LEAST_WORDS words.  The last
     sentences of a text, which no run starts from, have no end.
     """
-    spans: list[tuple[int, int]] = []
-    plain: list[str] = []
-    upto = [0]
-    for a, b in sentences(text or ""):
-        words = text[a:b].split()
-        if words:
-            spans.append((a, b))
-            plain.append(" ".join(words))
-            upto.append(upto[-1] + len(words))
+    spans, words = _sentences(text or "")
+    if not len(words) or not words[-1]:
+        return [], [], []
+    plain = [" ".join(text[a:b].split()) for a, b in spans]
+    upto = [0, *words.tolist()]
     ends: list[int] = []
     end, n = 0, len(spans)
     for i in range(n):
@@ -256,8 +304,8 @@ def without_repeats(
 ) -> DataFrame:
     """`documents` and a struct column `into`: text, n_removed, removed.
 
-    Of a repeated passage the sentence it begins in and fewer than LEAST_WORDS words at
-    its end may stay, where no whole run reaches them.
+    Of a repeated passage the parts it begins and ends in and fewer than LEAST_WORDS
+    words before its end may stay, where no whole run reaches them.
 
     `text` is what is left of the text, `removed` the character spans that are gone and
     `n_removed` their number.

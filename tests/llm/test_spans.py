@@ -90,3 +90,43 @@ def test_rows_without_keys_come_last(spark):
 def test_repeats_inside_a_text(spark, text):
     (r,) = spans.without_repeats(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
     assert r.spans.text == plain.without_repeats([(1, text)])[0] != text
+
+
+def planted(spark, folder, lengths, per_length):
+    """[(passage, a text with it inside, another)], cut from the test documents."""
+    rng, found = random.Random(17), []
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text").collect()
+    for lang in sorted({r.lang for r in rows if r.lang}):
+        texts = sorted(r.text for r in rows if r.lang == lang and len((r.text or "").split()) > 70)
+        for length in lengths:
+            for _ in range(per_length):
+                words, *hosts = (rng.choice(texts).split() for _ in range(3))
+                first = rng.randrange(len(words) - length)
+                passage, both = words[first : first + length], []
+                for host in hosts:
+                    at = rng.randrange(5, len(host) - 5)
+                    both.append(" ".join([*host[:at], *passage, *host[at:]]))
+                found.append((passage, *both))
+    return found
+
+
+def test_planted_passages_go(spark, medium):
+    """Whatever the sentences: most words of a passage in the middle of two texts go from
+    the second. The reference knows words only."""
+    cases = planted(spark, medium, (51, 55, 60), 12)
+    for passage, first, second in cases:
+        known = {digest for digest, _ in spans.runs(first)[1]}
+        starts = [i for i, (digest, _) in enumerate(spans.runs(second)[1]) if digest in known]
+        left = spans.keep(second, starts, False)[0].split()
+        halves = {tuple(left[i : i + 25]) for i in range(len(left) - 24)}
+        assert not any(tuple(passage[i : i + 25]) in halves for i in range(len(passage) - 24))
+
+
+def test_cuts_do_not_depend_on_what_stands_before():
+    words = [f"ein{i * 37 % 101}n" for i in range(100)]
+    cuts = []
+    for before in ([], ["x"] * 3, [f"y{i}" for i in range(17)]):
+        text = " ".join([*before, *words])
+        ends = {len(text[:b].split()) - len(before) for _, b in spans.sentences(text)}
+        cuts.append({e for e in ends if 8 < e < 92})
+    assert len(cuts[0]) > 8 and cuts[0] == cuts[1] == cuts[2]
