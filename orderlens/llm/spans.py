@@ -1,7 +1,8 @@
 """Substring dedup with sliding spans of sentences.
 
 A text is cut into sentences, at sentence marks and at line breaks.  Every run of
-`run` consecutive sentences (more, if they are very short) is hashed; runs are matched over all documents; and the
+`run` consecutive sentences (more, if they are very short), counted onward from each
+sentence and backward from each, is hashed; runs are matched over all documents; and the
 sentences that lie in a run which is not the first of its kind are removed.
 
 Sentences of more than a few words (lists, tables, text without marks) are cut further,
@@ -125,57 +126,59 @@ def _cuts(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return cuts
 
 
-def _parts(text: str | None, run: int) -> tuple[list[tuple[int, int]], list[str], list[int]]:
-    """Spans and words of the sentences that have words; the end of the run from each.
+def _parts(text: str | None, run: int) -> tuple[list[tuple[int, int]], list[str], list[tuple[int, int]]]:
+    """Spans and words of the sentences that have words; first and end of each run.
 
-    A run goes on until it has `run` sentences and LEAST_WORDS words.  The last
-    sentences of a text, which no run starts from, have no end.
+    The run from a sentence goes on until it has `run` sentences and LEAST_WORDS words.
+    So does the run up to a sentence, backwards: it reaches short sentences at the end
+    of a passage, which no run that starts inside the passage may reach.
     """
     spans, words = _sentences(text or "")
     if not len(words) or not words[-1]:
         return [], [], []
     plain = [" ".join(text[a:b].split()) for a, b in spans]
-    upto = [0, *words.tolist()]
-    ends: list[int] = []
-    end, n = 0, len(spans)
-    for i in range(n):
-        end = max(end, i + run)
-        while end <= n and upto[end] - upto[i] < LEAST_WORDS:
-            end += 1
-        if end > n:
-            break
-        ends.append(end)
-    return spans, plain, ends
+    upto, n = np.append(0, words), len(spans)
+    first = np.arange(n + 1)
+    onward = np.maximum(first + run, np.searchsorted(upto, upto + LEAST_WORDS))
+    back = np.minimum(first - run, np.searchsorted(upto, upto - LEAST_WORDS, "right") - 1)
+    # Ends of runs that no run onward has: few, where sentences are very short.
+    others = np.flatnonzero((back >= 0) & (onward[np.maximum(back, 0)] != first))
+    whole = np.flatnonzero(onward <= n)
+    begins = np.concatenate((whole, back[others]))
+    ends = np.concatenate((onward[whole], others))
+    order = np.lexsort((begins, ends))
+    return spans, plain, list(zip(begins[order].tolist(), ends[order].tolist()))
 
 
 def runs(text: str | None, run: int = RUN) -> tuple[list[tuple[int, int]], list[tuple[bytes, int]]]:
-    """Spans of the sentences with words; the digest and end of the run from each."""
-    spans, plain, ends = _parts(text, run)
-    return spans, list(zip(_digests(plain, ends), ends))
+    """Spans of the runs; of each its digest and the number of the next."""
+    spans, plain, found = _parts(text, run)
+    whole = [(spans[i][0], spans[end - 1][1]) for i, end in found]
+    return whole, [(digest, k + 1) for k, digest in enumerate(_digests(plain, found))]
 
 
-def _digests(plain: list[str], ends: list[int]) -> list[bytes]:
+def _digests(plain: list[str], found: list[tuple[int, int]]) -> list[bytes]:
     one = xxhash.xxh3_128_digest
     hashed = b"".join([one(p.encode()) for p in plain])
-    return [one(hashed[16 * i : 16 * end]) for i, end in enumerate(ends)]
+    return [one(hashed[16 * i : 16 * end]) for i, end in found]
 
 
 def keep(
     text: str, starts: list[int], own: bool, run: int = RUN
 ) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the runs that start at `starts`, and with `own` without those
+    """The text without the runs numbered `starts`, and with `own` without those
     that repeat one of its own; the removed spans, joined where they touch."""
-    spans, plain, ends = _parts(text, run)
+    spans, plain, found = _parts(text, run)
     gone = np.zeros(len(spans), bool)
     repeated = set(starts)
     if own:
         seen: set[bytes] = set()
-        for i, digest in enumerate(_digests(plain, ends)):
+        for i, digest in enumerate(_digests(plain, found)):
             if digest in seen:
                 repeated.add(i)
             seen.add(digest)
     for i in repeated:
-        gone[i : ends[i]] = True
+        gone[slice(*found[i])] = True
     removed: list[tuple[int, int]] = []
     for (a, b), away in zip(spans, gone):
         if away:
@@ -193,16 +196,16 @@ def keep(
 def _hashed(documents: DataFrame, text: str, key: str, run: int) -> DataFrame:
     """(place, tie, own, high, low, start) of each text, as a stored table.
 
-    The arrays hold the halves of the digest of each different run and where it first
-    starts; `own` says whether a run occurs twice in the text.
+    The arrays hold the halves of the digest of each different run and the number of the
+    first such run; `own` says whether a run occurs twice in the text.
     """
 
     def make() -> Callable[[Texts], dict[str, list]]:
         def work(texts: Texts) -> dict[str, list]:
             out: dict[str, list] = {"own": [], "high": [], "low": [], "start": []}
             for text in texts:
-                _, plain, ends = _parts(text, run)
-                digests = _digests(plain, ends)
+                _, plain, places = _parts(text, run)
+                digests = _digests(plain, places)
                 # The last place given to a digest stays: its first.
                 first = dict(zip(reversed(digests), range(len(digests) - 1, -1, -1)))
                 halves = np.frombuffer(b"".join(first), "<i8").reshape(-1, 2)
@@ -304,8 +307,8 @@ def without_repeats(
 ) -> DataFrame:
     """`documents` and a struct column `into`: text, n_removed, removed.
 
-    Of a repeated passage the parts it begins and ends in and fewer than LEAST_WORDS
-    words before its end may stay, where no whole run reaches them.
+    Of a repeated passage the parts it begins and ends in may stay, where they go on
+    outside of it.  A passage of whole sentences goes wholly.
 
     `text` is what is left of the text, `removed` the character spans that are gone and
     `n_removed` their number.

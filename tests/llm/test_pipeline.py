@@ -65,6 +65,22 @@ def test_stages_on_odd_rows(spark, folder):
     assert kept == [[0, 1, 2, 2, 3, 4, 7, 8], [0, 1, 3, 4, 7, 8], [0, 1, 3, 4, 7, 8], [0, 1, 3, 4, 7], [0, 1, 3, 4, 7]]
 
 
+def test_a_document_that_is_a_passage_of_another_goes(spark, tmp_path):
+    tail = "Nine words stand in this sentence here before others. Yes. No. Never."
+    rows = [(3, f"{'Something else goes before. ' * 2}{PASSAGE} {tail}"), (7, f"{PASSAGE} {tail}")]
+    docs = spark.createDataFrame([(k, t, 0) for k, t in rows], "doc_id bigint, text string, n_chars bigint")
+    assert [r.doc_id for r in corpus_pipeline.without_repeated_spans(spark, docs, str(tmp_path)).collect()] == [3]
+
+
+def test_a_text_that_stands_in_an_earlier_one_goes(spark, folder):
+    """As expected before 8fdbbf7: document 7 is a passage that document 3 holds."""
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        kept.append(sorted(r.doc_id or 0 for r in docs.collect()))
+    assert kept[2:] == [[0, 1, 3, 4, 8], [0, 1, 3, 4], [0, 1, 3, 4]]
+
+
 def test_texts_and_lengths_follow(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id IN (3, 4)")
     rows = {r.doc_id: r for r in corpus_pipeline.without_repeated_spans(spark, docs, folder).collect()}

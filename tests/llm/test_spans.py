@@ -130,3 +130,11 @@ def test_cuts_do_not_depend_on_what_stands_before():
         ends = {len(text[:b].split()) - len(before) for _, b in spans.sentences(text)}
         cuts.append({e for e in ends if 8 < e < 92})
     assert len(cuts[0]) > 8 and cuts[0] == cuts[1] == cuts[2]
+
+
+@pytest.mark.parametrize("end", ["", " More to come.", "\nMore to come after the line."])
+def test_short_sentences_at_the_end_of_a_passage_go(spark, end):
+    tail = "Nine words stand in this sentence here before others. Yes. No. Never."
+    rows = [(1, f"Something before it. {PASSAGE} {tail}{end}"), (2, f"{PASSAGE} {tail}"), (3, f"{PASSAGE} {tail} Own words.")]
+    got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.spans.text.strip() for r in got} == {1: rows[0][1], 2: "", 3: "Own words."}
