@@ -125,10 +125,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _table(spark, folder, "documents")
-    model = spark.sparkContext.broadcast(pseudo_likelihood.fit(documents))
-    score = pseudo_likelihood.scored(F.col("text"), model)
-    return documents.select("doc_id", score.alias("score")).select("doc_id", "score.*")
+    return pseudo_likelihood.score_all(_table(spark, folder, "documents"))
 
 
 QUERIES = {
