@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.llm import (
     bpe,
     decontamination,
+    filter_audit,
     pseudo_likelihood,
     quality,
     simhash,
@@ -128,6 +129,11 @@ def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     return pseudo_likelihood.score_all(_table(spark, folder, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    found = filter_audit.cells(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return filter_audit.audited(found)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_spans": op2_spans,
@@ -139,6 +145,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _DOC_WORDS = """
@@ -211,4 +218,46 @@ ORACLE_SQL: dict[str, str] = {
                     THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
         FROM f""",
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents
+        ), said AS (
+            SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad
+            FROM labels GROUP BY doc_id
+        ), judged AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+                   CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+                   || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+                   || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t)
+                      THEN 'C' ELSE '' END
+                   || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                   || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+            FROM d LEFT JOIN said USING (doc_id)
+        ), cells AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM judged GROUP BY ALL
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps AS (SELECT filter_order, s AS step, filter_order[s] AS f, filter_order[:s - 1] AS before
+                     FROM orders, range(1, 6) AS r(s)),
+        met AS (
+            SELECT *, contains(fails, f) AS failing,
+                   translate(fails, before, '') <> fails AS gone
+            FROM cells, steps
+        ), counted AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+                   CAST(coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS BIGINT) AS kept,
+                   CAST(coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS BIGINT) AS removed,
+                   CAST(coalesce(sum(n) FILTER (gone AND failing), 0) AS BIGINT) AS redundant,
+                   CAST(coalesce(sum(n) FILTER (fails = f), 0) AS BIGINT) AS unique_fails,
+                   CAST(coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS BIGINT) AS good_lost,
+                   CAST(coalesce(sum(bad) FILTER (NOT gone AND failing), 0) AS BIGINT) AS toxic_lost
+            FROM met GROUP BY ALL
+        )
+        SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+        FROM counted""",
 }

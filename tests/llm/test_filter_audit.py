@@ -1,0 +1,111 @@
+import os
+import re
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import plain
+
+import __spark_entry__ as entry
+from oddities import empty, odd  # noqa: F401
+from orderlens.llm import filter_audit
+from orderlens.operators.durable import durable_root
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def failures(rows):
+    """The filters each of [(key, text)] fails, by their definitions."""
+    keys = defaultdict(list)
+    for key, text in rows:
+        if key is not None:
+            keys[text or ""].append(key)
+    for key, text in rows:
+        text, own = text or "", plain.words(text)
+        fails = "A" * (len(own) < 100) + "B" * (100 * len(set(own)) < 80 * len(own))
+        fails += "C" * (100 * len(re.findall("[A-Z]", text)) > 10 * len(text))
+        fails += "D" * bool(set(text) & set("#$%&*|"))
+        yield fails + "E" * (key is not None and any(k < key for k in keys[text]))
+
+
+def audit(rows, labels):
+    """{(part, order, step): counts} of [(key, text, part)], document by document."""
+    good = {k for k, q, _ in labels if q == 1} - {None}
+    toxic = {k for k, _, t in labels if t == 1} - {None}
+    found, total = defaultdict(Counter), Counter()
+    for (key, _, part), fails in zip(rows, failures([r[:2] for r in rows])):
+        for order in map("".join, permutations("ABCDE")):
+            gone = False
+            for step, f in enumerate(order, 1):
+                counts = found[part or "", order, step]
+                here = f in fails and not gone
+                counts["redundant"] += f in fails and gone
+                gone = gone or here
+                counts["removed"] += here
+                counts["kept"] += not gone
+                counts["unique_fails"] += fails == f
+                counts["good_lost"] += here and key in good
+                counts["toxic_lost"] += here and key in toxic
+                total[part or "", f] += here
+    return {
+        (p, o, s): (*(c[name] for name in filter_audit.COUNTS), total[p, o[s - 1]])
+        for (p, o, s), c in found.items()
+    }
+
+
+def collected(documents, labels):
+    rows = filter_audit.audited(filter_audit.cells(documents, labels)).collect()
+    result = {(r.part, r.filter_order, r.step): tuple(r[3:]) for r in rows}
+    assert len(result) == len(rows)
+    return result
+
+
+def test_equals_plain(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    got = entry.queries()["op12_filter_audit"](spark, small).collect()
+    want = audit([(r.doc_id, r.text, r.lang) for r in documents.collect()], [tuple(r) for r in labels.collect()])
+    assert {(r.part, r.filter_order, r.step): tuple(r[3:]) for r in got} == want
+    assert len(got) == 600 * documents.select("lang").distinct().count()
+
+
+def test_odd_rows(spark, odd):
+    texts = ["SHOUTED WORDS", "a & b", " ".join(f"w{i}" for i in range(100)), "w " * 100, "\x1c#\x85", "É" * 9 + "A"]
+    rows = [(r.doc_id, r.text, ["de", None, "", "fr"][i % 4]) for i, r in enumerate(odd.collect())]
+    rows += [(k, t, p) for k in (None, 40, 41, 41) for t in texts for p in ("de", None, "x")]
+    labels = [(5, 1, 0), (5, 0, 1), (41, None, 1), (None, 1, 1), (40, 1, None), (99, 1, 1), (2, 1, 1)]
+    schema = ", ".join(f"`{c}` string" for c in ("part", "key", "mask", "n", "first", "good", "toxic", "digest"))
+    documents = spark.createDataFrame(
+        [(*r, *"abcdefgh") for r in rows], f"doc_id bigint, text string, lang string, {schema}"
+    ).repartition(4)
+    said = spark.createDataFrame([(*r, "x", "y") for r in labels], f"{LABELS}, mask string, key string")
+    got = collected(documents, said)
+    assert got == audit(rows, labels)
+    assert {p for p, _, _ in got} == {"", "de", "fr", "x"}
+
+
+def test_empty_tables(spark, odd, empty):
+    nothing = spark.createDataFrame([], LABELS)
+    documents = odd.withColumn("lang", odd.tie)
+    assert collected(empty.withColumn("lang", empty.tie), nothing) == {}
+    assert all(c[4:6] == (0, 0) for c in collected(documents, nothing).values())
+
+
+def test_limits_are_arguments(spark):
+    rows = spark.createDataFrame([(1, "a a b", "x")], "doc_id bigint, text string, lang string")
+    mask = lambda **limits: rows.select(filter_audit.text_mask(rows.text, filter_audit.Limits(**limits))).head()[0]
+    assert mask() == 3 and mask(least_words=3) == 2 and mask(least_distinct=60) == 1
+    assert mask(symbols="a]") == 11
+
+
+def test_no_python_and_no_cross_join(spark, small, capsys):
+    found = filter_audit.cells(*(spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels")))
+    filter_audit.audited(found).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Nested" not in plan and "Cartesian" not in plan
+
+
+def test_intermediates_go(spark, small):
+    held = lambda: set(os.listdir(durable_root(spark))) if os.path.isdir(durable_root(spark)) else set()
+    before = held()
+    entry.queries()["op12_filter_audit"](spark, small).count()
+    assert len(held() - before) == 1  # the cells alone
