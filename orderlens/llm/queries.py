@@ -14,6 +14,7 @@ from orderlens.llm import (
     quality,
     simhash,
     spans,
+    term_search,
     token_files,
     tool_calls,
     toxicity,
@@ -134,6 +135,10 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audited(found)
 
 
+def op13_term_search(spark: SparkSession, folder: str) -> DataFrame:
+    return term_search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_spans": op2_spans,
@@ -146,6 +151,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
     "op12_filter_audit": op12_filter_audit,
+    "op13_term_search": op13_term_search,
 }
 
 _DOC_WORDS = """
@@ -260,4 +266,32 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
         FROM counted""",
+    "op13_term_search": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS row_id, unnest(list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')) AS term
+            FROM documents
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')) AS term
+            FROM benchmark
+        ), counts AS (SELECT row_id, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+        lengths AS (SELECT row_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY row_id),
+        totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM lengths),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+        ), scored AS (
+            SELECT item_id, row_id, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nd) // l)))) AS BIGINT) AS score
+            FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (row_id), totals
+            GROUP BY item_id, row_id, doc_id
+        ), ranks AS (
+            SELECT item_id, CAST(row_number() OVER (
+                       PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 50""",
 }
