@@ -7,7 +7,7 @@ come to lie in one token, so a cut between them is certain.  Words are cut there
 the fragments of a batch are merged independently: short ones together, round by round
 in flat arrays, long ones each with a queue of its merges.
 
-White-space separated chunks are encoded once and remembered, in bounded tables.
+White-space separated chunks are encoded once and remembered, in a bounded table.
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ import regex
 from pyspark.sql import Column
 from tokenizers import Tokenizer
 
+from orderlens.llm.chunk_table import ChunkTable, flat_ids
 from orderlens.llm.columns import Texts, per_text
 
-#: Chunks remembered by a task, twice over at most.
-REMEMBERED = 300_000
+#: Chunks remembered by a task.
+REMEMBERED = 500_000
+#: Bytes of text whose chunks are looked up together.
+GROUP_BYTES = 2_000_000
 #: Symbols of a fragment beyond which it is merged with a queue.
 LONG_FRAGMENT = 64
 
@@ -193,9 +196,7 @@ class Encoder:
         self.word = regex.compile(WORD_PATTERN)
         specials = "|".join(map(regex.escape, sorted(self.vocabulary.special, key=len, reverse=True)))
         self.special = regex.compile(f"({specials})") if specials else None
-        self.remembered = remembered
-        self.recent: dict[bytes, tuple[int, ...]] = {}
-        self.older: dict[bytes, tuple[int, ...]] = {}
+        self.table = ChunkTable(remembered)
 
     def _parts(self, chunk: str) -> Iterable[bytes | int]:
         """A chunk's words, and the ids of special tokens found in it."""
@@ -215,52 +216,48 @@ class Encoder:
         found = self.rules.pre_tokenizer.pre_tokenize_str(plain)
         return [bytes(map(self.byte_of.__getitem__, word)) for word, _ in found]
 
-    def _known(self, wanted: set[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """A table that has all `wanted` chunks; encodes those not remembered."""
-        missing = wanted.difference(self.recent)
-        if not missing:
-            return self.recent
-        if len(self.recent) + len(missing) > self.remembered:
-            self.older, self.recent = self.recent, {}
-            missing = wanted
-        old = missing.intersection(self.older)
-        self.recent.update((c, self.older[c]) for c in old)
-        parts = {c: list(self._parts(c.decode())) for c in missing - old}
-        words = list({w for found in parts.values() for w in found if isinstance(w, bytes)})
+    def _chunk_ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks; a word that several of them hold is encoded once."""
+        parts = [list(self._parts(c.decode())) for c in chunks]
+        words = list({w for found in parts for w in found if isinstance(w, bytes)})
         ids = dict(zip(words, self.vocabulary.encode_words(words)))
-        for chunk, found in parts.items():
-            self.recent[chunk] = tuple(
-                chain.from_iterable((p,) if isinstance(p, int) else ids[p] for p in found)
-            )
-        return self.recent
+        return flat_ids(
+            list(chain.from_iterable((p,) if isinstance(p, int) else ids[p] for p in found)) for found in parts
+        )
 
-    def encode(self, texts: Texts) -> list[list[int]]:
+    def encode(self, texts: Texts) -> list[np.ndarray]:
         """Ids of each text; a null text has none.
 
         ASCII white space separates chunks for certain: no word holds it, and neither
         composition nor lower-casing reaches across it.
         """
-        result: list[list[int]] = []
-        group: list[list[bytes]] = []
-        size, most = 0, max(1, self.remembered // 4)
+        result: list[np.ndarray] = []
+        group: list[bytes] = []
+        size = 0
         for text in texts:
-            chunks = (text or "").encode().split()
-            if size + len(chunks) > most:
+            coded = (text or "").encode()
+            if group and size + len(coded) > GROUP_BYTES:
                 result += self._encode(group)
                 group, size = [], 0
-            if len(chunks) > most:
-                parts = [chunks[i : i + most] for i in range(0, len(chunks), most)]
-                result.append(list(chain.from_iterable(self._encode([p])[0] for p in parts)))
-            else:
-                group.append(chunks)
-                size += len(chunks)
+            group.append(coded)
+            size += len(coded)
         return result + self._encode(group)
 
-    def _encode(self, group: list[list[bytes]]) -> list[list[int]]:
-        known = self._known(set().union(*group))
-        return [list(chain.from_iterable(map(known.__getitem__, chunks))) for chunks in group]
-
-    def decode(self, ids: list[int]) -> str:
+    def _encode(self, group: list[bytes]) -> list[np.ndarray]:
+        if not group:
+            return []
+        # Every text begins and ends at white space.
+        buffer = b"\n".join([b"", *group, b""])
+        raw = np.frombuffer(buffer, np.uint8)
+        inside = (raw != 32) & ((raw < 9) | (raw > 13))
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        ids, upto = self.table.ids(self.table.numbers(buffer, starts, ends, self._chunk_ids))
+        begins = np.concatenate(([0], np.cumsum([len(g) + 1 for g in group])))
+        cuts = upto[np.searchsorted(starts, begins)].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def decode(self, ids: Iterable[int]) -> str:
         """The tokens, joined by a blank: the vocabulary file names no decoder."""
         return " ".join(map(self.vocabulary.tokens.__getitem__, ids))
 
@@ -278,13 +275,13 @@ def encoded(text: Column, path: str, with_ids: bool = False, remembered: int = R
         numbers = [str(i) for i in range(encoder.vocabulary.size)]
 
         def work(texts: Texts) -> dict[str, list]:
-            ids = encoder.encode(texts)
-            return {
-                "n_tokens": [len(x) for x in ids],
-                "ids_sha256": [_hex(" ".join(map(numbers.__getitem__, x))) for x in ids],
-                "decoded_sha256": [_hex(encoder.decode(x)) for x in ids],
-                "ids": ids,
-            }
+            out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": encoder.encode(texts)}
+            for ids in out["ids"]:
+                one = ids.tolist()
+                out["n_tokens"].append(len(one))
+                out["ids_sha256"].append(_hex(" ".join(map(numbers.__getitem__, one))))
+                out["decoded_sha256"].append(_hex(encoder.decode(one)))
+            return out
 
         return work
 

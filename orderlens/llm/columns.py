@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from orderlens.llm.chunk_table import release_memory
+
 #: Characters of text that are worked on at once.
 SLICE_CHARS = 4_000_000
 
@@ -41,6 +43,8 @@ def per_text(
         for batch in batches:
             parts = [_struct(work(texts), arrow) for texts in _slices(batch)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.struct(arrow))
+        del work
+        release_memory()
 
     return F.arrow_udf(run, schema).asNondeterministic()(text.cast("string"))
 

@@ -19,9 +19,11 @@ Shards are rows of a table, because on a cluster only Spark writes to the shared
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
+from orderlens.llm.bpe import byte_alphabet
+from orderlens.llm.chunk_table import ChunkTable, flat_ids, release_memory
 from orderlens.operators.durable import store
 
 END_ID = 2
@@ -44,7 +48,7 @@ SHARD_IDS = 500_000
 PASSES = 4
 PASS_PAIRS = 3_800
 LEAST_COUNT = 8
-#: Chunks of text remembered by a task.
+#: Chunks of text remembered by a Python worker, in some 150 MB.
 REMEMBERED = 1_500_000
 #: Texts that are looked at together.
 TEXTS = 512
@@ -216,81 +220,8 @@ class Shard:
 # --- encoding ----------------------------------------------------------------
 
 
-class WordTable:
-    """Ids of chunks of text, found for many chunks at once.
-
-    A chunk of up to 16 bytes, none of them zero, is its own key as two 64-bit numbers;
-    keys are looked up in an open hash table and compared in full.  Longer chunks are
-    found in a dict.  Chunk number i has ids flat[begin[i] : begin[i] + count[i]].
-    """
-
-    def __init__(self, most: int):
-        self.most = most
-        self.bits = max(4, (2 * most).bit_length())
-        self.clear()
-
-    def clear(self) -> None:
-        self.size = self.used = 0
-        self.slots = np.full(1 << self.bits, -1, np.int32)
-        self.low, self.high = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
-        self.begin, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-        self.long: dict[bytes, int] = {}
-
-    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        mixed = low * np.uint64(0x9E3779B97F4A7C15) ^ (high + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Numbers of keys, -1 for those that are not there."""
-        slot = self._slot(low, high)
-        result = np.full(len(low), -1, np.int64)
-        left = np.arange(len(low))
-        while len(left):
-            there = self.slots[slot]
-            same = (there >= 0) & (self.low[there] == low[left]) & (self.high[there] == high[left])
-            result[left[same]] = there[same]
-            on = (there >= 0) & ~same
-            left, slot = left[on], (slot[on] + 1) & ((1 << self.bits) - 1)
-        return result
-
-    def add(self, ids: list[list[int]]) -> np.ndarray:
-        """Numbers for new chunks with these ids."""
-        n, counts = len(ids), np.array([len(x) for x in ids], np.int64)
-        total = int(counts.sum())
-        for name, need in (("low", self.size + n), ("high", self.size + n), ("begin", self.size + n),
-                           ("count", self.size + n), ("flat", self.used + total)):
-            held = getattr(self, name)
-            if need > len(held):
-                setattr(self, name, np.concatenate([held, np.zeros(need, held.dtype)]))
-        numbers = np.arange(self.size, self.size + n)
-        self.begin[numbers] = self.used + np.cumsum(counts) - counts
-        self.count[numbers] = counts
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        self.size += n
-        self.used += total
-        return numbers
-
-    def place(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
-        """Enter different keys that are not there yet."""
-        self.low[numbers], self.high[numbers] = low, high
-        if 2 * self.size > len(self.slots):  # a single text with very many chunks
-            numbers = np.concatenate([self.slots[self.slots >= 0], numbers])
-            low, high = self.low[numbers], self.high[numbers]
-            self.bits = (4 * self.size).bit_length()
-            self.slots = np.full(1 << self.bits, -1, np.int32)
-        slot = self._slot(low, high)
-        while len(numbers):
-            free = self.slots[slot] < 0
-            self.slots[slot[free]] = numbers[free]
-            # Of keys that met in a free slot one stayed; the others go on.
-            on = self.slots[slot] != numbers
-            numbers, slot = numbers[on], (slot[on] + 1) & ((1 << self.bits) - 1)
-
-
-#: Masks that keep the first n bytes of a little-endian number.
-_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+# A blank and Latin letters: every version of Unicode calls these letters.
+_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 class ChunkEncoder:
@@ -309,7 +240,9 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.table = WordTable(remembered)
+        self.table = ChunkTable(remembered)
+        alphabet = byte_alphabet()
+        self.letters = np.array([ord(alphabet[b]) for b in range(256)], "<u4")
 
     @staticmethod
     def regular(text: str) -> bool:
@@ -341,6 +274,26 @@ class ChunkEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _chunk_ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks.
+
+        A chunk of letters is one word to the tokenizer's rules, so it goes to its model
+        directly, each byte as the letter that stands for it; any other goes through the
+        rules as well.
+        """
+        texts = [c.decode() for c in chunks]
+        plain = [i for i, text in enumerate(texts) if _LETTERS.fullmatch(text)]
+        raw = np.frombuffer(b"\n".join([chunks[i] for i in plain]), np.uint8)
+        spelled = self.letters[raw].tobytes().decode("utf-32-le").split(chr(self.letters[10]))
+        found: list[list[int] | None] = [None] * len(chunks)
+        tokens = self.tokenizer.model.tokenize
+        for i, word in zip(plain, spelled):
+            found[i] = [t.id for t in tokens(word)]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(others, self._ids([texts[i] for i in others])):
+            found[i] = ids
+        return flat_ids(found)
+
     def _encode_group(self, texts: list[str | None], group: list[int], result: list[bytes]) -> None:
         if not group:
             return
@@ -348,46 +301,17 @@ class ChunkEncoder:
         # A line break ends each text; it is no chunk of its own.
         buffer = b"\n".join(coded) + b"\n"
         starts, ends, first = _chunk_edges(buffer, np.array([len(c) for c in coded]))
-        numbers = self._numbers(buffer, starts, ends)
-        counts = self.table.count[numbers]
-        upto = np.concatenate(([0], np.cumsum(counts)))
-        shift = np.repeat(self.table.begin[numbers] - upto[:-1], counts)
-        ids = self.table.flat[shift + np.arange(upto[-1])].astype("<u4")
+        ids, upto = self.table.ids(self.table.numbers(buffer, starts, ends, self._chunk_ids))
+        ids = ids.astype("<u4", copy=False)
         edges = upto[first].tolist()
         for i, a, b in zip(group, edges, edges[1:]):
             result[i] = ids[a:b].tobytes()
 
-    def _numbers(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The number of each chunk; encodes those that are new."""
-        padded = np.frombuffer(buffer + bytes(16), np.uint8)
-        eight = np.ndarray((len(buffer) + 9,), "<u8", padded, strides=(1,))
-        sizes = ends - starts
-        low = eight[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]
-        high = eight[starts + 8 * (sizes > 8)] & _FIRST_BYTES[np.clip(sizes - 8, 0, 8)]
-        short = np.flatnonzero(sizes <= 16)
-        long = np.flatnonzero(sizes > 16)
-        words = [buffer[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist())]
-        table = self.table
-        for again in (False, True):
-            found = np.full(len(starts), -1, np.int64)
-            found[short] = table.find(low[short], high[short])
-            found[long] = [table.long.get(w, -1) for w in words]
-            new = short[found[short] < 0]
-            keys = np.empty(len(new), [("low", np.uint64), ("high", np.uint64)])
-            keys["low"], keys["high"] = low[new], high[new]
-            different, at, back = np.unique(keys, return_index=True, return_inverse=True)
-            unknown = sorted({w for w in words if w not in table.long})
-            if again or table.size + len(different) + len(unknown) <= table.most:
-                break
-            table.clear()  # once: what this group needs is learned anew
-        wanted = [buffer[starts[new[i]] : ends[new[i]]] for i in at.tolist()] + unknown
-        if wanted:
-            numbers = table.add(self._ids([w.decode() for w in wanted]))
-            table.place(different["low"], different["high"], numbers[: len(different)])
-            found[new] = numbers[: len(different)][back]
-            table.long.update(zip(unknown, numbers[len(different) :].tolist()))
-            found[long] = [table.long[w] for w in words]
-        return found
+
+@lru_cache(maxsize=1)
+def chunk_encoder(path: str, remembered: int) -> ChunkEncoder:
+    """The encoder of this Python worker: its tasks share what it remembers."""
+    return ChunkEncoder(path, remembered)
 
 
 def _chunk_edges(buffer: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -435,7 +359,7 @@ def write_shards(
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path, remembered)
+        encoder = chunk_encoder(path, remembered)
         base = max(encoder.size, end_id + 1)
         part, made = TaskContext.get().partitionId(), 0
         keys, coded, size = [], [], 0
@@ -458,6 +382,7 @@ def write_shards(
                         keys, coded, size = [], [], 0
         if keys:
             yield closed()
+        release_memory()
 
     return store(ranged.mapInArrow(run, SHARD_FIELDS.format(key=kind)))[0]
 
