@@ -10,6 +10,7 @@ from orderlens.llm import (
     bpe,
     decontamination,
     filter_audit,
+    harmonic_packing,
     pseudo_likelihood,
     quality,
     simhash,
@@ -130,6 +131,12 @@ def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     return pseudo_likelihood.score_all(_table(spark, folder, "documents"))
 
 
+def op11_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return harmonic_packing.packed(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     found = filter_audit.cells(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
     return filter_audit.audited(found)
@@ -150,6 +157,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op11_harmonic_packing": op11_harmonic_packing,
     "op12_filter_audit": op12_filter_audit,
     "op13_term_search": op13_term_search,
 }

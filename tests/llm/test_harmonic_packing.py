@@ -1,0 +1,120 @@
+import zlib
+
+import public_tokenizers
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from oddities import ODD, empty, odd  # noqa: F401
+from orderlens.llm import harmonic_packing as packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoded(rows, end=1):
+    tokenizer = Tokenizer.from_file(PATH)
+    return [(key, [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]) for key, text in rows]
+
+
+def check(pieces, documents, capacity):
+    """Every id of [(key, ids)] lies in one piece; sequences are gapless; little is padded."""
+    sequences, by_document = {}, {}
+    for p in pieces:
+        sequences.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+        by_document.setdefault((p["key"], p["doc_tokens"]), []).append(p)
+    padded = used = 0
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+        padded += 0 if at.bit_count() == 1 else capacity - at
+        used += at
+    want = {}
+    for key, ids in documents:
+        want.setdefault((key, len(ids)), []).append(ids)
+    assert set(want) == set(by_document) and used == sum(len(i) for _, i in documents)
+    for name, all_ids in want.items():
+        own = by_document[name]
+        for ids in all_ids:  # documents of one key and length: any of them may own a piece
+            at = 0
+            while at < len(ids):
+                crc = lambda p: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[at : at + p["length"]]))  # noqa: E731, B023
+                found = next(p for p in own if p["start"] == at and p["ids_crc32"] == crc(p))
+                own.remove(found)
+                at += found["length"]
+        assert not own
+    return padded, used
+
+
+@given(st.integers(0, 10_000), st.sampled_from([1, 2, 7, 64, 1000, 2048]))
+def test_cuts_fall_on_reciprocals(length, capacity):
+    at = 0
+    for start, size in packing.cuts(length, capacity):
+        assert start == at and capacity // (capacity // size) == size
+        at += size
+    assert at == length
+    assert len(packing.reciprocals(length % capacity, capacity)) <= 6
+
+
+@given(st.lists(st.integers(1, 300), max_size=60), st.sampled_from([16, 100, 128]))
+def test_packer(lengths, capacity):
+    packer = packing.Packer(capacity, 5)
+    documents = [(i, list(range(1000 * i, 1000 * i + n))) for i, n in enumerate(lengths)]
+    for key, ids in documents:
+        packer.add(key, b"".join(i.to_bytes(4, "little") for i in ids))
+    for held in packer.open.values():
+        assert len({p[2] for p in held}) <= 1 and sum(p[2] for p in held) < capacity
+    packer.finish()
+    pieces = [
+        {"key": p[0], "start": p[1], "length": p[2], "ids_crc32": zlib.crc32(p[3]), "doc_tokens": p[4],
+         "sequence_id": s, "offset": o} for p, s, o in packer.done
+    ]
+    check(pieces, documents, capacity)
+    ids = {s for _, s, _ in packer.done}
+    assert ids == set(range(5, 5 + len(ids)))
+
+
+def test_query_equals_the_library(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    found = entry.queries()["op11_harmonic_packing"](spark, small)
+    assert [(n, t) for n, t in found.dtypes] == [(n, "bigint") for n in (
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
+    pieces = [r.asDict() | {"key": r.doc_id} for r in found.collect()]
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    padded, used = check(pieces, encoded(rows), packing.CAPACITY)
+    assert padded < 0.005 * used
+
+
+@pytest.mark.parametrize("capacity", [1, 64, 100, 2048])
+def test_odd_rows(odd, capacity):
+    found = packing.packed(odd, PATH, capacity=capacity, with_ids=True)
+    rows = [r.asDict() for r in found.withColumnRenamed("doc_id", "key").collect()]
+    check(rows, encoded(ODD), capacity)
+    assert all(len(r["ids"]) == r["length"] for r in rows)
+    assert all((r["ids"][-1] == 1) == (r["start"] + r["length"] == r["doc_tokens"]) for r in rows)
+
+
+def test_workers_fill_their_own_bins(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet").repartition(5)
+    found = packing.packed(documents, PATH).cache()
+    workers = found.select(F.shiftright("sequence_id", packing.COUNT_BITS).alias("w")).distinct().count()
+    sequences = packing.sequences(found)
+    totals = sequences.agg(F.sum("used").alias("used"), F.sum("padding").alias("padding"), F.max("used").alias("most")).head()
+    assert workers == 5 and totals.most == 2048 and totals.padding < 0.01 * totals.used
+    found.unpersist()
+
+
+def test_empty_table_and_plan(empty, odd, capsys):
+    assert packing.packed(empty, PATH).count() == 0
+    packing.packed(odd, PATH).explain()
+    assert "Exchange" not in capsys.readouterr().out.replace("Exchange RoundRobin", "")
+
+
+def test_padding(spark):
+    rows = spark.createDataFrame([(1,), (1024,), (2048,), (2046,), (3,)], "used bigint")
+    assert [r[0] for r in rows.select(packing.padding(F.col("used"))).collect()] == [0, 0, 0, 2, 2045]
