@@ -8,7 +8,8 @@ and where in the expanded sequence every INDEX-th symbol starts, so that any run
 ids can be decoded without the rest.
 
 Each pass over a shard replaces a set of the most frequent pairs at once, not only the
-top one; where replacements would overlap, the left one is made.
+top one; where replacements would overlap, the left one is made.  Passes go on until no
+pair occurs LEAST_COUNT times.
 
 A shard's bytes (`pack`) are a little-endian header of five 32-bit numbers (magic,
 ids, first nonterminal, rules, symbols), then rules as pairs, rule lengths, the index
@@ -24,7 +25,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,7 @@ INDEX = 256
 
 #: Ids after which a shard is closed; a document is never split.
 SHARD_IDS = 500_000
-#: Passes over a shard, pairs replaced in each, and the least count of such a pair.
-PASSES = 4
+#: Pairs replaced in a pass over a shard at most, and the least count of such a pair.
 PASS_PAIRS = 3_800
 LEAST_COUNT = 8
 #: Chunks of text remembered by a Python worker, in some 150 MB.
@@ -62,16 +61,16 @@ SHARD_FIELDS = "part int, shard int, n_ids bigint, keys array<{key}>, lengths ar
 
 
 def compress(ids: np.ndarray, first_nonterminal: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): rule i stands for symbol first_nonterminal + i."""
-    # Pairs of symbols that fit in 16 bits take half the memory and time.
-    most = first_nonterminal + PASSES * PASS_PAIRS
-    single, bits = (np.uint32, 16) if most <= 1 << 16 else (np.uint64, 32)
-    symbols = ids.astype(single)
-    rules: list[np.ndarray] = []
-    made = first_nonterminal
-    for _ in range(PASSES):
-        if len(symbols) < 2:
-            break
+    """(symbols, rules): rule i stands for symbol first_nonterminal + i.
+
+    Goes on until no pair of neighbouring symbols occurs LEAST_COUNT times.
+    """
+    rules: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+    made, symbols = first_nonterminal, ids.astype(np.uint64)
+    while len(symbols) > 1:
+        # Pairs of symbols that fit in 16 bits take half the memory and time.
+        single, bits = (np.uint32, 16) if made + PASS_PAIRS <= 1 << 16 else (np.uint64, 32)
+        symbols = symbols.astype(single, copy=False)
         keys = symbols[:-1] << single(bits) | symbols[1:]
         chosen = _frequent(keys)
         if not len(chosen):
@@ -81,14 +80,14 @@ def compress(ids: np.ndarray, first_nonterminal: int) -> tuple[np.ndarray, np.nd
         taken = _every_other(hit)
         used = np.bincount(at[taken], minlength=len(chosen)) > 0
         name = made + np.cumsum(used) - 1
-        rules.append(chosen[used])
-        made += int(used.sum())
+        pairs = chosen[used].astype(np.int64)
+        rules.append(np.column_stack([pairs >> bits, pairs & ((1 << bits) - 1)]))
+        made += len(pairs)
         symbols[:-1][taken] = name[at[taken]]
         stays = np.ones(len(symbols), bool)
         stays[1:][taken] = False
         symbols = symbols[stays]
-    pairs = np.concatenate(rules).astype(np.int64) if rules else np.zeros(0, np.int64)
-    return symbols.astype(np.int64), np.column_stack([pairs >> bits, pairs & ((1 << bits) - 1)])
+    return symbols.astype(np.int64), np.concatenate(rules)
 
 
 def _frequent(keys: np.ndarray) -> np.ndarray:
@@ -147,13 +146,22 @@ def _rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-def _expansions(rules: np.ndarray, base: int) -> list[tuple[int, ...]]:
-    """The ids of each rule. A rule only uses rules before it."""
-    found: list[tuple[int, ...]] = []
-    for a, b in rules.tolist():
-        left = (a,) if a < base else found[a - base]
-        found.append(left + ((b,) if b < base else found[b - base]))
-    return found
+def _expansions(rules: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rules in a row, and where each rule's begin. A rule only uses rules before it."""
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    begin, size = begins.tolist(), lengths.tolist()
+    for at, pair in zip(begin, rules.tolist()):
+        for part in pair:
+            if part < base:
+                flat[at] = part
+                at += 1
+            else:
+                first, n = begin[part - base], size[part - base]
+                flat[at : at + n] = flat[first : first + n]
+                at += n
+    return flat, begins
 
 
 def _starts(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -211,9 +219,7 @@ class Shard:
 
     def _flat(self) -> tuple[np.ndarray, np.ndarray]:
         if self.table is None:
-            found = _expansions(self.rules, self.base)
-            flat = np.fromiter(chain.from_iterable(found), np.int64)
-            self.table = flat, np.cumsum(self.lengths) - self.lengths
+            self.table = _expansions(self.rules, self.lengths, self.base)
         return self.table
 
 

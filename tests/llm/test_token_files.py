@@ -61,6 +61,42 @@ def test_frequent_pairs_are_replaced():
     assert len(set(pairs)) == len(pairs)
 
 
+def equal_documents():
+    """A shard of many equal documents, one of copies with changes, and one of a single id."""
+    rng = np.random.default_rng(4)
+    one = rng.integers(0, 50_000, 700)
+    changed = np.tile(one, 300)
+    changed[rng.integers(0, len(changed), 2000)] = 7
+    yield np.tile(one, 700)
+    yield changed
+    yield np.full(200_001, 9)
+    yield rng.integers(0, 50_000, 400_000) // 100
+
+
+@pytest.mark.parametrize("ids", list(equal_documents()))
+def test_no_frequent_pair_is_left(ids):
+    symbols, rules = token_files.compress(ids, 50_258)
+    keys, counts = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)
+    assert not (counts >= token_files.LEAST_COUNT).any()
+    shard = token_files.Shard(token_files.pack(ids, 50_258))
+    assert (shard.ids() == ids).all() and (shard.ids(4321, 1234) == ids[4321:5555]).all()
+
+
+def test_copies_become_long_rules():
+    for ids in list(equal_documents())[:3]:
+        shard = token_files.Shard(token_files.pack(ids, 50_258))
+        assert shard.lengths.max() > 100 and len(shard.symbols) < len(ids) / 50
+
+
+def test_rules_beyond_16_bits():
+    """More rules than 16 bits can name: pairs are kept in 64 bits from then on."""
+    ids = np.repeat(np.random.default_rng(6).integers(0, 60_000, 2 * 9000).reshape(-1, 2), 8, axis=0).ravel()
+    symbols, rules = token_files.compress(ids, 60_000)
+    assert 60_000 + len(rules) > 1 << 16
+    assert expand(symbols, rules.tolist(), 60_000) == ids.tolist()
+    assert (token_files.Shard(token_files.pack(ids, 60_000)).ids() == ids).all()
+
+
 def test_many_symbols_take_32_bits():
     ids = np.tile(np.arange(65_520, 65_536), 400)
     content = token_files.pack(ids, 65_536)
