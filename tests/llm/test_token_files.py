@@ -83,9 +83,9 @@ def test_no_frequent_pair_is_left(ids):
 
 
 def test_copies_become_long_rules():
-    for ids in list(equal_documents())[:3]:
-        shard = token_files.Shard(token_files.pack(ids, 50_258))
-        assert shard.lengths.max() > 100 and len(shard.symbols) < len(ids) / 50
+    copies, changed, single, _ = (token_files.Shard(token_files.pack(ids, 50_258)) for ids in equal_documents())
+    assert copies.lengths.max() > 700 and single.lengths.max() > 10_000 and changed.lengths.max() > 16
+    assert len(copies.symbols) < 50 and len(single.symbols) < 50
 
 
 def test_rules_beyond_16_bits():
