@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Six decimals: a price below a cent is stored and summed as it is.
-MONEY = T.DecimalType(20, 6)
+MONEY_DIGITS = 6
+MONEY = T.DecimalType(20, MONEY_DIGITS)
 
 CUSTOMERS = T.StructType([
     T.StructField("customer_id", T.LongType()),

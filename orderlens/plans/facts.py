@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import line_amount
+from orderlens.functions.money import part_names, sum_parts, total, with_line_parts
 from orderlens.functions.times import month_number
 from orderlens.model import COMPLETED, Tables
 
+#: The amount whose parts (`money.part_names`) folds carry.
+AMOUNT = "amount"
+
 
 def completed_orders(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     """Orders that count; the status test is pushed into the scan."""
@@ -24,38 +27,47 @@ def completed_orders(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     )
 
 
-def order_totals(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """order_id, customer_id, order_date, order_amount for completed orders with lines.
+def _order_parts(tables: Tables, completed: str) -> DataFrame:
+    """order_id, customer_id, order_date and the parts of the amount of completed orders with lines.
 
     Lines are summed per order before the join: the shuffle carries one partial
     sum per order and map task however many lines an order has, and the join,
     which is one to one, reuses that shuffle.
     """
-    per_order = tables.order_items.groupBy("order_id").agg(
-        F.sum(line_amount(F.col("quantity"), F.col("unit_price"))).alias("order_amount")
-    )
+    lines = with_line_parts(tables.order_items.select("order_id", "quantity", "unit_price"), AMOUNT)
+    per_order = lines.groupBy("order_id").agg(*sum_parts(AMOUNT))
     return completed_orders(tables, completed).join(per_order, "order_id")
 
 
+def order_totals(tables: Tables, completed: str = COMPLETED) -> DataFrame:
+    """order_id, customer_id, order_date, order_amount for completed orders with lines."""
+    return _order_parts(tables, completed).select(
+        "order_id", "customer_id", "order_date", total(AMOUNT).alias("order_amount")
+    )
+
+
 def customer_spend(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     """customer_id, spent, orders, priced_orders, last_order_date.
 
     An order none of whose lines has a price counts as an order, but has no total.
     """
     return (
-        order_totals(tables, completed)
+        _order_parts(tables, completed)
         .groupBy("customer_id")
         .agg(
-            F.sum("order_amount").alias("spent"),
+            *sum_parts(AMOUNT),
             F.count(F.lit(1)).alias("orders"),
-            F.count("order_amount").alias("priced_orders"),
+            F.count(part_names(AMOUNT)[0]).alias("priced_orders"),
             F.max("order_date").alias("last_order_date"),
         )
+        .select(
+            "customer_id", total(AMOUNT).alias("spent"), "orders", "priced_orders", "last_order_date"
+        )
     )
 
 
 def product_sales(tables: Tables, completed: str = COMPLETED) -> DataFrame:
-    """product_id, sold, units for lines of completed orders.
+    """product_id, units and the parts of the amount, for lines of completed orders.
 
     The semi join needs only order keys.  A hot order is split by adaptive
     execution (its lines are the large side, the key side has one row); a hot
@@ -63,21 +75,19 @@ def product_sales(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     """
     wanted = completed_orders(tables, completed).select("order_id")
     lines = tables.order_items.join(wanted, "order_id", "left_semi")
-    return lines.groupBy("product_id").agg(
-        F.sum(line_amount(F.col("quantity"), F.col("unit_price"))).alias("sold"),
-        F.sum(F.col("quantity").cast("bigint")).alias("units"),
+    priced = with_line_parts(lines.select("product_id", "quantity", "unit_price"), AMOUNT)
+    return priced.groupBy("product_id").agg(
+        *sum_parts(AMOUNT), F.sum(F.col("quantity").cast("bigint")).alias("units")
     )
 
 
 def monthly_revenue(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     """month (number), month_amount, orders: one row per month that has revenue."""
     return (
-        order_totals(tables, completed)
+        _order_parts(tables, completed)
         .groupBy(month_number(F.col("order_date")).alias("month"))
-        .agg(
-            F.sum("order_amount").alias("month_amount"),
-            F.count(F.lit(1)).alias("orders"),
-        )
+        .agg(*sum_parts(AMOUNT), F.count(F.lit(1)).alias("orders"))
+        .select("month", total(AMOUNT).alias("month_amount"), "orders")
     )
 
 

@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import currency, rounded
+from orderlens.functions.money import currency, rounded, sum_parts, total
 from orderlens.functions.times import days_between, moment_literal, month_label, month_number
 from orderlens.model import COMPLETED, Tables
 from orderlens.operators import ranking
@@ -54,9 +54,10 @@ def revenue_by_category(tables: Tables, completed: str = COMPLETED, limit: int =
         .join(what, "product_id")
         .groupBy("category")
         .agg(
-            currency(F.sum("sold")).alias("total_revenue"),
+            *sum_parts(facts.AMOUNT),
             F.sum("units").alias("total_units_sold"),
         )
+        .select("category", currency(total(facts.AMOUNT)).alias("total_revenue"), "total_units_sold")
     )
     return _ordered(result, limit, F.desc("total_revenue"), "category")
 
@@ -83,7 +84,7 @@ def top_products_revenue(tables: Tables, completed: str = COMPLETED, limit: int
     """Products by revenue."""
     result = _with_product(tables, facts.product_sales(tables, completed)).select(
         "product_id", "product_name", "category",
-        currency(F.col("sold")).alias("total_revenue"),
+        currency(total(facts.AMOUNT)).alias("total_revenue"),
     )
     return _ordered(result, limit, F.desc("total_revenue"), "product_id")
 
@@ -171,8 +172,8 @@ def running_revenue(tables: Tables, completed: str = COMPLETED, limit: int = 0)
 def moving_avg_revenue(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> DataFrame:
     """Monthly revenue and its mean over this and the two preceding present months."""
     last_three = Window.orderBy("month").rowsBetween(-2, 0)
-    total, months = F.sum("month_amount").over(last_three), F.count("month_amount").over(last_three)
-    mean = total.cast("double") / months
+    summed, months = F.sum("month_amount").over(last_three), F.count("month_amount").over(last_three)
+    mean = summed.cast("double") / months
     result = facts.monthly_revenue(tables, completed).select(
         month_label(F.col("month")).alias("order_month"),
         currency(F.col("month_amount")).alias("monthly_total"),

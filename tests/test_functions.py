@@ -1,9 +1,11 @@
+import random
 from datetime import datetime
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.functions import money
 from orderlens.functions.missing import na_to_null, nan_to_null
 from orderlens.functions.money import currency, line_amount
 from orderlens.functions.text import strip_blanks, title_case
@@ -165,3 +167,53 @@ def test_common_shapes_of_dates(spark):
     }
     want = [datetime(*parts) if parts else None for parts in texts.values()]
     assert evaluate(spark, list(texts), "string", parse_timestamp) == want
+
+
+def parts_total(spark, rows, kind):
+    """Sum of amounts of [(quantity, price)] by their parts, in one group and in two levels."""
+    df = spark.createDataFrame([(q, None if p is None else str(p)) for q, p in rows], "quantity int, p string")
+    lines = df.select("quantity", F.col("p").cast(kind).alias("unit_price"), F.monotonically_increasing_id().alias("i"))
+    parts = money.with_line_parts(lines, "amount")
+    assert parts.columns == [*lines.columns, *money.part_names("amount")]
+    folded = parts.groupBy(F.col("i") % 3).agg(*money.sum_parts("amount")).agg(*money.sum_parts("amount"))
+    each = [r.t for r in parts.select(money.total("amount").alias("t"), "i").orderBy("i").collect()]
+    want = [r.a for r in lines.select(line_amount(F.col("quantity"), F.col("unit_price")).alias("a"), "i").orderBy("i").collect()]
+    assert each == want
+    return folded.select(money.total("amount").alias("t")).first().t
+
+
+PRICES = ["0.1", "0.29", "-4.35", "0.125", "0.000001", "0.0000004", "0.1234565", "112.62625", "3999999999.999999",
+          "4000000000.000001", "99999999999999.5", "1e300", "nan", "inf", "-inf", "123456789.0000005", None, "0", "-0.0"]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(20,6)", "decimal(12,8)", "float", "bigint"])
+def test_parts_stand_for_the_exact_amount(spark, kind):
+    if kind == "double":
+        prices = PRICES
+    elif "decimal" in kind:
+        prices = [None, "0.1", "-4.35", "0.1234565", "999.125", "0.000001"] + ["99999999999999.5"] * ("20" in kind)
+    else:
+        prices = [None, "0", "7", "-16777216", "4000000001"]
+    rows = [(q, p) for q in (1, -3, 49, 2_147_483_647, -2_147_483_648, 0, None) for p in prices]
+    parts_total(spark, rows, kind)
+
+
+def test_parts_of_random_prices(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(1, 100), f"{rng.randrange(10**9) / 10**rng.randrange(9)!r}") for _ in range(4000)]
+    exact = sum(q * Decimal(p).quantize(Decimal("0.000001"), ROUND_HALF_UP) for q, p in rows)
+    assert parts_total(spark, rows, "double") == exact
+
+
+def test_sums_of_the_greatest_amounts(spark):
+    rows = spark.range(40_000).select(F.lit(2_147_483_647).alias("quantity"), F.lit(99999999999999.0).alias("unit_price"))
+    found = money.with_line_parts(rows, "a").agg(*money.sum_parts("a")).select(money.total("a")).first()[0]
+    assert found == Decimal("99999999999999") * 2_147_483_647 * 40_000
+    none = money.with_line_parts(rows.withColumn("unit_price", F.lit(None).cast("double")), "a")
+    assert none.agg(*money.sum_parts("a")).select(money.total("a")).first()[0] is None
+
+
+def test_sums_out_of_range_end_the_query(spark):
+    rows = spark.range(100_000).select(F.lit(2_147_483_647).alias("quantity"), F.lit(99999999999999.0).alias("unit_price"))
+    with pytest.raises(Exception, match="overflow"):
+        money.with_line_parts(rows, "a").agg(*money.sum_parts("a")).collect()
