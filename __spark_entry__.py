@@ -143,9 +143,8 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from orderlens.llm import queries as corpus
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "orderlens.llm"):
-            raise
+    except ModuleNotFoundError:
+        # The subpackage, the pipeline or a package that only they need is not installed.
         return {}, {}
     found, sql = dict(corpus.QUERIES), dict(corpus.ORACLE_SQL)
     found["pipeline"] = corpus_pipeline.run

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators.durable import Scratch
+
+#: Unknown key values that are broadcast; with more of them rows are joined to all keys.
+BROADCAST_KEYS = 1_000_000
+
 
 def flag_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
     """Add a boolean: does `column` occur among the keys? A null never does.
@@ -26,6 +31,26 @@ def flag_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFr
     )
 
 
+def flag_known_but_few(
+    df: DataFrame, column: str, keys: DataFrame, flag: str, held: Scratch,
+    most: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """`flag_known` where few values are unknown: no row of `df` moves.
+
+    A job finds and stores the values of `column` that are not among the keys, from bare
+    distinct values; rows are then tested against those.  With more than `most` of them
+    the rows are joined to the keys, as in `flag_known`.  The stored values must live as
+    long as the result is used.
+    """
+    wanted = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    missing, n = held.counted(wanted.join(keys.select(column).distinct(), column, "left_anti"))
+    if n > most:
+        return flag_known(df, column, keys, flag)
+    absent = F.broadcast(missing.withColumn("_absent", F.lit(True)))
+    marked = df.join(absent, column, "left")
+    return marked.withColumn(flag, F.col(column).isNotNull() & F.col("_absent").isNull()).drop("_absent")
+
+
 def orphan_count(
     child: DataFrame, column: str, parent: DataFrame, null_is_orphan: bool = True
 ) -> DataFrame:
