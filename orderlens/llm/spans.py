@@ -9,6 +9,10 @@ Sentences of more than a few words (lists, tables, text without marks) are cut f
 at the words that, hashed with the next word, have the least hash among their
 neighbours.  Such cuts depend on at most RADIUS + 2 words on either side, hence a
 passage is cut alike wherever it stands.
+
+In scripts that set no blanks between words (Chinese, Japanese, Thai and others) every
+character is a word, and two of them count as one where the words of a run are counted;
+their sentence marks end a sentence without a blank behind them.
 """
 
 from __future__ import annotations
@@ -24,8 +28,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.llm.chunk_table import release_memory
 from orderlens.llm.columns import Texts, free_name, per_text
-from orderlens.operators.durable import store
+from orderlens.operators.durable import durable, scratch
 
 RUN = 3
 #: A run goes on until it has so many words: fewer say too little to be a copy.
@@ -39,6 +44,14 @@ _KIND[[c for c in range(0x3001) if chr(c).isspace()]] = 1
 _KIND[[ord(c) for c in ".!?…。！？"]] = 2
 _BASE = 0x9E3779B97F4A7C15
 
+#: Characters whose words are hashed at once.
+SLICE = 1 << 20
+
+# Ranges of scripts without blanks between words (Thai and Lao, Myanmar,
+# Khmer, Chinese and Japanese with their marks, wide forms, further ideographs).
+_UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA000), (0xF900, 0xFB00),
+             (0xFF00, 0xFFF0), (0x20000, 0x32000))
+
 #: Bits of the filter that repeated runs are looked up in (32 MB), at most.
 MOST_BITS = 1 << 28
 
@@ -55,8 +68,7 @@ def _sentences(text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
     """The spans, and the number of words up to the end of each."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     kind = _KIND[np.minimum(codes, len(_KIND) - 1)]
-    edges = np.flatnonzero(np.diff(kind == 1, prepend=True, append=True))
-    first, behind = edges[::2], edges[1::2]
+    first, behind, alone = _words(codes, kind == 1)
     n = len(first)
     if not n:
         return [(0, len(text))] if text else [], np.zeros(1 if text else 0, np.int64)
@@ -66,10 +78,32 @@ def _sentences(text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
     ends[-1] = True
     upto = np.flatnonzero(_cuts(_hashes(codes, kind, first), ends)) + 1
     edges = [0, *first[upto[:-1]].tolist(), len(text)]
-    return list(zip(edges, edges[1:])), upto
-
-
-@functools.lru_cache(None)
+    # Two words of one character each count as one word.
+    counted = upto if alone is None else np.maximum(1, np.cumsum(2 - alone)[upto - 1] // 2)
+    return list(zip(edges, edges[1:])), counted
+
+
+def _words(codes: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Starts and ends of words, and which of them are a character of a script without
+    blanks; None if there is no such character."""
+    starts = np.diff(blank, prepend=True) & ~blank
+    stops = np.diff(blank, append=True) & ~blank
+    wide = None
+    if len(codes) and int(codes.max()) >= _UNSPACED[0][0]:
+        wide = np.zeros(len(codes), bool)
+        for low, high in _UNSPACED:
+            wide |= (codes >= low) & (codes < high)
+        wide &= ~blank
+        starts |= wide
+        starts[1:] |= wide[:-1] & ~blank[1:]
+        stops |= wide
+        stops[:-1] |= wide[1:] & ~blank[:-1]
+    first = np.flatnonzero(starts)
+    alone = wide[first] if wide is not None and wide.any() else None
+    return first, np.flatnonzero(stops) + 1, alone
+
+
+@functools.lru_cache(maxsize=1)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of _BASE modulo 2**64, and their inverses."""
     found = []
@@ -82,10 +116,20 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _hashes(codes: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A hash of each word with the word behind it."""
-    powers, inverses = _powers(len(codes).bit_length())
-    letters = powers[: len(codes)] * codes
-    letters[kind == 1] = 0
-    words = _mixed(np.add.reduceat(letters, first) * inverses[first])
+    words = np.empty(len(first), np.uint64)
+    done = 0
+    while done < len(first):
+        # Whole words, about SLICE characters of them.
+        begin = int(first[done])
+        upto = max(done + 1, int(np.searchsorted(first, begin + SLICE)))
+        end = int(first[upto]) if upto < len(first) else len(codes)
+        # Shorter texts share the powers of the longest slice.
+        powers, inverses = _powers(max(16, (end - begin).bit_length()))
+        letters = powers[: end - begin] * codes[begin:end]
+        letters[kind[begin:end] == 1] = 0
+        own = first[done:upto] - begin
+        words[done:upto] = _mixed(np.add.reduceat(letters, own) * inverses[own])
+        done = upto
     words[:-1] = _mixed(words[:-1] * np.uint64(_BASE) + words[1:])
     return words
 
@@ -194,7 +238,7 @@ def keep(
 
 
 def _hashed(documents: DataFrame, text: str, key: str, run: int) -> DataFrame:
-    """(place, tie, own, high, low, start) of each text, as a stored table.
+    """(place, tie, own, high, low, start) of each text.
 
     The arrays hold the halves of the digest of each different run and the number of the
     first such run; `own` says whether a run occurs twice in the text.
@@ -221,7 +265,7 @@ def _hashed(documents: DataFrame, text: str, key: str, run: int) -> DataFrame:
     fields = "own boolean, high array<bigint>, low array<bigint>, start array<int>"
     hashed = per_text(make, fields, F.col(f"`{text}`"))
     rows = documents.select(place.alias("place"), tie.alias("tie"), hashed.alias("r"))
-    return store(rows.select("place", "tie", "r.*"))[0]
+    return rows.select("place", "tie", "r.*")
 
 
 def _likely(hashed: DataFrame, filled: Broadcast) -> DataFrame:
@@ -239,6 +283,7 @@ def _likely(hashed: DataFrame, filled: Broadcast) -> DataFrame:
             columns = [halves[holds, 0], halves[holds, 1], start.flatten().to_numpy()[holds]]
             lists = [pa.ListArray.from_arrays(edges, pa.array(c, f.type.value_type)) for c, f in zip(columns, kind)]
             yield pa.StructArray.from_arrays(lists, fields=list(kind))
+        release_memory()
 
     chosen = F.arrow_udf(run_all, fields).asNondeterministic()
     rows = hashed.select("place", "tie", chosen("high", "low", "start").alias("r"))
@@ -273,26 +318,31 @@ def repeated_runs(documents: DataFrame, text: str = "text", key: str = "doc_id",
     """(place, tie, starts, own): texts with a run that stands in an earlier document
     (`starts`) or twice in the text (`own`).
 
-    Digests are stored once.  Each different run of a text counts once, and a map-side
+    Digests are stored once and go again; what is returned is stored too.  Each different run of a text counts once, and a map-side
     minimum and maximum find the runs that several documents hold, which are stored.
     A Bloom filter of these, of bounded size, keeps most other runs out of the join
     that finds their places; what it lets through by mistake the join removes.
     """
     spark = documents.sparkSession
-    hashed = _hashed(documents, text, key, run)
-    every = hashed.select("place", F.inline(F.arrays_zip("high", "low", "start")))
-    several, _ = store(
-        every.groupBy("high", "low").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        .filter("first < last").select("high", "low", "first")
-    )
-    filled = spark.sparkContext.broadcast(_filled_bits(several, several.count()))
-    # Both sides come straight from a shuffle, so a run of very many documents is split.
-    later = _likely(hashed, filled).join(several, ["high", "low"]).filter("place > first")
-    own = hashed.filter("own").select("place", "tie", F.lit(None).cast("int").alias("start"))
-    found = later.select("place", "tie", "start").unionByName(own)
-    return found.groupBy("place", "tie").agg(
-        F.collect_set("start").alias("starts"), F.bool_or(F.col("start").isNull()).alias("own")
-    )
+    with scratch() as held:
+        hashed = held.store(_hashed(documents, text, key, run))
+        every = hashed.select("place", F.inline(F.arrays_zip("high", "low", "start")))
+        several, n = held.counted(
+            every.groupBy("high", "low").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+            .filter("first < last").select("high", "low", "first")
+        )
+        filled = spark.sparkContext.broadcast(_filled_bits(several, n))
+        # Both sides come straight from a shuffle, so a run of very many documents is split.
+        later = _likely(hashed, filled).join(several, ["high", "low"]).filter("place > first")
+        own = hashed.filter("own").select("place", "tie", F.lit(None).cast("int").alias("start"))
+        found = later.select("place", "tie", "start").unionByName(own)
+        # Stored, so that documents are joined to it straight from a scan or a shuffle of
+        # their own, which adaptive execution may split, and nothing else has to be kept.
+        return durable(
+            found.groupBy("place", "tie").agg(
+                F.collect_set("start").alias("starts"), F.bool_or(F.col("start").isNull()).alias("own")
+            )
+        )
 
 
 def placed(key: str, text: str):
@@ -343,6 +393,7 @@ def without_repeats(
                     left, removed = keep(left, start.as_py(), twice.as_py(), run)
                 rows.append({"text": left, "removed": [{"start": a, "end": b} for a, b in removed]})
             yield pa.array(rows, fields)
+        release_memory()
 
     kind = "text string, removed array<struct<start: int, end: int>>"
     cleaned = F.arrow_udf(run_all, kind).asNondeterministic()

@@ -9,8 +9,6 @@ import public_tokenizers
 import xxhash
 from tokenizers import Tokenizer
 
-from orderlens.llm import spans
-
 
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
@@ -74,19 +72,90 @@ def contamination(text, items, window=10):
     return len(own), len(hit), len(found), hashlib.sha256(joined.encode()).hexdigest(), bool(hit)
 
 
-def without_repeats(rows, run=spans.RUN):
-    """Texts of [(key, text)], in key order, without runs of earlier documents."""
+MASK = (1 << 64) - 1
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U00031fff"
+TOKEN = re.compile(rf"[^\s{UNSPACED}]+|(?!\s)[{UNSPACED}]")
+
+
+def mixed(x):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ x >> 33) * factor & MASK
+    return x ^ x >> 33
+
+
+def span_sentences(text, radius=3):
+    """[(start, end, words)] of the sentences of a text, by their definition."""
+    found = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(text)]
+    if not found:
+        return []
+    base = 0x9E3779B97F4A7C15
+    own = [mixed(sum(ord(c) * pow(base, i, 1 << 64) for i, c in enumerate(w)) & MASK) for _, _, w in found]
+    hashes = [mixed(a * base + b & MASK) for a, b in zip(own, own[1:])] + own[-1:]
+    n, cuts = len(found), set()
+    for i, (_, end, word) in enumerate(found):
+        gap = text[end : found[i + 1][0]] if i + 1 < n else "\n"
+        if word[-1] in ".!?…。！？" or "\n" in gap:
+            cuts.add(i)
+    sentence = [sum(1 for c in cuts if c < i) for i in range(n)]
+    equal = []
+    for i in range(radius, n - radius - 1):
+        left, right = hashes[i - radius : i], hashes[i + 1 : i + radius + 1]
+        if sentence[i - radius] == sentence[i + radius + 1] and hashes[i] <= min(left + right):
+            if hashes[i] < min(left):
+                cuts.add(i)
+            else:
+                equal.append(i)
+    marks, at = sorted(cuts), -1
+    for j in equal:
+        at = max([at, *(c for c in marks if c < j)])
+        if j - at > radius and min(c for c in marks if c >= j) - j > radius:
+            cuts.add(j)
+            at = j
+    result, first = [], 0
+    for cut in sorted(cuts):
+        start = found[first][0] if first else 0
+        end = found[cut + 1][0] if cut + 1 < n else len(text)
+        result.append((start, end, found[first : cut + 1]))
+        first = cut + 1
+    return result
+
+
+def span_runs(text, run=3, least=10):
+    """[(first sentence, end, what it says)] of the runs of a text, in order, and its sentences."""
+    held = span_sentences(text)
+    halves, upto = [0], 0
+    for _, _, own in held:
+        upto += sum(1 if re.fullmatch(f"[{UNSPACED}]", w) else 2 for _, _, w in own)
+        halves.append(max(1, upto // 2))
+    says = [" ".join(text[a:b].split()) for a, b, _ in held]
+    found = set()
+    for i in range(len(held)):
+        ends = [e for e in range(i + run, len(held) + 1) if halves[e] - halves[i] >= least]
+        if ends:
+            found.add((ends[0], i))
+    for e in range(len(held) + 1):
+        begins = [i for i in range(e - run + 1) if halves[e] - halves[i] >= least]
+        if begins:
+            found.add((e, begins[-1]))
+    return held, [(i, e, tuple(says[i:e])) for e, i in sorted(found)]
+
+
+def without_repeats(rows):
+    """Texts of [(key, text)], in key order, without runs of earlier documents.
+
+    Knows nothing of the operator's code: own sentences, own runs, compared as texts.
+    """
     first, result = {}, []
     for key, text in rows:
-        held, found = spans.runs(text, run)
+        held, found = span_runs(text or "")
         gone, own = set(), set()
-        for i, (digest, end) in enumerate(found):
-            if digest in own or first.get(digest, key) != key:
-                gone |= set(range(i, end))
-            own.add(digest)
-            first.setdefault(digest, key)
+        for begin, end, says in found:
+            if says in own or first.get(says, key) != key:
+                gone |= set(range(begin, end))
+            own.add(says)
+            first.setdefault(says, key)
         if gone:
-            drop = {c for i in gone for c in range(*held[i])}
+            drop = {c for i in gone for c in range(*held[i][:2])}
             text = "".join(c for i, c in enumerate(text) if i not in drop)
         result.append(text)
     return result

@@ -1,3 +1,4 @@
+import os
 import random
 
 import plain
@@ -138,3 +139,46 @@ def test_short_sentences_at_the_end_of_a_passage_go(spark, end):
     rows = [(1, f"Something before it. {PASSAGE} {tail}{end}"), (2, f"{PASSAGE} {tail}"), (3, f"{PASSAGE} {tail} Own words.")]
     got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.spans.text.strip() for r in got} == {1: rows[0][1], 2: "", 3: "Own words."}
+
+
+CHINESE = "第一句话说的是天气。第二句话说的是城市里的人们！第三句谈到昨天买的书。第四句问你去哪里？第五句在这里结束了。"
+JAPANESE = "昨日は友達と一緒に海へ行きました。天気がとても良くて気持ちがよかったです。来週もまた行きたいと思っています！"
+THAI = "วันนี้อากาศดีมากเราจึงออกไปเดินเล่นในสวนสาธารณะใกล้บ้านและพบเพื่อนเก่าที่ไม่ได้เจอกันมานานหลายปีแล้ว"
+
+
+@pytest.mark.parametrize("passage", [CHINESE, JAPANESE, THAI, CHINESE.replace("。", "").replace("！", "").replace("？", "")])
+def test_passages_without_blanks_go(spark, passage):
+    rows = [(1, f"前面的文字完全不同而且很长没有重复。{passage}后面还有别的内容。"), (2, f"another start {passage} another end"),
+            (3, "只有一句话。"), (4, "只有一句话。")]
+    got = spans.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()
+    left = [r.spans.text for r in got]
+    assert left == plain.without_repeats(rows) and left[0] == rows[0][1] and left[2:] == ["只有一句话。"] * 2
+    halves = {passage[i : i + 25] for i in range(len(passage) - 24)}
+    assert not any(left[1][i : i + 25] in halves for i in range(len(left[1]) - 24))
+
+
+def test_sentences_equal_plain():
+    rng = random.Random(11)
+    for letters in ("ab .!?\n", "word other the . \n", "天地。！ab \u3000人", "กขค ab\n", "a\x1c b\x85c. d"):
+        for _ in range(60):
+            text = "".join(rng.choice(letters) + rng.choice(["", "", " "]) for _ in range(rng.randrange(200)))
+            held, found = plain.span_runs(text)
+            if held:
+                assert spans.sentences(text) == [(a, b) for a, b, _ in held]
+            assert len(spans.runs(text)[1]) == len(found)
+
+
+def test_slices_give_the_same_hashes(monkeypatch):
+    text = " ".join(f"w{i * 7919 % 1000}" for i in range(3000)) + " " + "x" * 500
+    whole = spans.sentences(text)
+    monkeypatch.setattr(spans, "SLICE", 100)
+    assert spans.sentences(text) == whole
+
+
+def test_one_table_stays(spark, small):
+    from orderlens.operators import durable
+
+    held = lambda: set(os.listdir(durable.durable_root(spark)))
+    before = held()
+    entry.queries()["op2_spans"](spark, small).count()
+    assert len(held() - before) == 1
