@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ def durable_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        _, files = _file_system(spark, warehouse)
-        root = warehouse_root(warehouse, files.getUri().getScheme(), spark.sparkContext.master)
+        # A path without a scheme is on the default file system.
+        scheme = urlparse(warehouse).scheme or _file_system(spark, warehouse)[1].getUri().getScheme()
+        root = warehouse_root(warehouse, scheme, spark.sparkContext.master if scheme == "file" else "")
     return root.rstrip("/")
 
 
