@@ -21,9 +21,10 @@ from orderlens.functions.text import strip_blanks, title_case  # noqa: E402
 from orderlens.functions.times import parse_timestamp  # noqa: E402
 from orderlens.model import RawTables, Tables  # noqa: E402
 from orderlens.operators.dedup import surplus_copies  # noqa: E402
+from orderlens.operators.durable import Scratch  # noqa: E402
 from orderlens.operators.lookup import lookup  # noqa: E402
 from orderlens.operators.sampling import sample_rows  # noqa: E402
-from orderlens.plans import cleaning, faults, integrity, reports  # noqa: E402
+from orderlens.plans import cleaning, facts, faults, integrity, reports  # noqa: E402
 from orderlens.plans.access import run_report  # noqa: E402
 from orderlens.sources.star import (  # noqa: E402
     AS_OF,
@@ -55,6 +56,18 @@ def _report(report, **options) -> Query:
     )
 
 
+def _on_lines_of_completed(report) -> Query:
+    """A report on lines that a key filter of completed orders lets through."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = star_tables(spark, folder)
+        # The filter is read when the result is; it goes when the application ends.
+        few = facts.lines_of_completed(tables, Scratch(), COMPLETED_STATUS)
+        return report(few, completed=COMPLETED_STATUS)
+
+    return run
+
+
 def _sub_cent(report) -> Query:
     """A report on prices below a cent; lines of every seventh part have no price."""
 
@@ -186,9 +199,14 @@ def core_queries() -> dict[str, Query]:
         "aov_by_segment_sub_cent": _sub_cent(reports.aov_by_segment),
         "top_customers_ltv_sub_cent": _sub_cent(reports.top_customers_ltv),
         "rank_within_customer_sub_cent": _sub_cent(reports.rank_within_customer),
+        "revenue_by_customer_filtered": _on_lines_of_completed(reports.revenue_by_customer),
+        "revenue_by_category_filtered": _on_lines_of_completed(reports.revenue_by_category),
         # ranks and series
         "top_customers_ltv": _report(reports.top_customers_ltv),
         "top_customers_ltv_20": _report(reports.top_customers_ltv, limit=20),
+        "top_customers_ltv_20_split": _report(
+            reports.top_customers_ltv, limit=20, split=True, few=4, buckets=4
+        ),
         "running_revenue": _report(reports.running_revenue),
         "moving_avg_revenue": _report(reports.moving_avg_revenue),
         "growth_rate": _report(reports.growth_rate),
@@ -278,6 +296,11 @@ def core_queries() -> dict[str, Query]:
         "sampled_rows": _clean(
             lambda t: sample_rows(t.orders, SAMPLE_SIZE, F.col("order_id"), "sample")
         ),
+        "sampled_rows_split": _clean(
+            lambda t: sample_rows(
+                t.orders, SAMPLE_SIZE, F.col("order_id"), "sample", split=True, few=4, slots=16
+            )
+        ),
     }
 
 
@@ -833,6 +856,12 @@ def core_oracle_sql() -> dict[str, str]:
             SELECT {_ORDER_COLUMNS} FROM orders
             ORDER BY md5(o_orderkey || ':sample') LIMIT {SAMPLE_SIZE}""",
     }
+    sql |= {
+        "revenue_by_customer_filtered": sql["revenue_by_customer"],
+        "revenue_by_category_filtered": sql["revenue_by_category"],
+        "top_customers_ltv_20_split": sql["top_customers_ltv_20"],
+        "sampled_rows_split": sql["sampled_rows"],
+    }
     for name in _ORPHANS:
         sql[name] = f"WITH {_RAW_ALL} {_orphans(name)}"
     return sql

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators import cutoff
+from orderlens.operators.durable import Scratch
+
 _SHARE_STEPS = 1_000_000
 
 
@@ -24,13 +27,25 @@ def share(key: Column, rate: float, seed: str) -> Column:
     return F.pmod(number, F.lit(_SHARE_STEPS)) < round(rate * _SHARE_STEPS)
 
 
-def sample_rows(df: DataFrame, n: int, key: Column, seed: str) -> DataFrame:
+def sample_rows(
+    df: DataFrame, n: int, key: Column, seed: str, split: bool = False,
+    held: Scratch | None = None, few: int = cutoff.FEW_ROWS, slots: int = cutoff.SLOTS,
+) -> DataFrame:
     """Exactly `n` rows (or all, if fewer), without replacement.
 
     A top-n by hashed key: each task keeps n candidates, nothing is sorted whole.
+    `split` is for an n too large for one task: jobs search the hash below which n rows
+    lie (`cutoff`), and the same rows are taken where they are.
     """
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
-    return df.orderBy(digest, key).limit(n)
+    if not split:
+        return df.orderBy(digest, key).limit(n)
+    names = ["_digest", "_key", "_high", "_low"]
+    high, low = (F.conv(F.substring("_digest", at, 15), 16, 10).cast("bigint") for at in (1, 16))
+    hashed = df.withColumns({"_digest": digest, "_key": key}).withColumns({"_high": high, "_low": low})
+    order = [("_high", False), ("_low", False)]
+    first = cutoff.first_rows(hashed, n, order, [F.col("_digest"), F.col("_key")], held, few, slots)
+    return first.drop(*names)
 
 
 def repeat_rows(df: DataFrame, hit: Column) -> DataFrame:

@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from orderlens.functions.money import part_names, sum_parts, total, with_line_parts
 from orderlens.functions.times import month_number
 from orderlens.model import COMPLETED, Tables
+from orderlens.operators import keysets
+from orderlens.operators.durable import Scratch
 
 #: The amount whose parts (`money.part_names`) folds carry.
 AMOUNT = "amount"
 
+#: Share of completed orders up to which lines are tested before they are folded.
+FEW_COMPLETED = 0.5
+
 
 def completed_orders(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     """Orders that count; the status test is pushed into the scan."""
@@ -27,6 +32,31 @@ def completed_orders(tables: Tables, completed: str = COMPLETED) -> DataFrame:
     )
 
 
+def lines_of_completed(
+    tables: Tables, held: Scratch, completed: str = COMPLETED, most: float = FEW_COMPLETED
+) -> Tables:
+    """`tables` whose order lines are, but for a few, those of completed orders.
+
+    For reports on orders with that status, whose results stay the same: the lines of
+    other orders go where they are read, by a broadcast key filter, instead of being
+    folded, shuffled and dropped by the join.  Runs a job that counts orders; if more
+    than the share `most` of them is completed, or the filter would need more than its
+    greatest size, `tables` are returned as they are, and lines are folded first.
+    Otherwise a second job writes the filter, which must live as long as the result.
+    """
+    done = F.col("status") == completed
+    counted = tables.orders.agg(
+        F.count(F.lit(1)).alias("orders"), F.count_if(done & F.col("order_id").isNotNull()).alias("done")
+    ).first()
+    blocks = keysets.filter_blocks(counted.done)
+    too_many = blocks * keysets.BLOCK_BITS < 2 * counted.done
+    if counted.done > most * counted.orders or too_many:
+        return tables
+    found = held.store(keysets.key_filter(completed_orders(tables, completed), "order_id", blocks))
+    lines = keysets.maybe_known(tables.order_items, "order_id", found, blocks)
+    return Tables(lambda: tables.customers, lambda: tables.products, lambda: tables.orders, lines)
+
+
 def _order_parts(tables: Tables, completed: str) -> DataFrame:
     """order_id, customer_id, order_date and the parts of the amount of completed orders with lines.
 

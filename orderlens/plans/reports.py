@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.functions.money import currency, rounded, sum_parts, total
 from orderlens.functions.times import days_between, moment_literal, month_label, month_number
 from orderlens.model import COMPLETED, Tables
-from orderlens.operators import ranking
+from orderlens.operators import cutoff, ranking
 from orderlens.plans import facts
 
 
@@ -123,13 +123,15 @@ def aov_by_segment(tables: Tables, completed: str = COMPLETED, limit: int = 0) -
 
 def top_customers_ltv(
     tables: Tables, completed: str = COMPLETED, limit: int = 0, buckets: int | None = None,
-    split: bool = False,
+    split: bool = False, few: int = cutoff.FEW_ROWS,
 ) -> DataFrame:
     """Customers ranked by lifetime value, with and without gaps after ties.
 
     With a limit the plan is a lazy top-n, which one task ranks; `split` is for limits
-    too large for that.  Without a limit, and with `split`, the ranking is cut into
-    value slots (`buckets`, by default by size), which runs jobs while the plan is built.
+    too large for that: a cut-off is searched, and no task sees all rows above it (one
+    sorts the last `few`).
+    Without a limit, and with `split`, the ranking is cut into value slots (`buckets`, by
+    default by size).  Both run jobs while the plan is built.
     """
     who = tables.customers.select("customer_id", "name")
     spend = (
@@ -139,11 +141,14 @@ def top_customers_ltv(
         .select("customer_id", "name", F.round("spent", 2).alias("spent"))
     )
     names = ("spent", "customer_id", "ltv_rank", "ltv_dense_rank")
-    ranked = (
-        ranking.rank_top(spend, *names, n=limit)
-        if limit and not split
-        else ranking.rank_all(spend, *names, buckets=buckets)
-    )
+    if limit and not split:
+        ranked = ranking.rank_top(spend, *names, n=limit)
+    else:
+        if limit:
+            # Ranks depend on rows above alone.
+            order = [("spent", True), ("customer_id", False)]
+            spend = cutoff.first_rows(spend, limit, order, few=few, slots=buckets or cutoff.SLOTS)
+        ranked = ranking.rank_all(spend, *names, buckets=buckets)
     result = ranked.select(
         "customer_id",
         "name",
@@ -151,7 +156,8 @@ def top_customers_ltv(
         "ltv_rank",
         "ltv_dense_rank",
     )
-    return _ordered(result, limit, "ltv_rank", "customer_id")
+    # With `split` the rows are those within the limit already.
+    return _ordered(result, 0 if split else limit, "ltv_rank", "customer_id")
 
 
 # The three series below use windows without a partition key. Their input is one
