@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
@@ -49,13 +49,56 @@ CHAT_TOOLS = [
 ]
 
 
+def faulty_calls(calls: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results of `turns_as_calls`, with a fault by conv_id % 11 in `reply` calls.
+
+    1: a turn needs the user turn after it, 2: pairs of turns need each other, 3: `words` is
+    a text, 4: no `text`, 5: a parameter `hint`, 6: needs a call that does not exist, 7: turns
+    also answer the call three before them, 8: the last character of the arguments is cut off,
+    9: the tool has another name, 10: each call is there again under another name, 0: none.
+    """
+    rule, turn = F.when(F.col("name") == "reply", F.col("conv_id") % 11), F.col("position")
+
+    def call(at: Column | str) -> Column:
+        return F.concat_ws("-", F.col("conv_id").cast("string"), F.lit(at) if isinstance(at, str) else at.cast("string"))
+
+    other = turn + F.when(rule == 1, 2).when(rule == 2, F.when(turn % 4 < 2, 2).otherwise(-2))
+    present = calls.filter("name = 'reply'").select("conv_id", F.col("position").alias("_other"), F.lit(True).alias("_there")).distinct()
+    given = F.from_json("arguments", "turn bigint, words bigint, text string")
+    named = [F.col(f"_given.{n}").alias(n) for n in ("turn", "words", "text")]
+    arguments = (
+        F.when(rule == 3, F.to_json(F.struct(named[0], named[1].cast("string").alias("words"), named[2])))
+        .when(rule == 4, F.to_json(F.struct(*named[:2])))
+        .when(rule == 5, F.to_json(F.struct(*named, F.lit(True).alias("hint"))))
+        .when(rule == 8, F.expr("left(arguments, length(arguments) - 1)"))
+        .otherwise(F.col("arguments"))
+    )
+    none = F.array().cast("array<string>")
+    needs = (
+        F.when(rule.isin(1, 2), F.when(F.col("_there"), F.array(call(F.col("_other")))).otherwise(none))
+        .when(rule == 6, F.concat("depends_on", F.array(call("none"))))
+        .otherwise(F.col("depends_on"))
+    )
+    names = (
+        F.when(rule == 9, F.array(F.lit("respond")))
+        .when(rule == 10, F.array(F.lit("reply"), F.lit("reply_again"))).otherwise(F.array("name"))
+    )
+    told = calls.withColumn("_other", other).join(present, ["conv_id", "_other"], "left").withColumn("_given", given)
+    told = told.select("conv_id", "call_id", "position", F.explode(names).alias("name"), arguments.alias("arguments"), needs.alias("depends_on"))
+    earlier = F.regexp_extract("call_id", "^[^-]*-(-?[0-9]+)$", 1).cast("bigint") - 2
+    targets = F.when(F.col("conv_id") % 11 == 7, F.array(F.col("call_id"), call(earlier))).otherwise(F.array("call_id"))
+    return told, results.select("conv_id", F.explode(targets).alias("call_id"), "content")
+
+
 def op3_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
-    calls, results = tool_calls.turns_as_calls(_table(spark, folder, "conversations"))
+    """Plain conversations as calls, with faults by rule, written as JSON turns and read from those."""
+    turns = tool_calls.text_of_calls(*faulty_calls(*tool_calls.turns_as_calls(_table(spark, folder, "conversations"))))
+    calls, results = tool_calls.calls_in_text(turns)
     schemas = spark.range(1).select(
         F.inline(F.array(*[F.struct(*map(F.lit, tool)) for tool in CHAT_TOOLS]))
     ).toDF("name", "parameter", "kind", "required")
-    found = tool_calls.formatted(calls, results, schemas)
-    return found.withColumn("errors", F.array_join("errors", "; "))
+    found = tool_calls.whole(calls, results, schemas)
+    return found.withColumn("errors", F.array_join("errors", "; ")).withColumn("position", F.col("position.turn"))
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,29 +214,71 @@ _DOC_WORDS = """
 
 ORACLE_SQL: dict[str, str] = {
     "op3_tool_calls": r"""
-        WITH t AS (
-            SELECT conv_id, turn, lower(role) AS role, text,
+        WITH RECURSIVE t AS (
+            SELECT conv_id, turn, lower(role) AS role, text, conv_id % 11 AS rule,
                    len(list_filter(regexp_split_to_array(trim(text), '\s+'), lambda w: w <> '')) AS words
             FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+        ), asked AS (SELECT conv_id, turn FROM t WHERE role = 'user'),
+        chain AS (
+            SELECT conv_id, turn, 0 AS level FROM asked AS a
+            WHERE conv_id % 11 = 1
+              AND NOT EXISTS (FROM asked AS b WHERE b.conv_id = a.conv_id AND b.turn = a.turn + 2)
+            UNION ALL
+            SELECT a.conv_id, a.turn, level + 1 FROM asked AS a
+            JOIN chain AS c ON c.conv_id = a.conv_id AND c.turn = a.turn + 2
         ), calls AS (
-            SELECT conv_id, conv_id || '-' || turn AS call_id, turn AS position,
-                   CASE role WHEN 'user' THEN 'reply' ELSE 'configure' END AS name,
-                   CASE role WHEN 'user'
-                        THEN to_json(struct_pack(text := text, turn := turn, words := words))
-                        ELSE to_json(struct_pack(text := text)) END AS arguments
-            FROM t WHERE role IN ('user', 'system')
+            SELECT t.conv_id, t.conv_id || '-' || t.turn AS call_id, t.turn AS position,
+                   CASE WHEN role = 'system' THEN 'configure' WHEN rule = 9 THEN 'respond' ELSE 'reply' END AS name,
+                   CASE WHEN role = 'system' THEN to_json(struct_pack(text := text))
+                        WHEN rule = 3 THEN to_json(struct_pack(text := text, turn := t.turn, words := words::VARCHAR))
+                        WHEN rule = 4 THEN to_json(struct_pack(turn := t.turn, words := words))
+                        WHEN rule = 5 THEN to_json(struct_pack(hint := true, text := text, turn := t.turn, words := words))
+                        WHEN rule <> 8 THEN to_json(struct_pack(text := text, turn := t.turn, words := words))
+                        END AS arguments,
+                   CASE WHEN role = 'user' AND rule = 8 THEN
+                        left(CAST(to_json(struct_pack(turn := t.turn, words := words, text := text)) AS VARCHAR), -1)
+                        END AS unparsed,
+                   CASE WHEN role = 'system' THEN NULL WHEN rule = 3 THEN 'wrong type: words' WHEN rule = 4 THEN 'missing: text'
+                        WHEN rule = 5 THEN 'unknown: hint' WHEN rule = 8 THEN 'malformed' WHEN rule = 9 THEN 'unknown tool'
+                        END AS error,
+                   CASE WHEN role = 'system' THEN 0 WHEN rule = 1 THEN c.level WHEN rule = 2 AND p.turn IS NOT NULL THEN NULL ELSE 0 END AS level,
+                   role = 'system' OR NOT (rule = 6 OR rule = 2 AND p.turn IS NOT NULL) AS orderly,
+                   role = 'user' AND rule = 10 AS twice
+            FROM t
+            LEFT JOIN chain AS c ON role = 'user' AND c.conv_id = t.conv_id AND c.turn = t.turn
+            LEFT JOIN asked AS p ON role = 'user' AND p.conv_id = t.conv_id
+                                    AND p.turn = t.turn + CASE WHEN t.turn % 4 < 2 THEN 2 ELSE -2 END
+            WHERE role IN ('user', 'system')
+        ), told AS (
+            SELECT conv_id, unnest(CASE WHEN rule = 7 THEN [turn - 1, turn - 3] ELSE [turn - 1] END) AS position, text
+            FROM t WHERE role IS NULL OR role NOT IN ('user', 'system')
+        ), texts AS (
+            SELECT conv_id, position, text, count(*) AS copies FROM told GROUP BY ALL
         ), answers AS (
-            SELECT conv_id, turn - 1 AS position, min(text) AS result, count(*) AS answers
-            FROM t WHERE role IS NULL OR role NOT IN ('user', 'system') GROUP BY ALL
+            SELECT conv_id, position, min(text) AS result, CAST(sum(copies) AS BIGINT) AS answers FROM texts GROUP BY ALL
+        ), shown AS (
+            SELECT conv_id, call_id, position, level, name, arguments, unparsed,
+                   CASE WHEN error IS NULL THEN CAST([] AS VARCHAR[]) ELSE [error] END AS errors,
+                   error IS NULL AND orderly AS valid, coalesce(answers, 0) AS answers, result, CAST(NULL AS BIGINT) AS copies
+            FROM calls LEFT JOIN answers USING (conv_id, position)
+            UNION ALL
+            SELECT conv_id, call_id, position, NULL, 'reply_again', NULL,
+                   CAST(to_json(struct_pack(turn := position, words := arguments->'$.words', text := arguments->'$.text')) AS VARCHAR),
+                   ['conflicting call'], false, NULL, NULL, 1
+            FROM calls WHERE twice
+            UNION ALL
+            SELECT x.conv_id, x.conv_id || '-' || x.position, NULL, NULL, NULL, NULL, NULL,
+                   [CASE WHEN c.call_id IS NULL THEN 'result without a call' ELSE 'further result' END], false, NULL, text, copies
+            FROM texts AS x JOIN answers USING (conv_id, position) LEFT JOIN calls AS c USING (conv_id, position)
+            WHERE c.call_id IS NULL OR text IS DISTINCT FROM answers.result
         )
-        SELECT conv_id, call_id, position, CAST(0 AS INTEGER) AS level, name,
-               CAST(arguments AS VARCHAR) AS arguments, '' AS errors, true AS valid,
-               coalesce(answers, 0) AS answers, result,
+        SELECT conv_id, call_id, position, CAST(level AS INTEGER) AS level, name,
+               CAST(arguments AS VARCHAR) AS arguments, unparsed, array_to_string(errors, '; ') AS errors,
+               valid, answers, result, copies,
                CAST(to_json(struct_pack(
-                   arguments := arguments, call_id := call_id, conv_id := conv_id,
-                   errors := CAST([] AS VARCHAR[]), name := name, result := result)) AS VARCHAR)
-                   AS record
-        FROM calls LEFT JOIN answers USING (conv_id, position)""",
+                   arguments := coalesce(arguments, to_json(unparsed)), call_id := call_id, conv_id := conv_id,
+                   errors := errors, name := name, result := result)) AS VARCHAR) AS record
+        FROM shown""",
     "op6_decontamination": f"""
         WITH d AS ({_DOC_WORDS.format(key="doc_id", table="documents")}),
         i AS ({_DOC_WORDS.format(key="item_id", table="benchmark")}),

@@ -9,7 +9,13 @@ Tables (further columns are not read):
 * results: conv_id, call_id, content
 * schemas: name, parameter, kind, required
 
-`position` says where a call stands in its conversation.
+`position` says where a call stands in its conversation: anything that can be compared.
+
+`formatted` gives a row per call; `leftover` a row with an error for whatever has no place in
+those: further results of a call, results without a call, calls that repeat an id otherwise,
+calls without an id.  `whole` is both, in which no text is lost.  Nulls are values like any
+other in contents; empty tables give empty results; texts are carried as they are, however
+long; further columns, also of the same names as columns of the result, are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from pyspark.sql import functions as F
 from orderlens.operators.durable import drop, store
 
 KEY = ["conv_id", "call_id"]
+_REST = ["position", "name", "arguments", "depends_on"]
 
 #: Parameters of all tools that are broadcast; more are joined by a shuffle.
 BROADCAST_PARAMETERS = 100_000
@@ -36,8 +43,7 @@ def distinct_calls(calls: DataFrame) -> DataFrame:
 
     Calls without an id or a conversation can't be linked and are left out.
     """
-    rest = ["position", "name", "arguments", "depends_on"]
-    least = F.min(F.struct(*rest)).alias("_least")
+    least = F.min(F.struct(*_REST)).alias("_least")
     found = calls.dropna(subset=KEY).groupBy(*KEY).agg(least, F.count(F.lit(1)).alias("copies"))
     return found.select(*KEY, "_least.*", "copies")
 
@@ -45,8 +51,8 @@ def distinct_calls(calls: DataFrame) -> DataFrame:
 def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Calls (one per id) with `result` and `answers`, the number of results.
 
-    Of several results the least text is taken.  A call without a result has none; a
-    result without a call is dropped here, see `unclaimed`.
+    Of several results the least text is taken; `leftover` has the others.  A call without
+    a result has none; a result without a call has no place here, see `leftover`.
     """
     answers = results.dropna(subset=KEY).groupBy(*KEY).agg(
         F.min("content").alias("result"), F.count(F.lit(1)).alias("answers")
@@ -59,6 +65,44 @@ def unclaimed(calls: DataFrame, results: DataFrame) -> DataFrame:
     return results.join(calls.select(*KEY), KEY, "left_anti")
 
 
+def leftover(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """What `linked` has no place for: rows (conv_id, call_id, position, name, arguments,
+    depends_on, result, error, copies).
+
+    Errors: `call without an id`, `conflicting call` (an id given again, with anything
+    else), `result without a call`, `further result` (any text but the least).  Equal rows
+    are one row with their number.  Rows are grouped with their whole content, so that no
+    task gets all rows of one id.
+    """
+    # The derived column keeps Spark from reusing the grouping for the join, so that adaptive
+    # execution can split an id with very many rows.
+    part = F.xxhash64(*KEY).alias("_part")
+    given = calls.groupBy(*KEY, *_REST).agg(F.count(F.lit(1)).alias("copies"))
+    first = calls.dropna(subset=KEY).groupBy(*KEY, part).agg(F.min(F.struct(*_REST)).alias("_least")).drop("_part")
+    conflicts = (
+        given.join(first, KEY, "left").filter(~F.col("_least").eqNullSafe(F.struct(*_REST)))
+        .withColumn("error", F.when(F.col("_least").isNull(), "call without an id").otherwise("conflicting call"))
+        .select(*KEY, *_REST, F.lit(None).cast("string").alias("result"), "error", "copies")
+    )
+    answers = results.groupBy(*KEY, F.col("content").alias("result")).agg(F.count(F.lit(1)).alias("copies"))
+    both = calls.select(*KEY, F.lit(None).cast("string").alias("content"), F.lit(True).alias("asked")).unionByName(
+        results.select(*KEY, "content", F.lit(False).alias("asked"))
+    )
+    known = both.dropna(subset=KEY).groupBy(*KEY, part).agg(
+        F.max("asked").alias("_asked"), F.struct(F.min("content").alias("result")).alias("_taken")
+    ).filter("_asked").drop("_part", "_asked")
+    unplaced = (
+        answers.join(known, KEY, "left").filter(~F.col("_taken").eqNullSafe(F.struct("result")))
+        .withColumn("error", F.when(F.col("_taken").isNull(), "result without a call").otherwise("further result"))
+    )
+    types = calls.schema
+    return conflicts.unionByName(
+        unplaced.select(
+            *KEY, *[F.lit(None).cast(types[c].dataType).alias(c) for c in _REST], "result", "error", "copies"
+        )
+    )
+
+
 def dependencies(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, position, needs, needed_at): a row per dependency.
 
@@ -121,9 +165,10 @@ def ordered(calls: DataFrame) -> DataFrame:
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
-    """`calls` with canonical `arguments` and sorted `errors`.
+    """`calls` with canonical `arguments`, `unparsed` and sorted `errors`.
 
-    Errors: `malformed` (no JSON object, or a key twice; the arguments are then null),
+    Errors: `malformed` (no JSON object, or a key twice; the arguments are then null, and
+    their text is in `unparsed`),
     `unknown tool`, and `missing`, `unknown` and `wrong type` with the parameter.  A
     call of an unknown tool has no other error.  Parameters given twice for a tool
     take the least kind.
@@ -146,8 +191,10 @@ def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
         .otherwise(F.array_sort(F.concat(_missing(), _unknown(), _wrong())))
     )
     return (
-        joined.withColumn("errors", errors).withColumn("arguments", F.to_json(good))
-        .withColumn("_good", good).drop("_parsed", "_values", "_parameters")
+        joined.withColumn("errors", errors).withColumn("_good", good)
+        .withColumn("unparsed", F.when(F.col("_values").isNull(), F.col("arguments")))
+        .withColumn("arguments", F.to_json("_good"))
+       .drop("_parsed", "_values", "_parameters")
     )
 
 
@@ -177,37 +224,57 @@ def _wrong() -> Column:
 def formatted(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call: linked, ordered, checked, and as a canonical JSON `record`.
 
-    Columns: conv_id, call_id, position, level, name, arguments, errors, valid, answers,
-    result, record.  A call is valid if it has no errors, hangs on nothing that does
-    not exist, and is on no cycle.  Empty tables give an empty result.
+    Columns: conv_id, call_id, position, level, name, arguments, unparsed, errors, valid,
+    answers, result, record.  A call is valid if it has no errors, hangs on nothing that does
+    not exist, and is on no cycle.  Arguments that are no JSON object are a text in the
+    record.  Empty tables give an empty result.
     """
     unique, _ = store(distinct_calls(calls))
     found = checked(linked(ordered(unique), results), schemas)
     valid = (F.size("errors") == 0) & (F.col("dangling") == 0) & ~F.col("cyclic")
-    record = F.to_json(
-        F.struct(F.col("_good").alias("arguments"), "call_id", "conv_id", "errors", "name", "result"),
-        {"ignoreNullFields": "false"},
-    )
+    record = _record(F.coalesce("_good", F.col("unparsed").cast("variant")))
     return found.withColumn("valid", valid).select(
-        "conv_id", "call_id", "position", "level", "name", "arguments", "errors", "valid",
+        "conv_id", "call_id", "position", "level", "name", "arguments", "unparsed", "errors", "valid",
         "answers", "result", record.alias("record"),
     )
 
 
+def _record(arguments: Column) -> Column:
+    fields = F.struct(arguments.alias("arguments"), "call_id", "conv_id", "errors", "name", "result")
+    return F.to_json(fields, {"ignoreNullFields": "false"})
+
+
+def whole(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+    """`formatted` and `leftover` rows, the latter with their error, no level, and invalid.
+
+    `copies` counts the equal rows that a leftover row stands for; it is null for calls.
+    """
+    rest = leftover(calls, results).withColumn("errors", F.array("error")).withColumn("unparsed", F.col("arguments"))
+    given = rest.select(
+        "conv_id", "call_id", "position", F.lit(None).cast("int").alias("level"), "name",
+        F.lit(None).cast("string").alias("arguments"), "unparsed", "errors", F.lit(False).alias("valid"),
+        F.lit(None).cast("bigint").alias("answers"), "result",
+        _record(F.col("unparsed").cast("variant")).alias("record"), "copies",
+    )
+    return formatted(calls, results, schemas).withColumn("copies", F.lit(None).cast("bigint")).unionByName(given)
+
+
 def calls_in_text(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from turns whose text is JSON.
 
     A call turn is {"tool_calls": [{"id", "name", "arguments", "depends_on"}]}, a result
-    turn {"tool_call_id", "content"}.  Turns that are neither hold no calls.
+    turn {"tool_call_id", "content"}.  Arguments are an object, or a text that should hold
+    one.  Turns that are neither hold no calls.  A call's position is its (turn, at).
     """
-    parsed = conversations.select("conv_id", "turn", F.try_parse_json("text").alias("v"))
+    parsed = conversations.select("conv_id", F.col("turn").cast("bigint"), F.try_parse_json("text").alias("v"))
     many = F.expr(
         "try_variant_get(v, '$.tool_calls', "
         "'array<struct<id: string, name: string, arguments: variant, depends_on: array<string>>>')"
     )
+    text = F.expr("CASE WHEN schema_of_variant(c.arguments) = 'STRING' THEN variant_get(c.arguments, '$', 'string') ELSE to_json(c.arguments) END")
     calls = parsed.select("conv_id", "turn", F.posexplode(many).alias("at", "c")).select(
-        "conv_id", F.col("c.id").alias("call_id"), (F.col("turn") * 1000 + F.col("at")).alias("position"),
-        F.col("c.name").alias("name"), F.to_json("c.arguments").alias("arguments"),
+        "conv_id", F.col("c.id").alias("call_id"), F.struct("turn", "at").alias("position"),
+        F.col("c.name").alias("name"), text.alias("arguments"),
         F.coalesce("c.depends_on", F.array().cast("array<string>")).alias("depends_on"),
     )
     results = parsed.select(
@@ -217,6 +284,20 @@ def calls_in_text(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results.dropna(subset=["call_id"])
 
 
+def text_of_calls(calls: DataFrame, results: DataFrame, position: str = "position") -> DataFrame:
+    """Turns (conv_id, turn, text) that `calls_in_text` reads as these calls and results.
+
+    Each call has a turn of its own, whose number is its position; arguments are written as
+    a text.  Results have no turn.
+    """
+    one = F.struct(F.col("call_id").alias("id"), "name", "arguments", "depends_on")
+    told = F.to_json(F.struct(F.array(one).alias("tool_calls")))
+    answer = F.to_json(F.struct(F.col("call_id").alias("tool_call_id"), "content"))
+    return calls.select("conv_id", F.col(position).alias("turn"), told.alias("text")).unionByName(
+        results.select("conv_id", F.lit(None).cast("bigint").alias("turn"), answer.alias("text"))
+    )
+
+
 def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Plain conversations as calls and results.
 

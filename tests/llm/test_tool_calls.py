@@ -109,6 +109,65 @@ def test_calls_are_read_from_turns(spark):
     assert [tuple(r) for r in results.collect()] == [(1, "x", "3")]
 
 
+def test_nothing_is_lost(spark, tables):
+    """Every distinct call and result is in some row, with the number of its copies."""
+    calls, results, schemas = tables
+    rows = tool_calls.whole(calls, results, schemas).collect()
+    rest = sorted(((r.conv_id, r.call_id, r.result, r.errors[0], r.copies) for r in rows if r.copies), key=str)
+    assert rest == sorted([
+        (None, "k", None, "call without an id", 1), ("c6", None, None, "call without an id", 1),
+        ("c5", "k", None, "conflicting call", 2), ("c2", "x", "b", "further result", 1),
+        ("c2", "lost", "?", "result without a call", 1), (None, "x", "?", "result without a call", 1),
+        ("c1", None, "?", "result without a call", 1),
+    ], key=str)
+    assert not any(r.valid or r.level is not None for r in rows if r.copies)
+    assert [r.unparsed for r in rows if r.errors == ["conflicting call"]] == ['{"a": 1, "b": 1}']
+    assert sum(r.copies is None for r in rows) == len(tool_calls.formatted(calls, results, schemas).collect())
+    # Arguments that can't be parsed stay, in the row and as a text in the record.
+    (broken,) = [r for r in rows if r.call_id == "m"]
+    assert broken.unparsed == "{broken" and json.loads(broken.record)["arguments"] == "{broken"
+
+
+def test_leftover_of_odd_rows(spark, tables):
+    calls, results, schemas = tables
+    assert tool_calls.whole(calls.limit(0), results.limit(0), schemas).count() == 0
+    assert {r.error for r in tool_calls.leftover(calls.limit(0), results).collect()} == {"result without a call"}
+    long, tie = "x" * 2_000_000, None
+    told = [("c1", "x", long), ("c1", "x", long), ("c1", "x", tie), ("c1", "x", ""), ("c1", "y", None), ("c1", "y", "z")]
+    odd = spark.createDataFrame([(*r, 1, "clash") for r in told], "conv_id string, call_id string, content string, copies int, error string")
+    got = sorted(((r.call_id, len(r.result or ""), r.result is None, r.copies) for r in tool_calls.leftover(calls.filter("conv_id = 'c1'"), odd).collect()))
+    # The least text of x is the empty one, that of y is z; a null is a text that stays.
+    assert got == [("x", 0, True, 1), ("x", len(long), False, 2), ("y", 0, True, 1)]
+
+
+def test_written_turns_are_read_again(spark, tables):
+    calls = tables[0].dropna(subset=["depends_on", "conv_id", "call_id"]).dropDuplicates()
+    results = tables[1].dropna(subset=["call_id"])
+    read, answers = tool_calls.calls_in_text(tool_calls.text_of_calls(calls, results))
+    wanted = sorted(((r.conv_id, r.call_id, r.position, r.name, r.arguments, [n for n in r.depends_on]) for r in calls.collect()), key=str)
+    found = sorted(((r.conv_id, r.call_id, r.position.turn, r.name, r.arguments, r.depends_on) for r in read.collect()), key=str)
+    assert found == wanted
+    assert sorted(map(tuple, answers.collect()), key=str) == sorted(map(tuple, results.collect()), key=str)
+
+
+def test_many_calls_of_a_turn_keep_their_order(spark):
+    many = [{"id": f"i{i}", "name": "add", "arguments": "{}"} for i in range(2_500)]
+    rows = [(1, 0, json.dumps({"tool_calls": many})), (1, 1, json.dumps({"tool_calls": many[:1] + [{"id": "later", "name": "add"}]}))]
+    calls, _ = tool_calls.calls_in_text(spark.createDataFrame(rows, "conv_id int, turn int, text string"))
+    place = {(r.call_id, r.position.turn): r.position for r in calls.collect()}
+    assert place["i2499", 0] < place["later", 1] and place["i999", 0] < place["i1000", 0]
+
+
+def test_query_has_every_fault(spark, medium):
+    rows = entry.queries()["op3_tool_calls"](spark, medium).collect()
+    assert {r.errors for r in rows} == {
+        "", "malformed", "unknown tool", "missing: text", "unknown: hint", "wrong type: words",
+        "conflicting call", "further result", "result without a call",
+    }
+    assert {r.level for r in rows} >= {None, 0, 1, 2, 3} and any(r.level is None and r.copies is None for r in rows)
+    assert any(not r.valid and not r.errors and r.level == 0 for r in rows)  # a need that does not exist
+
+
 def test_plain_turns(spark):
     rows = [(1, 0, "system", "be"), (1, 1, "user", " a  b "), (1, 2, "assistant", "c"), (1, 3, "user", ""), (1, 3, "user", ""),
             (1, 4, None, None), (2, 7, "assistant", "first"), (None, 1, "user", "x"), (3, None, "user", "x"), (4, 1, "USER", None)]
