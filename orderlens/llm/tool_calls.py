@@ -117,10 +117,10 @@ def ordered(calls: DataFrame) -> DataFrame:
     """`calls` with `level`, `dangling` and `cyclic`: (level, position) is a topological order.
 
     Where every call comes after those it needs, the position is an order already and
-    the level 0.  Only conversations in which some call needs a later one are levelled:
-    calls whose needs all have a level get the greatest of them, or one more if that
-    call stands later, round by round, each a stored table.  Calls on a cycle, or that
-    need one, keep a null level and are `cyclic`.  A need that does not exist counts as
+    the level 0.  Only conversations in which some call needs a later one are levelled: a
+    call has the greatest level of its needs, or one more if that call stands later.  Chains
+    of calls with one need are followed by doubling, calls with several needs round by round,
+    each a stored table.  Calls on a cycle, or that need one, keep a null level and are `cyclic`.  A need that does not exist counts as
     `dangling` and orders nothing.  Runs a job to look for such conversations.
     """
     needs, needs_path = store(dependencies(calls))
@@ -135,33 +135,78 @@ def ordered(calls: DataFrame) -> DataFrame:
         .withColumn("more", (F.col("needed_at") >= F.col("position")).cast("int"))
         .select(*KEY, "needs", "more")
     )
-    drop_later = [needs_path]
-    nodes, nodes_path = store(calls.join(late, "conv_id", "left_semi").select(*KEY))
+    nodes, _ = store(calls.join(late, "conv_id", "left_semi").select(*KEY))
+    chains = _chains(edges)
+    done = _levels(nodes, edges, chains)
+    end = done.select("conv_id", F.col("call_id").alias("at"), F.col("level").alias("_at"))
+    along = chains.join(end, ["conv_id", "at"]).select(*KEY, (F.col("_at") + F.col("dist")).cast("int").alias("level"))
+    done = done.unionByName(along)
+    levelled = nodes.join(done, KEY, "left").withColumn("_levelled", F.lit(True))
+    result = counted.join(levelled, KEY, "left")
+    level = F.when(F.col("_levelled").isNull(), F.lit(0)).otherwise(F.col("level"))
+    return result.withColumn("level", level).withColumn("cyclic", F.col("level").isNull()).drop("_levelled")
+
+
+def _chains(edges: DataFrame) -> DataFrame:
+    """(conv_id, call_id, at, dist) of calls with one need: the first call along their needs
+    that has none or several, and the steps to it.
+
+    The level of a call with one need is that of the need plus the step, so whole chains are
+    followed by doubling: as many rounds as the greatest number of such calls in a
+    conversation has binary digits.  Calls whose chain runs into a cycle keep an `at` that is
+    itself such a call.
+    """
+    spark = edges.sparkSession
+    single = edges.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("_needs"), F.min("needs").alias("at"), F.min("more").cast("bigint").alias("dist")
+    ).filter("_needs = 1").drop("_needs")
+    chains, path = store(single)
+    most = chains.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(most.bit_length()):
+        onward = chains.select(
+            "conv_id", F.col("call_id").alias("at"), F.col("at").alias("_at"), F.col("dist").alias("_dist")
+        )
+        following, new_path = store(chains.join(onward, ["conv_id", "at"], "left").select(
+            *KEY, F.coalesce("_at", "at").alias("at"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist")
+        ))
+        drop(spark, path)
+        chains, path = following, new_path
+    return chains
+
+
+def _levels(nodes: DataFrame, edges: DataFrame, chains: DataFrame) -> DataFrame:
+    """(conv_id, call_id, level) of calls that need none or several; not of those on a cycle.
+
+    Needs lead past chains to where these end.  Round by round, calls whose needs all have a
+    level get one: as many rounds as calls with several needs follow each other.
+    """
+    spark = nodes.sparkSession
     done, path = store(
         nodes.join(edges.select(*KEY).distinct(), KEY, "left_anti").withColumn("level", F.lit(0).cast("int"))
     )
+    several = edges.join(chains.select(*KEY), KEY, "left_anti")
+    ends = chains.select("conv_id", F.col("call_id").alias("needs"), "at", "dist")
+    needs, _ = store(several.join(ends, ["conv_id", "needs"], "left").select(
+        *KEY, F.coalesce("at", "needs").alias("needs"), (F.col("more") + F.coalesce("dist", F.lit(0))).alias("more")
+    ))
+    if needs.isEmpty():
+        return done
     size = done.count()
     while True:
         source = done.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("_at"))
-        reached = edges.join(source, ["conv_id", "needs"], "left").groupBy(*KEY).agg(
+        reached = needs.join(source, ["conv_id", "needs"], "left").groupBy(*KEY).agg(
             F.max(F.col("_at") + F.col("more")).alias("level"), F.count_if(F.col("_at").isNull()).alias("_open")
         )
         following, new_path = store(
-            done.join(edges.select(*KEY).distinct(), KEY, "left_anti")
+            done.join(needs.select(*KEY).distinct(), KEY, "left_anti")
             .unionByName(reached.filter("_open = 0").select(*KEY, F.col("level").cast("int").alias("level")))
         )
         grown = following.count()
-        drop_later.append(path)
+        drop(spark, path)
         done, path = following, new_path
         if grown == size:
-            break
+            return done
         size = grown
-    for old in drop_later[1:]:
-        drop(calls.sparkSession, old)
-    levelled = nodes.join(done, KEY, "left").withColumn("_levelled", F.lit(True))
-    result = counted.join(levelled, KEY, "left")
-    level = F.when(F.col("_levelled").isNull(), F.lit(0)).otherwise(F.col("level"))
-    return result.withColumn("level", level).withColumn("cyclic", F.col("level").isNull()).drop("_levelled")
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:

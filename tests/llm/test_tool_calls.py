@@ -71,6 +71,25 @@ def test_order_is_topological(found):
     assert all(r.level == 0 for (c, _), r in found.items() if c not in ("c3", "c4"))
 
 
+def test_levels_of_long_chains_and_branches(spark):
+    """Against a plain walk: chains, branches, cycles, and chains into either, in one conversation."""
+    needs = {f"n{i}": [f"n{i + 1}"] for i in range(70)} | {"n70": []}
+    needs |= {"b1": ["n3", "n60"], "b2": ["b1", "n5"], "d1": ["b2"], "d2": ["d1"], "b3": ["d2", "e"], "e": []}
+    needs |= {"c1": ["c2"], "c2": ["c3"], "c3": ["c1"], "f1": ["f2"], "f2": ["c1"], "b4": ["f1", "e"], "g": ["b4"]}
+    position = {call: at for at, call in enumerate(needs)}
+
+    def level(call, above=()):
+        if call in above:
+            return None
+        found = [(level(n, (*above, call)), position[n] >= position[call]) for n in needs[call]]
+        return None if any(at is None for at, _ in found) else max((at + later for at, later in found), default=0)
+
+    rows = [("c", call, position[call], "t", "{}", list(on)) for call, on in needs.items()]
+    got = tool_calls.ordered(tool_calls.distinct_calls(spark.createDataFrame(rows, CALL_TYPE))).collect()
+    assert {r.call_id: r.level for r in got} == {call: level(call) for call in needs}
+    assert {r.call_id for r in got if r.cyclic} == {"c1", "c2", "c3", "f1", "f2", "b4", "g"}
+
+
 def test_arguments_are_checked(found):
     errors = {k: r.errors for k, r in found.items() if r.errors}
     assert errors == {
