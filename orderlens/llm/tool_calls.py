@@ -123,21 +123,24 @@ def ordered(calls: DataFrame) -> DataFrame:
     each a stored table.  Calls on a cycle, or that need one, keep a null level and are `cyclic`.  A need that does not exist counts as
     `dangling` and orders nothing.  Runs a job to look for such conversations.
     """
-    needs, needs_path = store(dependencies(calls))
+    needs, _ = store(dependencies(calls))
     dangling = needs.filter("needed_at IS NULL").groupBy(*KEY).agg(F.count(F.lit(1)).alias("dangling"))
     counted = calls.join(dangling, KEY, "left").withColumn("dangling", F.coalesce("dangling", F.lit(0)))
-    late = needs.filter("needed_at >= position").select("conv_id").distinct()
-    late, _ = store(late)
+    spark = calls.sparkSession
+    late, late_path = store(needs.filter("needed_at >= position").select("conv_id").distinct())
     if late.isEmpty():
+        drop(spark, late_path)
         return counted.withColumns({"level": F.lit(0).cast("int"), "cyclic": F.lit(False)})
-    edges, _ = store(
+    edges, edges_path = store(
         needs.filter("needed_at IS NOT NULL").join(late, "conv_id", "left_semi")
         .withColumn("more", (F.col("needed_at") >= F.col("position")).cast("int"))
         .select(*KEY, "needs", "more")
     )
     nodes, _ = store(calls.join(late, "conv_id", "left_semi").select(*KEY))
+    drop(spark, late_path)
     chains = _chains(edges)
     done = _levels(nodes, edges, chains)
+    drop(spark, edges_path)
     end = done.select("conv_id", F.col("call_id").alias("at"), F.col("level").alias("_at"))
     along = chains.join(end, ["conv_id", "at"]).select(*KEY, (F.col("_at") + F.col("dist")).cast("int").alias("level"))
     done = done.unionByName(along)
@@ -186,10 +189,11 @@ def _levels(nodes: DataFrame, edges: DataFrame, chains: DataFrame) -> DataFrame:
     )
     several = edges.join(chains.select(*KEY), KEY, "left_anti")
     ends = chains.select("conv_id", F.col("call_id").alias("needs"), "at", "dist")
-    needs, _ = store(several.join(ends, ["conv_id", "needs"], "left").select(
+    needs, needs_path = store(several.join(ends, ["conv_id", "needs"], "left").select(
         *KEY, F.coalesce("at", "needs").alias("needs"), (F.col("more") + F.coalesce("dist", F.lit(0))).alias("more")
     ))
     if needs.isEmpty():
+        drop(spark, needs_path)
         return done
     size = done.count()
     while True:
@@ -205,6 +209,7 @@ def _levels(nodes: DataFrame, edges: DataFrame, chains: DataFrame) -> DataFrame:
         drop(spark, path)
         done, path = following, new_path
         if grown == size:
+            drop(spark, needs_path)
             return done
         size = grown
 
@@ -293,7 +298,11 @@ def whole(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame
     """`formatted` and `leftover` rows, the latter with their error, no level, and invalid.
 
     `copies` counts the equal rows that a leftover row stands for; it is null for calls.
+    Calls and results are stored first: they are read eight times, and may come from
+    parsing and joins.
     """
+    calls, _ = store(calls.select(*KEY, *_REST))
+    results, _ = store(results.select(*KEY, "content"))
     rest = leftover(calls, results).withColumn("errors", F.array("error")).withColumn("unparsed", F.col("arguments"))
     given = rest.select(
         "conv_id", "call_id", "position", F.lit(None).cast("int").alias("level"), "name",
