@@ -23,7 +23,7 @@ def durable_root(spark: SparkSession) -> str:
     if not root:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         # A path without a scheme is on the default file system.
-        scheme = urlparse(warehouse).scheme or _file_system(spark, warehouse)[1].getUri().getScheme()
+        scheme = urlparse(warehouse).scheme or file_system(spark, warehouse)[1].getUri().getScheme()
         root = warehouse_root(warehouse, scheme, spark.sparkContext.master if scheme == "file" else "")
     return root.rstrip("/")
 
@@ -37,7 +37,8 @@ def warehouse_root(warehouse: str, scheme: str, master: str) -> str:
     return warehouse.rstrip("/") + "/_intermediate"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The path, and the file system it is on."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -51,14 +52,14 @@ def store(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{durable_root(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    at, files = _file_system(spark, path)
+    at, files = file_system(spark, path)
     files.deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a stored table that nothing will read again."""
-    at, files = _file_system(spark, path)
+    at, files = file_system(spark, path)
     files.delete(at, True)
 
 

@@ -9,7 +9,7 @@ drop out of everything built on `order_totals`, and stay in what reads
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.money import part_names, sum_parts, total, with_line_parts
@@ -21,6 +21,10 @@ from orderlens.operators.durable import Scratch
 #: The amount whose parts (`money.part_names`) folds carry.
 AMOUNT = "amount"
 
+#: Months in one word of a bitmap, and the words (30 years) up to which bitmaps are kept.
+WORD_MONTHS = 60
+MOST_WORDS = 6
+
 #: Share of completed orders up to which lines are tested before they are folded.
 FEW_COMPLETED = 0.5
 
@@ -128,3 +132,82 @@ def customer_months(tables: Tables, completed: str = COMPLETED) -> DataFrame:
         .select("customer_id", month_number(F.col("order_date")).alias("month"))
         .distinct()
     )
+
+
+def month_span(tables: Tables, completed: str = COMPLETED) -> tuple[int, int] | None:
+    """First and last month with a completed order, None if there is none. Runs a job."""
+    dates = completed_orders(tables, completed).agg(
+        month_number(F.min("order_date")).alias("first"), month_number(F.max("order_date")).alias("last")
+    ).first()
+    return None if dates.first is None else (dates.first, dates.last)
+
+
+def customer_activity(
+    tables: Tables, span: tuple[int, int], completed: str = COMPLETED
+) -> DataFrame:
+    """customer_id, dateless, word_0, word_1, ...: months with a completed order as bitmaps.
+
+    Bit i of word w is the month `WORD_MONTHS * w + i` after the first of `span`, which must
+    hold all months; `dateless` says that some order has no date.  One shuffle, of a few
+    BIGINTs per customer and map task, however many orders or months a customer has.
+    """
+    after = month_number(F.col("order_date")) - span[0]
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("after") % WORD_MONTHS)
+    word = F.floor(F.col("after") / WORD_MONTHS)
+    return (
+        completed_orders(tables, completed)
+        .select("customer_id", after.alias("after"))
+        .groupBy("customer_id")
+        .agg(F.max(F.col("after").isNull()).alias("dateless"), *[
+            F.coalesce(F.bit_or(F.when(word == w, bit)), F.lit(0).cast("bigint")).alias(f"word_{w}")
+            for w in range(_words(span))
+        ])
+    )
+
+
+def _words(span: tuple[int, int]) -> int:
+    return (span[1] - span[0]) // WORD_MONTHS + 1
+
+
+def cohort_activity(
+    tables: Tables, completed: str = COMPLETED, most_words: int = MOST_WORDS
+) -> DataFrame:
+    """cohort, month_index, active_customers: customers by first month and months since then.
+
+    Runs a job that looks for the first and last month.  The cells are counted from one
+    row of bitmaps per customer; if the months span more than `most_words` words, which
+    takes a date far off, from distinct (customer, month) rows.
+    """
+    span = month_span(tables, completed)
+    if span is None or _words(span) > most_words:
+        by_customer = Window.partitionBy("customer_id")
+        months = customer_months(tables, completed).withColumn("cohort", F.min("month").over(by_customer))
+    else:
+        months = _months_of_bitmaps(customer_activity(tables, span, completed), span)
+    return months.groupBy("cohort", (F.col("month") - F.col("cohort")).alias("month_index")).agg(
+        F.count(F.lit(1)).alias("active_customers")
+    )
+
+
+def _months_of_bitmaps(activity: DataFrame, span: tuple[int, int]) -> DataFrame:
+    """(cohort, month), a row per customer and month, in the task that has the customer.
+
+    The months of the span are an array constant, which generated code steps through and
+    filters; a null stands for orders without a date.
+    """
+    words = [F.col(f"word_{w}") for w in range(_words(span))]
+    # The lowest bit that is set: as many bits lie below it.
+    starts = [
+        F.when(word != 0, F.bit_count(word.bitwiseAND(-word) - 1) + span[0] + w * WORD_MONTHS)
+        for w, word in enumerate(words)
+    ]
+    steps = F.array(*[F.lit(i) for i in range(span[1] - span[0] + 1)], F.lit(None).cast("int"))
+    at = F.col("at")
+    chosen = F.coalesce(*[F.when(at < (w + 1) * WORD_MONTHS, word) for w, word in enumerate(words)])
+    active = F.when(at.isNull(), F.col("dateless")).otherwise(F.getbit(chosen, at % WORD_MONTHS) == 1)
+    return (
+        activity.withColumn("cohort", F.coalesce(*starts))
+        .withColumn("at", F.explode(steps))
+        .filter(active)
+        .select("cohort", (at + span[0]).alias("month"))
+    )

@@ -256,24 +256,23 @@ def cohort_sizes(tables: Tables, completed: str = COMPLETED, limit: int = 0) ->
     return _ordered(result, limit, "cohort_month")
 
 
-def retention(tables: Tables, completed: str = COMPLETED, limit: int = 0) -> DataFrame:
+def retention(
+    tables: Tables, completed: str = COMPLETED, limit: int = 0, most_words: int = facts.MOST_WORDS
+) -> DataFrame:
     """Share of each cohort active n months after its first month, for the months
     in which anyone was.
 
-    One scan of orders.  After the distinct a customer has at most one row per
-    calendar month, so the window that finds the first month stays small for any
-    customer.  The cohort size is its count at index 0, where every member is
-    active by definition.
+    Runs a job that looks for the first and last month (`facts.cohort_activity`).  The
+    cohort size is its count at index 0, where every member is active by definition.
     """
-    by_customer = Window.partitionBy("customer_id")
-    cells = (
-        facts.customer_months(tables, completed)
-        .withColumn("cohort", F.min("month").over(by_customer))
-        .groupBy("cohort", (F.col("month") - F.col("cohort")).alias("month_index"))
-        .agg(F.count(F.lit(1)).alias("active_customers"))
-    )
+    cells = facts.cohort_activity(tables, completed, most_words)
     at_start = F.when(F.col("month_index") == 0, F.col("active_customers"))
-    sized = cells.withColumn("cohort_size", F.max(at_start).over(Window.partitionBy("cohort")))
+    cell = F.struct("month_index", "active_customers")
+    sized = (
+        cells.groupBy("cohort")
+        .agg(F.max(at_start).alias("cohort_size"), F.collect_list(cell).alias("cells"))
+        .select("cohort", "cohort_size", F.inline("cells"))
+    )
     result = sized.select(
         month_label(F.col("cohort")).alias("cohort_month"),
         "month_index",

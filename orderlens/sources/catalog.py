@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.model import LOAD_ORDER, SCHEMAS, Tables
 from orderlens.plans.integrity import require_integrity
+from orderlens.sources.files import conform
 
 # Bucketing orders and their lines by order_id on both sides stores the shuffle
 # that nearly every revenue query starts with.
@@ -38,7 +39,7 @@ def append_tables(
         stored = load_tables(tables.customers.sparkSession, database)
         require_integrity(tables, stored=stored)
     for table in LOAD_ORDER:
-        _save(_conform(tables[table], table), table, database, buckets, "append")
+        _save(conform(tables[table], table), table, database, buckets, "append")
 
 
 def replace_tables(
@@ -49,7 +50,7 @@ def replace_tables(
     if verify:
         require_integrity(tables)
     for table in LOAD_ORDER:
-        _save(_conform(tables[table], table), table, database, buckets, "overwrite")
+        _save(conform(tables[table], table), table, database, buckets, "overwrite")
 
 
 def load_tables(spark: SparkSession, database: str | None = None) -> Tables:
@@ -64,10 +65,6 @@ def load_tables(spark: SparkSession, database: str | None = None) -> Tables:
     return Tables(**{table: one(table) for table in LOAD_ORDER})
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
-
-
 def _save(df: DataFrame, table: str, database: str | None, buckets: int, mode: str) -> None:
     writer = df.write.format("parquet").mode(mode)
     if buckets and table in BUCKET_COLUMNS:

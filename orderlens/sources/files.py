@@ -107,6 +107,11 @@ def read_tables(
     return Tables(**{name: one(name) for name in LOAD_ORDER})
 
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a clean table, by name and with their types."""
+    return df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write a table or report; one file per task."""
     writer = df.write.mode(mode)
