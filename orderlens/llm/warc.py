@@ -2,7 +2,9 @@
 
 An archive is the bytes of one `.warc.zst` file: a skippable frame that holds the
 dictionary, then one frame per record.  `archives` writes the payloads of a table as
-archives, `records` reads archives back frame by frame and checks each record.
+archives, `records` reads archives back frame by frame and checks each record.  It also
+reads archives of others: WARC 1.0 and 1.1, all record types, digests by any usual
+method, a dictionary that is compressed itself, and frames without a dictionary.
 
 Archives are rows of a table (name, content), because on a cluster only Spark writes
 to the shared store; `content` is the file as it is.
@@ -10,8 +12,10 @@ to the shared store; `content` is the file as it is.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -24,6 +28,9 @@ from orderlens.llm.columns import free_name
 SKIPPABLE = 0x184D2A5D.to_bytes(4, "little")
 FRAME = 0xFD2FB528.to_bytes(4, "little")
 VERSION = b"WARC/1.1"
+VERSIONS = (b"WARC/1.0", b"WARC/1.1")
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
+NO_KEY = "<urn:page-without-key:>"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 #: Payload bytes after which an archive is closed.
@@ -62,6 +69,7 @@ def with_first_copies(
     content = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit("")).cast("binary")
     marked = pages.withColumn(digest, F.sha2(content, 256))
     counted = pages.select(F.sha2(content, 256).alias("_d"), F.col(f"`{key}`").alias("_k"), F.octet_length(content).alias("_n"))
+    same, least = free_name(marked, "_same_digest"), free_name(marked, "_least_key")
     # The second grouping column leaves the join a shuffle of its own, so that adaptive
     # execution can split a payload with very many copies.
     shared = (
@@ -69,21 +77,22 @@ def with_first_copies(
         .groupBy("_d", F.xxhash64("_d").alias("_part"))
         .agg(F.min("_k").alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .filter("_copies > 1 AND _first IS NOT NULL")
-        .select("_d", "_first")
+        .select(F.col("_d").alias(same), F.col("_first").alias(least))
     )
-    joined = marked.join(shared, F.col(digest) == F.col("_d"), "left")
-    later = ~F.col("_first").eqNullSafe(F.col(f"`{key}`"))
-    return joined.withColumn(first, F.when(F.col("_first").isNotNull() & later, F.col("_first"))).drop("_d", "_first")
+    joined = marked.join(shared, F.col(digest) == F.col(same), "left")
+    later = ~F.col(least).eqNullSafe(F.col(f"`{key}`"))
+    return joined.withColumn(first, F.when(F.col(least).isNotNull() & later, F.col(least))).drop(same, least)
 
 
 def record_bytes(
-    record_id: str, uri: str, digest: str, payload: bytes, refers_to: str | None
+    record_id: str | None, uri: str, digest: str, payload: bytes, refers_to: str | None
 ) -> bytes:
     """One record: a response with its payload, or a revisit that names an earlier one."""
+    name = NO_KEY if record_id is None else f"<urn:page:{quote(record_id, safe='')}>"
     kind, block = ("response", payload) if refers_to is None else ("revisit", b"")
     headers = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:page:{record_id}>"),
+        ("WARC-Record-ID", name),
         ("WARC-Target-URI", "".join(uri.split())),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
@@ -92,7 +101,7 @@ def record_bytes(
         ("Content-Length", str(len(block))),
     ]
     if refers_to is not None:
-        headers += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", REVISIT_PROFILE)]
+        headers += [("WARC-Refers-To", f"<urn:page:{quote(refers_to, safe='')}>"), ("WARC-Profile", REVISIT_PROFILE)]
     head = "".join(f"{name}: {value}\r\n" for name, value in headers)
     return VERSION + b"\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -124,11 +133,12 @@ def archives(
 ) -> DataFrame:
     """(content): archives of the rows, each task's rows in order; lazy.
 
-    A null payload or address is an empty one.  A null key gives the record id `null`.
+    A null payload or address is an empty one.  A null key has a record id
+    of its own, which is read as a null.
     """
     text = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
-        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null")).alias("id"),
+        F.col(f"`{key}`").cast("string").alias("id"),
         F.coalesce(F.col(f"`{uri}`").cast("string"), F.lit("")).alias("uri"),
         F.col(f"`{digest}`").alias("digest"),
         text.alias("payload"),
@@ -156,19 +166,30 @@ def archives(
 
 
 def frames(content: bytes) -> Iterator[bytes]:
-    """The decoded frames of an archive, with the dictionary from its first frame."""
+    """The decoded frames of an archive, with the dictionary from its first frame.
+
+    The dictionary may be a Zstandard frame itself.  An archive that starts with a record
+    has no dictionary; skippable frames after the first are skipped.
+    """
     view = memoryview(content)
-    if bytes(view[:4]) != SKIPPABLE or len(view) < 8:
-        raise BadArchive("no dictionary frame at the start")
-    at = 8 + int.from_bytes(view[4:8], "little")
-    if at > len(view):
-        raise BadArchive("the dictionary frame is cut short")
-    held = bytes(view[8:at])
-    reader = zstandard.ZstdDecompressor(
-        dict_data=zstandard.ZstdCompressionDict(held) if held else None
-    )
+    at, held = 0, b""
+    if bytes(view[:4]) == SKIPPABLE:
+        at = _skipped(view, at)
+        held = bytes(view[8:at])
+    elif bytes(view[:4]) != FRAME:
+        raise BadArchive("neither a dictionary frame nor a record at the start")
+    try:
+        if held[:4] == FRAME:
+            held = zstandard.ZstdDecompressor().decompressobj().decompress(held)
+        reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(held) if held else None)
+    except zstandard.ZstdError as error:
+        raise BadArchive(f"the dictionary can't be decoded: {error}") from error
     while at < len(view):
-        if bytes(view[at : at + 4]) != FRAME:
+        magic = bytes(view[at : at + 4])
+        if magic[1:] == SKIPPABLE[1:] and magic[0] >> 4 == SKIPPABLE[0] >> 4:
+            at = _skipped(view, at)
+            continue
+        if magic != FRAME:
             raise BadArchive(f"no frame at byte {at}")
         end = _frame_end(view, at)
         try:
@@ -178,6 +199,14 @@ def frames(content: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _skipped(view: memoryview, at: int) -> int:
+    """The end of a skippable frame."""
+    end = at + 8 + int.from_bytes(view[at + 4 : at + 8], "little")
+    if at + 8 > len(view) or end > len(view):
+        raise BadArchive("a skippable frame is cut short")
+    return end
+
+
 def _frame_end(view: memoryview, at: int) -> int:
     """The end of a frame, found by its block headers, without decoding it."""
     try:
@@ -199,47 +228,91 @@ def _frame_end(view: memoryview, at: int) -> int:
 
 
 def parse_record(raw: bytes) -> dict:
-    """The fields of one record; raises BadArchive if it is not well formed."""
+    """The fields of one record; raises BadArchive if it is not well formed.
+
+    The payload is the block; of an HTTP message, what follows its headers.  A revisit has
+    none.  `payload_digest` is the payload's SHA-256 in hex; of a revisit with a digest by
+    another method, the digest with its label.  `payload_bytes` of a revisit is null if it
+    doesn't say.  Ids that `record_bytes` did not write are given without their brackets.
+    """
     head, blank, rest = raw.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not blank or lines[0] != VERSION:
+    if not blank or lines[0] not in VERSIONS:
         raise BadArchive("a record has no version line or no end of its headers")
-    named: dict[str, str] = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon or name.decode().lower() in named:
-            raise BadArchive("a header has no colon or is given twice")
-        named[name.decode().lower()] = value.strip().decode()
+    named = _headers(lines[1:])
     try:
-        length = int(named["content-length"])
-        kind, payload_length = named["warc-type"], int(named["warc-payload-length"])
-        digest = named["warc-payload-digest"].removeprefix("sha256:")
-        record_id = _page(named["warc-record-id"])
+        length, kind, record_id = int(named["content-length"]), named["warc-type"], _page(named["warc-record-id"])
+        told = int(named["warc-payload-length"]) if "warc-payload-length" in named else None
+        refers_to = _page(named["warc-refers-to"]) if "warc-refers-to" in named else None
     except (KeyError, ValueError) as error:
         raise BadArchive(f"a header is missing or malformed: {error}") from error
     block, end = rest[:length], rest[length:]
-    if len(block) != length or end != b"\r\n\r\n":
+    if length < 0 or len(block) != length or end != b"\r\n\r\n":
         raise BadArchive("a block is not as long as its header says")
-    if kind == "response":
-        if payload_length != length or hashlib.sha256(block).hexdigest() != digest:
+    if not _fits(named.get("warc-block-digest", ""), block):
+        raise BadArchive("a block does not fit its digest")
+    digest = named.get("warc-payload-digest", "")
+    if kind == "revisit":
+        if "warc-profile" not in named:
+            raise BadArchive("a revisit has no profile")
+        payload, size, digest = None, told, digest.removeprefix("sha256:") or None
+    else:
+        payload, coded = _payload(named.get("content-type", ""), block)
+        # Of a body in transfer coding, or cut by its writer, digests are taken differently.
+        if not (coded or "warc-truncated" in named) and not (told in (None, len(payload)) and _fits(digest, payload)):
             raise BadArchive("a payload does not fit its length or digest")
-    elif kind != "revisit" or length or "warc-refers-to" not in named:
-        raise BadArchive("a revisit has a block or refers to nothing, or the type is unknown")
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
     return {
         "record_id": record_id,
         "record_type": kind,
         "target_uri": named.get("warc-target-uri", ""),
         "payload_digest": digest,
-        "payload_bytes": payload_length,
-        "refers_to": _page(named["warc-refers-to"]) if kind == "revisit" else None,
-        "payload": block if kind == "response" else None,
+        "payload_bytes": size,
+        "refers_to": refers_to if kind == "revisit" else None,
+        "payload": payload,
     }
 
 
-def _page(urn: str) -> str:
-    if not (urn.startswith("<urn:page:") and urn.endswith(">")):
+def _headers(lines: list[bytes]) -> dict[str, str]:
+    named: dict[str, str] = {}
+    for line in lines:
+        try:
+            name, colon, value = line.decode().partition(":")
+        except UnicodeDecodeError as error:
+            raise BadArchive(f"a header is not UTF-8: {error}") from error
+        name = name.lower()
+        # The one header that a record may repeat.
+        if not colon or name in named and name != "warc-concurrent-to":
+            raise BadArchive("a header has no colon or is given twice")
+        named[name] = value.strip()
+    return named
+
+
+def _payload(content_type: str, block: bytes) -> tuple[bytes, bool]:
+    """The payload, and whether it is in a transfer coding."""
+    if not content_type.lower().startswith("application/http"):
+        return block, False
+    head, _, body = block.partition(b"\r\n\r\n")
+    return body, b"\r\ntransfer-encoding:" in head.lower()
+
+
+def _fits(labelled: str, data: bytes) -> bool:
+    """Whether a digest, in hex or base32, is that of the data; so are none and unknown methods."""
+    method, _, value = labelled.partition(":")
+    method = method.lower().replace("-", "")
+    if method not in DIGESTS:
+        return True
+    found = hashlib.new(method, data).digest()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
+def _page(urn: str) -> str | None:
+    """The key in a record id; None for that of a null key."""
+    if not (urn.startswith("<") and urn.endswith(">") and len(urn) > 2):
         raise ValueError(urn)
-    return urn[len("<urn:page:") : -1]
+    if urn == NO_KEY:
+        return None
+    return unquote(urn[len("<urn:page:") : -1]) if urn.startswith("<urn:page:") else urn[1:-1]
 
 
 def records(found: DataFrame, content: str = "content", payloads: bool = True) -> DataFrame:
@@ -273,8 +346,8 @@ def _batch(part: list[dict], names: list[str], types: list) -> pa.RecordBatch:
 
 
 def key_of(column: str, like: str) -> Column:
-    """A record id or reference as a key of type `like`; the id of a null key is null."""
-    return F.nullif(F.col(column), F.lit("null")).cast(like)
+    """A record id or reference as a key of type `like`."""
+    return F.col(column).cast(like)
 
 
 def first_copy_names(pages: DataFrame) -> tuple[str, str]:
