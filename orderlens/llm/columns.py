@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,12 +29,13 @@ def free_name(df: DataFrame, base: str) -> str:
 
 
 def per_text(
-    make: Callable[[], Callable[[Texts], dict[str, list]]], fields: str, text: Column
+    make: Callable[[], Callable[[Texts | pa.Array], dict[str, list]]], fields: str, text: Column, arrays: bool = False
 ) -> Column:
     """A struct column with `fields` (DDL), computed from a text column.
 
     `make` runs once per task and returns a function of a list of texts that
-    gives a list for each field.  The column counts as non-deterministic, so that
+    gives a list for each field; with `arrays` it gets them as an Arrow array and may give
+    arrays.  The column counts as non-deterministic, so that
     the optimizer never evaluates it a second time inside a filter.
     """
     schema = T.StructType.fromDDL(fields)
@@ -41,7 +44,7 @@ def per_text(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:
-            parts = [_struct(work(texts), arrow) for texts in _slices(batch)]
+            parts = [_struct(work(texts), arrow) for texts in (array_slices if arrays else _slices)(batch)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.struct(arrow))
         del work
         release_memory()
@@ -66,3 +69,15 @@ def _slices(batch: pa.Array) -> Iterator[Texts]:
             part, size = [], 0
     if part:
         yield part
+
+
+def array_slices(batch: pa.Array) -> Iterator[pa.Array]:
+    """The same as Arrow arrays, with SLICE_CHARS in bytes."""
+    texts = batch.cast(pa.string())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(texts):
+        seen = ends[at - 1] if at else 0
+        after = min(int(np.searchsorted(ends, seen + SLICE_CHARS)) + 1, len(texts))
+        yield texts.slice(at, after - at)
+        at = after

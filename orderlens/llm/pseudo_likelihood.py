@@ -14,16 +14,18 @@ over its texts from the same start, and the weights are averaged by their words.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.columns import SLICE_CHARS, Texts, per_text
+from orderlens.llm.chunk_table import release_memory
+from orderlens.llm.columns import SLICE_CHARS, array_slices, per_text
 from orderlens.llm.sampling import most_frequent
 from orderlens.operators.durable import drop, store
 
@@ -63,34 +65,52 @@ class Words:
 
     def classes(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Class of each word of a text and log share within it."""
-        words = (text or "").split()
-        at = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        at = self.places(split_words(pa.array([text], pa.string()))[0])
         return self.word_class[at], self.share[at]
 
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Places in the vocabulary, -1 for words beyond it."""
+        return pc.index_in(words, value_set=self._entries).fill_null(-1).to_numpy().astype(np.int64)
+
+    @cached_property
+    def _entries(self) -> pa.Array:
+        return pa.array(list(self.place), pa.string())
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as `str.split` cuts them, and where those of each text end."""
+    found = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+    pieces = found.flatten()
+    # White space at either end of a text leaves an empty piece.
+    held = pc.not_equal(pieces, "")
+    before = np.append(0, np.cumsum(held.to_numpy(zero_copy_only=False)))
+    return pieces.filter(held), before[np.cumsum(pc.list_value_length(found).to_numpy())]
+
 
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """(word, n) over all texts; counted in each task before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            found: Counter = Counter()
-            size = 0
-            for value in batch.column(0):
-                words = (value.as_py() or "").split()
-                found.update(words)
+            for part in array_slices(batch.column(0)):
+                words, _ = split_words(part)
+                held.append(words)
                 size += len(words)
                 if size > SLICE_CHARS:
-                    yield _counts(found)
-                    found, size = Counter(), 0
-            yield _counts(found)
+                    yield _counts(held)
+                    held, size = [], 0
+        yield _counts(held)
+        del held
+        release_memory()
 
     counted = texts.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counts(found: Counter) -> pa.RecordBatch:
-    columns = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
-    return pa.record_batch(columns, ["word", "n"])
+def _counts(words: list[pa.Array]) -> pa.RecordBatch:
+    found = pa.chunked_array(words, pa.string()).value_counts()
+    return pa.record_batch([found.field("values"), found.field("counts")], ["word", "n"])
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY) -> Words:
@@ -151,44 +171,51 @@ def contexts(classes: np.ndarray) -> np.ndarray:
 
 
 def _forward(parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    # New arrays are changed in place: memory for others takes as long as the arithmetic.
     embedded, inward, bias, outward, level = parts
-    x = embedded[around].reshape(len(around), -1)
-    hidden = np.tanh(x @ inward + bias)
-    logits = hidden @ outward + level
+    x = embedded.take(around, axis=0, mode="clip").reshape(len(around), -1)
+    hidden = x @ inward
+    hidden += bias
+    np.tanh(hidden, out=hidden)
+    logits = hidden @ outward
+    logits += level
     logits -= logits.max(axis=1, keepdims=True)
     return x, hidden, logits
 
 
-def log_chances(weights: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def log_chances(weights: np.ndarray, classes: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
     """Log-probability of each word's class given the words around it."""
     parts, result = _parts(weights), []
-    around = contexts(classes)
-    for i in range(0, len(classes), 1 << 14):
-        _, _, logits = _forward(parts, around[i : i + (1 << 14)])
-        own = logits[np.arange(len(logits)), classes[i : i + (1 << 14)]]
-        result.append(own - np.log(np.exp(logits).sum(axis=1)))
+    if around is None:
+        around = contexts(classes)
+    for i in range(0, len(classes), BATCH):
+        _, _, logits = _forward(parts, around[i : i + BATCH])
+        own = logits[np.arange(len(logits)), classes[i : i + BATCH]]
+        result.append(own - np.log(np.exp(logits, out=logits).sum(axis=1)))
     return np.concatenate(result) if result else np.zeros(0, np.float32)
 
 
 def train(weights: np.ndarray, classes: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One pass of stochastic gradient descent; changes `weights`."""
     embedded, inward, bias, outward, level = parts = _parts(weights)
+    places = np.arange(embedded.size).reshape(embedded.shape)
     for i in range(0, len(classes), BATCH):
         near, own = around[i : i + BATCH], classes[i : i + BATCH]
-        x, hidden, logits = _forward(parts, near)
-        chance = np.exp(logits)
+        x, hidden, chance = _forward(parts, near)
+        np.exp(chance, out=chance)
         chance /= chance.sum(axis=1, keepdims=True)
         chance[np.arange(len(own)), own] -= 1
         chance /= len(own)
-        back = (chance @ outward.T) * (1 - hidden * hidden)
-        to_x = (back @ inward.T).reshape(len(own) * 2 * WINDOW, WIDTH)
-        flat = near.ravel()
+        back = chance @ outward.T
         outward -= rate * (hidden.T @ chance)
         level -= rate * chance.sum(axis=0)
+        np.multiply(hidden, hidden, out=hidden)
+        back *= np.subtract(1, hidden, out=hidden)
+        to_x = back @ inward.T
         inward -= rate * (x.T @ back)
         bias -= rate * back.sum(axis=0)
-        for d in range(WIDTH):
-            embedded[:, d] -= rate * np.bincount(flat, to_x[:, d], len(embedded))
+        cells = places.take(near, axis=0, mode="clip").ravel()
+        embedded -= rate * np.bincount(cells, to_x.ravel(), embedded.size).reshape(embedded.shape)
 
 
 @dataclass(frozen=True)
@@ -198,11 +225,16 @@ class Model:
 
     def score(self, text: str | None) -> tuple[int, float]:
         """Words of a text, and the sum of their conditional log-probabilities."""
-        classes, share = self.words.classes(text)
-        if not len(classes):
-            return 0, 0.0
-        chances = log_chances(self.weights, classes)
-        return len(classes), float(chances.sum(dtype=np.float64) + share.sum())
+        words, ends = split_words(pa.array([text], pa.string()))
+        return len(words), self.sums(self.words.places(words), ends)[0]
+
+    def sums(self, places: np.ndarray, ends: np.ndarray) -> list[float]:
+        """The sum for each of several texts from the places of their words."""
+        classes, share = self.words.word_class[places], self.words.share[places]
+        around = np.concatenate([contexts(c) for c in np.split(classes, ends[:-1])])
+        chances = log_chances(self.weights, classes, around)
+        starts = np.append(0, ends[:-1])
+        return [float(chances[a:b].sum(dtype=np.float64) + share[a:b].sum()) for a, b in zip(starts, ends)]
 
 
 def _trained(texts: DataFrame, text: str, words, weights: np.ndarray, rate: float) -> np.ndarray:
@@ -212,17 +244,19 @@ def _trained(texts: DataFrame, text: str, words, weights: np.ndarray, rate: floa
         own, seen = weights.copy(), 0
         for batch in batches:
             held, n = [], 0
-            for value in batch.column(0):
-                classes, _ = words.value.classes(value.as_py())
-                if len(classes):
-                    held.append(classes)
-                    n += len(classes)
-                if n >= 64 * BATCH:
-                    _train_all(own, held, rate)
-                    seen += n
-                    held, n = [], 0
+            for part in array_slices(batch.column(0)):
+                found, ends = split_words(part)
+                classes = words.value.word_class[words.value.places(found)]
+                for own_classes in np.split(classes, ends[:-1]):
+                    held.append(own_classes)
+                    n += len(own_classes)
+                    if n >= 64 * BATCH:
+                        _train_all(own, held, rate)
+                        seen += n
+                        held, n = [], 0
             _train_all(own, held, rate)
             seen += n
+        release_memory()
         if seen:
             at = pa.array(np.arange(len(own)), pa.int32())
             yield pa.record_batch([at, pa.array(own * float(seen), pa.float64()), pa.array(np.full(len(own), seen))], ["i", "w", "n"])
@@ -262,18 +296,30 @@ def scored(text: Column, model) -> Column:
     `model` is a broadcast Model.  Null and empty texts have a null mean.
     """
 
-    def make() -> Callable[[Texts], dict[str, list]]:
-        def work(texts: Texts) -> dict[str, list]:
-            found = [model.value.score(t) for t in texts]
+    def make() -> Callable[[pa.Array], dict[str, list]]:
+        def work(texts: pa.Array) -> dict[str, list]:
+            words, ends = split_words(texts)
+            sums = model.value.sums(model.value.words.places(words), ends)
+            sizes = np.diff(ends, prepend=0).tolist()
             return {
-                "n_words": [n for n, _ in found],
-                "log_likelihood": [s for _, s in found],
-                "mean_log_likelihood": [s / n if n else None for n, s in found],
+                "n_words": sizes,
+                "log_likelihood": sums,
+                "mean_log_likelihood": [s / n if n else None for n, s in zip(sizes, sums)],
             }
 
         return work
 
-    return per_text(make, "n_words bigint, log_likelihood double, mean_log_likelihood double", text)
+    return per_text(make, "n_words bigint, log_likelihood double, mean_log_likelihood double", text, arrays=True)
+
+
+def _distinct(words: pa.Array, rows: np.ndarray, n_rows: int) -> tuple[pa.Array, pa.Array]:
+    """For each of `n_rows` texts a list of its different words, and one of their counts."""
+    coded = words.dictionary_encode()
+    kinds = max(1, len(coded.dictionary))
+    pairs, n = np.unique(rows * kinds + coded.indices.to_numpy(), return_counts=True)
+    starts = pa.array(np.searchsorted(pairs, np.arange(n_rows + 1) * kinds), pa.int32())
+    different = coded.dictionary.take(pa.array(pairs % kinds))
+    return pa.ListArray.from_arrays(starts, different), pa.ListArray.from_arrays(starts, pa.array(n, pa.int64()))
 
 
 def score_all(
@@ -282,36 +328,38 @@ def score_all(
     """(key, n_words, log_likelihood, mean_log_likelihood): a model of `texts` and their scores.
 
     Words beyond the vocabulary have their share of its last class by their counts, from
-    a join of the different such words of each text with all counts.  None of them is
-    frequent, so no key of the join has many rows.
+    a join of the different such words of each text with the counts.  All start with the
+    share of a word that occurs once, so only words that occur again need the join.  None
+    of them is frequent, so no key of the join has many rows.
     """
     counts, _ = store(word_counts(texts, text))
     if size is None:
         size = max(VOCABULARY, int(ENTRIES_PER_ROOT * counts.count() ** 0.5))
-    model = _fitted(texts, text, _vocabulary(counts, size), rates)
+    words = _vocabulary(counts, size)
+    once = np.append(words.share[:-1], -np.log(max(words.rest, 1.0)))
+    model = _fitted(texts, text, replace(words, share=once), rates)
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def make() -> Callable[[Texts], dict[str, list]]:
-        def work(texts: Texts) -> dict[str, list]:
-            place = shared.value.words.place
-            rare = [Counter(w for w in (t or "").split() if w not in place) for t in texts]
-            found = [shared.value.score(t) for t in texts]
-            return {
-                "n_words": [n for n, _ in found], "even": [s for _, s in found],
-                "word": [list(r) for r in rare], "n": [list(r.values()) for r in rare],
-            }
+    def make() -> Callable[[pa.Array], dict[str, list]]:
+        def work(texts: pa.Array) -> dict[str, list]:
+            found, ends = split_words(texts)
+            places = shared.value.words.places(found)
+            sizes, beyond = np.diff(ends, prepend=0), places < 0
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            rare, n = _distinct(found.filter(pa.array(beyond)), row[beyond], len(sizes))
+            return {"n_words": sizes, "even": shared.value.sums(places, ends), "word": rare, "n": n}
 
         return work
 
     fields = "n_words bigint, even double, word array<string>, n array<bigint>"
-    rows = texts.select(F.col(f"`{key}`").alias("key"), per_text(make, fields, F.col(f"`{text}`")).alias("r"))
+    found = per_text(make, fields, F.col(f"`{text}`"), arrays=True)
+    rows = texts.select(F.col(f"`{key}`").alias("key"), found.alias("r"))
     # Stored, so that the numbers of the rows stay.
     scored, _ = store(rows.select(F.monotonically_increasing_id().alias("row"), "key", "r.*"))
     rare = scored.select("row", F.inline(F.arrays_zip("word", "n"))).join(
-        counts.withColumnRenamed("n", "count"), "word"
+        counts.filter("n > 1").withColumnRenamed("n", "count"), "word"
     )
-    level = float(np.log(max(model.words.rest, 1.0)) + model.words.share[-1])
-    more = rare.groupBy("row").agg(F.sum(F.col("n") * (F.log("count") - F.lit(level))).alias("more"))
+    more = rare.groupBy("row").agg(F.sum(F.col("n") * F.log("count")).alias("more"))
     total = F.col("even") + F.coalesce("more", F.lit(0.0))
     return scored.join(more, "row", "left").select(
         F.col("key").alias(key), "n_words", total.alias("log_likelihood"),

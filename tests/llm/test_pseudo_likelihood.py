@@ -2,11 +2,13 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oddities import ODD, empty, odd  # noqa: F401
+from orderlens.llm import columns
 from orderlens.llm import pseudo_likelihood as lm
 
 
@@ -137,3 +139,52 @@ def test_scores_of_odd_rows(odd, empty):
     assert sorted(r.n_words for r in rows) == sorted(len((t or "").split()) for _, t in ODD)
     assert all((r.mean_log_likelihood is None) == (r.n_words == 0) for r in rows)
     assert lm.score_all(empty).count() == 0
+
+
+def test_words_of_many_texts_are_those_of_str_split():
+    """Every code point between two letters, and white space at the ends."""
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += [None, "", " \x85\u3000", "\x1c a  b\n", "end"]
+    words, ends = lm.split_words(pa.array(texts))
+    assert words.to_pylist() == [w for t in texts for w in (t or "").split()]
+    assert np.diff(ends, prepend=0).tolist() == [len((t or "").split()) for t in texts]
+    words, ends = lm.split_words(pa.array([], pa.string()))
+    assert len(words) == len(ends) == 0
+
+
+def test_array_slices_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(columns, "SLICE_CHARS", 10)
+    texts = ["x" * 25, None, "", "abc", "é" * 4, None, "y" * 10, "z"]
+    parts = [p.to_pylist() for p in columns.array_slices(pa.array(texts))]
+    assert [t for p in parts for t in p] == texts
+    assert all(sum(len((t or "").encode()) for t in p[:-1]) < 10 for p in parts) and len(parts) > 2
+    assert not list(columns.array_slices(pa.array([], pa.string())))
+
+
+def test_sums_of_many_texts_equal_those_of_each(model):
+    texts = [*corpus(40), None, "", "new words only", "a1 new b1", " "]
+    words, ends = lm.split_words(pa.array(texts))
+    sums = model.sums(model.words.places(words), ends)
+    assert sums == pytest.approx([model.score(t)[1] for t in texts], rel=1e-6)
+
+
+def test_different_words_of_texts():
+    rows = np.array([0, 0, 0, 2, 2, 2])
+    words, n = lm._distinct(pa.array(["a", "b", "a", "b", "c", "c"]), rows, 4)
+    got = [dict(zip(w, k)) for w, k in zip(words.to_pylist(), n.to_pylist())]
+    assert got == [{"a": 2, "b": 1}, {}, {"b": 1, "c": 2}, {}]
+    assert lm._distinct(pa.array([], pa.string()), np.array([], np.int64), 2)[0].to_pylist() == [[], []]
+
+
+def test_words_that_occur_once_need_no_join(spark):
+    texts = ["a a a b once", "a b twice b", None, "a twice"]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    scored = lm.score_all(documents, size=2, rates=(0.5,))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(n,1)" in plan
+    model = lm.fit(documents, size=2, rates=(0.5,))
+    # Three words beyond the vocabulary, `once` and `twice` twice.
+    wanted = {0: math.log(1 / 3), 1: math.log(2 / 3), 2: 0.0, 3: math.log(2 / 3)}
+    for r in scored.collect():
+        rare = wanted[r.doc_id] - (model.words.share[-1] if texts[r.doc_id] else 0.0)
+        assert r.log_likelihood == pytest.approx(slow_score(model, texts[r.doc_id])[1] + rare, rel=1e-4)
