@@ -183,14 +183,13 @@ def _forward(parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, n
     return x, hidden, logits
 
 
-def log_chances(weights: np.ndarray, classes: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
+def log_chances(weights: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Log-probability of each word's class given the words around it."""
     parts, result = _parts(weights), []
-    if around is None:
-        around = contexts(classes)
-    for i in range(0, len(classes), BATCH):
-        _, _, logits = _forward(parts, around[i : i + BATCH])
-        own = logits[np.arange(len(logits)), classes[i : i + BATCH]]
+    around = contexts(classes)
+    for i in range(0, len(classes), 1 << 14):
+        _, _, logits = _forward(parts, around[i : i + (1 << 14)])
+        own = logits[np.arange(len(logits)), classes[i : i + (1 << 14)]]
         result.append(own - np.log(np.exp(logits, out=logits).sum(axis=1)))
     return np.concatenate(result) if result else np.zeros(0, np.float32)
 
@@ -229,12 +228,17 @@ class Model:
         return len(words), self.sums(self.words.places(words), ends)[0]
 
     def sums(self, places: np.ndarray, ends: np.ndarray) -> list[float]:
-        """The sum for each of several texts from the places of their words."""
+        """The sum for each of several texts from the places of their words.
+
+        Each text goes through the network alone, so that the texts beside it do not
+        change the last digits of its sum.
+        """
         classes, share = self.words.word_class[places], self.words.share[places]
-        around = np.concatenate([contexts(c) for c in np.split(classes, ends[:-1])])
-        chances = log_chances(self.weights, classes, around)
-        starts = np.append(0, ends[:-1])
-        return [float(chances[a:b].sum(dtype=np.float64) + share[a:b].sum()) for a, b in zip(starts, ends)]
+        found = []
+        for a, b in zip(np.append(0, ends[:-1]), ends):
+            chances = log_chances(self.weights, classes[a:b])
+            found.append(float(chances.sum(dtype=np.float64) + share[a:b].sum()))
+        return found
 
 
 def _trained(texts: DataFrame, text: str, words, weights: np.ndarray, rate: float) -> np.ndarray:

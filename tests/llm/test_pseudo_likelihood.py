@@ -165,7 +165,7 @@ def test_sums_of_many_texts_equal_those_of_each(model):
     texts = [*corpus(40), None, "", "new words only", "a1 new b1", " "]
     words, ends = lm.split_words(pa.array(texts))
     sums = model.sums(model.words.places(words), ends)
-    assert sums == pytest.approx([model.score(t)[1] for t in texts], rel=1e-6)
+    assert sums == [model.score(t)[1] for t in texts]
 
 
 def test_different_words_of_texts():
